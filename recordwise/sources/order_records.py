@@ -1,0 +1,146 @@
+"""Nested records built from the order tables, so that every report can run on them.
+
+One order becomes one record and its lines become the nested parts. All grouping of lines
+is combined before the shuffle, and every nested array is bounded by a small domain (part
+types, brands, nations) or by the cast limit, so an order with very many lines is no
+different from one with few.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recordwise.sources.records import attach_credit_rows
+
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")
+DOLLARS = 500
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with supplier name, supplier nation, part type and part brand."""
+    suppliers = table(spark, folder, "supplier").join(
+        table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    return (
+        table(spark, folder, "lineitem")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .withColumnRenamed("l_orderkey", "id")
+    )
+
+
+def order_credit_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order line: the supplier as cast and crew member of the order."""
+    return order_lines(spark, folder).select(
+        "id",
+        F.col("s_name").alias("name"),
+        F.when(F.col("l_returnflag") == "R", "Director").otherwise("Producer").alias("job"),
+        *LINE_ORDER,
+    )
+
+
+def nested_credits(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested credits per order: brands as cast; nations as crew, in name order."""
+    job = F.when(F.col("l_returnflag") == "R", "Director").otherwise("Producer")
+    return order_lines(spark, folder).groupBy("id").agg(
+        F.sort_array(F.collect_set(F.struct(F.col("p_brand").alias("name")))).alias("cast"),
+        F.sort_array(F.collect_set(F.struct(F.col("n_name").alias("name"), job.alias("job")))).alias("crew"),
+    )
+
+
+def order_details(spark: SparkSession, folder: str) -> DataFrame:
+    """Records in the raw layout, without credits and without repeated rows."""
+    lines = order_lines(spark, folder).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"),
+        F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("discounts"),
+        F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("taxes"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.sort_array(F.collect_set("p_type")).alias("types"),
+        F.sort_array(F.collect_set("p_brand")).alias("brands"),
+        F.sort_array(F.collect_set("n_name")).alias("nations"),
+    )
+    customers = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("c_custkey", "c_mktsegment", F.col("n_name").alias("home"))
+    )
+    orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "id")
+    joined = orders.join(lines, "id", "left").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+
+    def every(step: int):
+        return F.col("id") % step == 0
+
+    def dollars(amount: Column) -> Column:
+        return (amount * DOLLARS).cast("bigint")
+
+    none = F.lit(None).cast("string")
+    member = F.struct(
+        F.col("collection_id").cast("int").alias("id"),
+        F.concat_ws(" ", "c_mktsegment", "home").alias("name"),
+        none.alias("poster_path"),
+        none.alias("backdrop_path"),
+    )
+    joined = joined.withColumn("collection_id", F.pmod(F.xxhash64("c_mktsegment", "home"), F.lit(1_000_000)))
+    remark = (
+        F.when(F.col("o_orderpriority") == "5-LOW", "No Data")
+        .when(F.col("o_orderpriority") == "1-URGENT", "N/A")
+        .otherwise(F.col("o_orderpriority"))
+    )
+    votes = F.coalesce(F.col("quantity"), F.lit(0)).cast("int")
+    return joined.select(
+        F.lit("false").alias("adult"),
+        none.alias("backdrop_path"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", member).alias("belongs_to_collection"),
+        F.when(every(50), 0).otherwise(dollars(F.col("price"))).alias("budget"),
+        F.transform("types", lambda t: F.struct(F.lit(None).cast("int").alias("id"), t.alias("name"))).alias("genres"),
+        none.alias("homepage"),
+        "id",
+        F.concat(F.lit("tt"), "id").alias("imdb_id"),
+        F.col("home").alias("original_language"),
+        F.concat(F.lit("Order#"), "id").alias("original_title"),
+        remark.alias("overview"),
+        F.col("taxes").cast("double").alias("popularity"),
+        F.concat(F.lit("/p"), "id").alias("poster_path"),
+        F.transform(
+            "brands",
+            lambda b: F.struct(
+                b.alias("name"), F.lit(None).cast("int").alias("id"), none.alias("logo_path"), none.alias("origin_country")
+            ),
+        ).alias("production_companies"),
+        F.transform("nations", lambda n: F.struct(none.alias("iso_3166_1"), n.alias("name"))).alias(
+            "production_countries"
+        ),
+        F.when(every(97), "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("release_date"),
+        F.when(every(70), 0).otherwise(dollars(F.col("o_totalprice").cast("decimal(18,2)"))).alias("revenue"),
+        F.when(every(60), 0).otherwise(F.col("n_lines") * 10).cast("int").alias("runtime"),
+        F.array(
+            F.struct(
+                none.alias("iso_639_1"),
+                F.col("home").alias("name"),
+                F.when(F.col("o_custkey") % 10 != 0, F.col("home")).alias("english_name"),
+            )
+        ).alias("spoken_languages"),
+        F.when(F.col("o_orderstatus") == "F", "Released")
+        .when(F.col("o_orderstatus") == "O", "Rumored")
+        .otherwise("Post Production")
+        .alias("status"),
+        remark.alias("tagline"),
+        F.when(~every(211), F.concat(F.lit("Order#"), "id")).alias("title"),
+        F.lit("false").alias("video"),
+        F.coalesce(F.col("discounts") / F.col("n_lines"), F.lit(0.0)).alias("vote_average"),
+        votes.alias("vote_count"),
+    )
+
+
+def order_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records with credits; every 101st order appears twice."""
+    credits = order_credit_rows(spark, folder)
+    full = attach_credit_rows(order_details(spark, folder), credits, credits, LINE_ORDER)
+    copies = F.when(F.col("id") % 101 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return full.withColumn("copy", F.explode(copies)).drop("copy")

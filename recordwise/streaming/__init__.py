@@ -1,0 +1,6 @@
+"""Reserved: the feature set has no streaming job.
+
+The row-wise functions of ``recordwise.operators.cleaning`` and
+``recordwise.operators.features`` are narrow projections and therefore also work on a
+streaming DataFrame; aggregates and rankings are batch reports.
+"""
