@@ -68,7 +68,7 @@ def order_details(spark: SparkSession, folder: str) -> DataFrame:
     customers = (
         table(spark, folder, "customer")
         .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_mktsegment", F.col("n_name").alias("home"))
+        .select("c_custkey", "c_nationkey", "c_mktsegment", F.col("n_name").alias("home"))
     )
     orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "id")
     joined = orders.join(lines, "id", "left").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -81,12 +81,11 @@ def order_details(spark: SparkSession, folder: str) -> DataFrame:
 
     none = F.lit(None).cast("string")
     member = F.struct(
-        F.col("collection_id").cast("int").alias("id"),
+        (F.length("c_mktsegment") * 100 + F.col("c_nationkey")).alias("id"),
         F.concat_ws(" ", "c_mktsegment", "home").alias("name"),
         none.alias("poster_path"),
         none.alias("backdrop_path"),
     )
-    joined = joined.withColumn("collection_id", F.pmod(F.xxhash64("c_mktsegment", "home"), F.lit(1_000_000)))
     remark = (
         F.when(F.col("o_orderpriority") == "5-LOW", "No Data")
         .when(F.col("o_orderpriority") == "1-URGENT", "N/A")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RUN_RECORD_SCHEMA = "run_id string, stage string, metric string, value double, note string, ts timestamp"
 SINGLE_FILE_ROWS = 100_000
@@ -44,14 +47,22 @@ def write_stage(df: DataFrame, base: str, stage: str, run_id: str, partition_by:
     return path
 
 
+def stage_runs(spark: SparkSession, base: str, stage: str) -> DataFrame:
+    """All runs of a stage, with ``run_id`` read as text whatever it looks like."""
+    path = stage_path(base, stage)
+    fields = spark.read.parquet(path).schema.fields
+    typed = [T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in fields]
+    return spark.read.schema(T.StructType(typed)).parquet(path)
+
+
 def read_stage(spark: SparkSession, base: str, stage: str, run_id: str) -> DataFrame:
     """Rows of one run; other runs are pruned by their partition."""
-    return spark.read.parquet(stage_path(base, stage)).where(F.col("run_id") == run_id).drop("run_id")
+    return stage_runs(spark, base, stage).where(F.col("run_id") == run_id).drop("run_id")
 
 
 def latest_run(spark: SparkSession, base: str, stage: str) -> str | None:
-    """Largest run id of a stage, one value read from the partition column only."""
-    return spark.read.parquet(stage_path(base, stage)).agg(F.max("run_id").cast("string")).first()[0]
+    """Largest run id of a stage. Only the partition column is read, no data columns."""
+    return stage_runs(spark, base, stage).agg(F.max("run_id")).first()[0]
 
 
 def read_latest(spark: SparkSession, base: str, stage: str) -> DataFrame:
@@ -128,6 +139,16 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` in memory or on disk while several outputs are written from it."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def append_run_records(spark: SparkSession, base: str, records: list[tuple]) -> str:
     """Append ``(run_id, stage, metric, value, note)`` rows with the current time."""
     path = posixpath.join(base, "run_records")
