@@ -15,7 +15,7 @@ from recordwise.operators.sizing import fresh_path
 from recordwise.sources.order_records import order_records, table
 from recordwise.sources.records import read_records
 
-__all__ = ["Case", "case", "cleaned", "fresh_path", "raw", "records", "rounded", "sql", "table", "texts"]
+__all__ = ["Case", "OFFSET", "averaged", "case", "cleaned", "fresh_path", "raw", "records", "rounded", "sql", "table", "texts"]
 
 
 @dataclass(frozen=True)
@@ -69,10 +69,19 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
 # --- comparable results -----------------------------------------------------------------
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that the order of summation does not show."""
+# Averages of amounts with few decimals often end exactly halfway between two rounded values,
+# where the order of summation would decide. Both sides add this offset before rounding.
+OFFSET = 3.7e-10
+
+
+def rounded(df: DataFrame, offset: float = 0.0) -> DataFrame:
+    """Doubles rounded to 6 digits, so that the order of summation does not show."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: F.round(F.col(f"`{c}`") + F.lit(offset), 6) for c in doubles}) if doubles else df
+
+
+def averaged(df: DataFrame) -> DataFrame:
+    return rounded(df, OFFSET)
 
 
 def texts(df: DataFrame) -> DataFrame:
@@ -215,4 +224,4 @@ class sql:
             return f"cast({expr} as bigint)"
         if expr.startswith("="):
             return expr[1:]
-        return f"round({expr}, 6)"
+        return f"round({expr} + {OFFSET}, 6)"

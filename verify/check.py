@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL: ``python -m verify.check [folder] [name part]``."""
+"""Compare every registered query with its SQL: ``python -m verify.check [folder] [name prefix ...]``."""
 
 from __future__ import annotations
 
@@ -56,25 +56,25 @@ def connect(folder):
     return connection
 
 
-def main(folder="/root/testdata/sf0.01", part=""):
-    from verify.registry import CASES
+def main(folder="/root/testdata/sf0.01", *parts):
+    from verify.registry import CASES as all_cases
     from verify.session import local_session
 
     warnings.simplefilter("ignore")
     spark, connection = local_session(), connect(folder)
     bad = 0
-    for case in CASES:
-        if part in case.name:
-            started = time.time()
-            try:
-                problem, rows = compare(spark, connection, case, folder)
-            except Exception as error:
-                problem, rows = f"{type(error).__name__}: {str(error)[:700]}", -1
-            bad += problem is not None
-            mark = "FAIL" if problem else "ok" if case.sql else "ok (rows only)"
-            if problem or rows == 0 or time.time() - started > 3 or case.sql is None:
-                print(f"{mark:15s} {case.name:40s} {rows:7d} rows {time.time() - started:6.2f}s  {problem or ''}", flush=True)
-    print(f"{len([c for c in CASES if part in c.name])} cases, {bad} failed")
+    chosen = [c for c in all_cases if not parts or c.name.startswith(parts)]
+    for case in chosen:
+        started = time.time()
+        try:
+            problem, rows = compare(spark, connection, case, folder)
+        except Exception as error:
+            problem, rows = f"{type(error).__name__}: {str(error)[:700]}", -1
+        bad += problem is not None
+        mark = "FAIL" if problem else "ok" if case.sql else "ok (rows only)"
+        if problem or rows == 0 or time.time() - started > 3 or case.sql is None:
+            print(f"{mark:15s} {case.name:40s} {rows:7d} rows {time.time() - started:6.2f}s  {problem or ''}", flush=True)
+    print(f"{len(chosen)} cases, {bad} failed")
     return bad
 
 
