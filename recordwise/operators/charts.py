@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordwise.operators.grouping import group_metrics, sort_columns
 
@@ -120,8 +121,16 @@ def matrix(df: DataFrame, row: str, column: str, value: str, columns: Sequence,
 
 
 def repeatable_sample(df: DataFrame, n: int, key: str = "id") -> DataFrame:
-    """``n`` rows chosen by a hash of the key: the same rows however the data is laid out."""
-    return df.orderBy(F.xxhash64(key), F.asc(key)).limit(n)
+    """``n`` rows chosen by a hash of the key: the same rows however the data is laid out.
+
+    Whole-number keys are spread by a multiplication (so any SQL engine can repeat it),
+    other keys by ``xxhash64``.
+    """
+    if isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType)):
+        spread = F.pmod(F.pmod(F.col(key), F.lit(2**31)) * F.lit(2654435761), F.lit(2**32))
+    else:
+        spread = F.xxhash64(key)
+    return df.orderBy(spread, F.asc(key)).limit(n)
 
 
 def band_around_mean(

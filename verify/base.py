@@ -15,7 +15,7 @@ from recordwise.operators.sizing import fresh_path
 from recordwise.sources.order_records import order_records, table
 from recordwise.sources.records import read_records
 
-__all__ = ["Case", "OFFSET", "averaged", "case", "cleaned", "fresh_path", "raw", "records", "rounded", "sql", "table", "texts"]
+__all__ = ["Case", "OFFSET", "averaged", "batch_base", "case", "cleaned", "fresh_path", "raw", "records", "rounded", "sql", "table", "texts"]
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,7 @@ def case(name: str, build: Callable[[SparkSession, str], DataFrame], sql: str |
 # --- stages -----------------------------------------------------------------------------
 
 _written: dict[tuple[str, str, str], str] = {}
-_lock = threading.Lock()
+_lock = threading.RLock()
 
 
 def _stage(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> str:
@@ -66,6 +66,18 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(_stage(spark, folder, "features", build))
 
 
+def batch_base(spark: SparkSession, folder: str, run: Callable[[str], object]) -> str:
+    """Base folder of a batch run, made once per application and input folder."""
+    raw(spark, folder)
+    key = (spark.sparkContext.applicationId, folder, "batch")
+    with _lock:
+        if key not in _written:
+            base = fresh_path(spark, "batch")
+            run(base)
+            _written[key] = base
+    return _written[key]
+
+
 # --- comparable results -----------------------------------------------------------------
 
 
