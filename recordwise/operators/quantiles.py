@@ -5,12 +5,11 @@ a group that holds a large part of all rows this map does not fit. Here such a g
 is first narrowed:
 
 1. a sketch (``percentile_approx``) gives a low and a high bound around each wanted rank;
-2. every value is clamped into these bounds, which turns all values outside them into
-   the two bounds themselves;
-3. ``percentile`` runs on the clamped values.
+2. every value outside all bounds is moved onto the bound below it;
+3. ``percentile`` runs on the moved values.
 
-Clamping never changes the order of values, so the value at a rank inside the bounds
-stays the same, and the map holds only the few distinct values between the bounds. Groups
+Moving never changes the order of values, so the value at a rank inside the bounds stays
+the same, and the map holds only the few distinct values between the bounds. Groups
 of at most ``small_group`` rows skip steps 1 and 2. A count of the rows below and within
 the bounds proves for each group that its rank was inside; otherwise the job fails instead
 of returning a wrong value.
@@ -19,6 +18,8 @@ of returning a wrong value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,53 +47,58 @@ def grouped_with_quantiles(
     interpolate linearly between neighbours, so probability 0.5 is the median.
     """
     keys = list(keys)
-    values = {f"__q{i}": F.expr(sql).cast("double") for i, (sql, _) in enumerate(quantiles.values())}
-    probabilities = {f"__q{i}": p for i, (_, p) in enumerate(quantiles.values())}
-    rows = df.withColumns(values)
+    wanted: dict[str, dict[str, float]] = {}  # value expression -> output name -> probability
+    for name, (expression, probability) in quantiles.items():
+        wanted.setdefault(expression, {})[name] = probability
+    columns = {f"__q{i}": expression for i, expression in enumerate(wanted)}
+    rows = df.withColumns({c: F.expr(expression).cast("double") for c, expression in columns.items()})
     aggregates = [F.expr(sql).alias(name) for name, sql in measures.items()]
+    probabilities = {c: sorted(set(wanted[e].values())) for c, e in columns.items()}
+    # one map of values serves all quantiles of a column
+    results = {
+        name: F.get(f"{c}_exact", F.lit(probabilities[c].index(p))).alias(name)
+        for c, e in columns.items()
+        for name, p in wanted[e].items()
+    }
+    outputs = [*keys, *measures, *[results[name] for name in quantiles]]
 
     bounds = _bounds_of_large_groups(rows, keys, probabilities, small_group, accuracy)
     if bounds is None:
-        exact = [
-            F.percentile(F.col(value), p).alias(name)
-            for name, (value, p) in zip(quantiles, probabilities.items())
-        ]
-        return rows.groupBy(*keys).agg(*aggregates, *exact)
+        exact = [_percentiles(F.col(c), ps).alias(f"{c}_exact") for c, ps in probabilities.items()]
+        return rows.groupBy(*keys).agg(*aggregates, *exact).select(*outputs)
 
     if keys:
         bounded = join_on_groups(rows, bounds, keys, how="left")
     else:
         bounded = rows.withColumn("__bounds", bounds.select(F.struct("*")).scalar())
         bounded = bounded.withColumns({c: F.col(f"__bounds.{c}") for c in bounds.columns})
-    exact, checks = [], []
-    for name, (value, p) in zip(quantiles, probabilities.items()):
-        low, high = F.col(f"{value}_low"), F.col(f"{value}_high")
-        column = F.col(value)
-        clamped = F.when(low.isNull() | column.isNull(), column).otherwise(
-            F.greatest(low, F.least(high, column))
+    exact = [_percentiles(_narrowed(c, len(ps)), ps).alias(f"{c}_exact") for c, ps in probabilities.items()]
+    checks = [_ranks_are_bounded(c, ps).alias(f"{c}_ok") for c, ps in probabilities.items()]
+    proven = {
+        f"{c}_exact": F.when(F.col(f"{c}_ok"), F.col(f"{c}_exact")).otherwise(
+            F.raise_error(F.lit(f"a rank of {e} lies outside its sketch bounds")).cast("array<double>")
         )
-        exact.append(F.percentile(clamped, p).alias(name))
-        checks.append(_rank_is_bounded(column, low, high, p).alias(f"{value}_ok"))
-    grouped = bounded.groupBy(*keys).agg(*aggregates, *exact, *checks)
-    proven = [
-        F.when(F.col(f"{value}_ok"), F.col(name))
-        .otherwise(F.raise_error(F.lit(f"rank of {name} lies outside its sketch bounds")).cast("double"))
-        .alias(name)
-        for name, value in zip(quantiles, probabilities)
-    ]
-    return grouped.select(*keys, *measures, *proven)
+        for c, e in columns.items()
+    }
+    return bounded.groupBy(*keys).agg(*aggregates, *exact, *checks).withColumns(proven).select(*outputs)
+
+
+def _percentiles(value: Column, probabilities: Sequence[float]) -> Column:
+    return F.percentile(value, F.array(*[F.lit(float(p)) for p in probabilities]))
 
 
 def _bounds_of_large_groups(
     rows: DataFrame,
     keys: list[str],
-    probabilities: Mapping[str, float],
+    probabilities: Mapping[str, Sequence[float]],
     small_group: int,
     accuracy: int,
 ) -> DataFrame | None:
-    """One row of bounds for each group above ``small_group`` rows; None if there is none.
+    """One row per group above ``small_group`` rows; None if there is none.
 
-    There are at most (total rows / small_group) such groups.
+    There are at most (total rows / small_group) such groups. Column ``<value>_bounds`` holds
+    low and high for each probability in turn, or NULL where so few values are known
+    that they need no bounds.
     """
     large = settle(
         rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > small_group)
@@ -101,24 +107,38 @@ def _bounds_of_large_groups(
         return None
     large_rows = join_on_groups(rows, broadcast_if_small(large), keys) if keys else rows
     sketches = []
-    for value, p in probabilities.items():
-        for side, shift in (("low", -MARGIN), ("high", MARGIN)):
-            at = min(1.0, max(0.0, p + shift / accuracy))
-            bound = F.percentile_approx(F.col(value), F.lit(at), F.lit(accuracy))
-            # a column that is mostly NULL within a large group is small itself
-            enough = F.count(F.col(value)) > small_group
-            sketches.append(F.when(enough, bound).alias(f"{value}_{side}"))
+    for value, ps in probabilities.items():
+        shifted = [p + side * MARGIN / accuracy for p in ps for side in (-1, 1)]
+        at = F.array(*[F.lit(min(1.0, max(0.0, p))) for p in shifted])
+        sketch = F.percentile_approx(F.col(value), at, F.lit(accuracy))
+        sketches.append(F.when(F.count(F.col(value)) > small_group, sketch).alias(f"{value}_bounds"))
     return broadcast_if_small(large_rows.groupBy(*keys).agg(*sketches))
 
 
-def _rank_is_bounded(value: Column, low: Column, high: Column, p: float) -> Column:
-    """Whether both neighbours of the wanted rank lie between the bounds of the group."""
-    last = F.count(value) - 1
-    below = F.count_if(value < low)
-    within = F.count_if(value <= high)
-    return (
-        F.any_value(low).isNull()
-        | (last < 0)
-        | ((below <= F.floor(last * p)) & (F.ceil(last * p) < within))
-    )
+def _bound(value: str, i: int, side: int) -> Column:
+    return F.get(f"{value}_bounds", F.lit(2 * i + side))
 
+
+def _narrowed(value: str, n: int) -> Column:
+    """The value, moved onto the nearest bound below unless it lies within some bounds.
+
+    Values below the first low bound move up to it. The bounds are in ascending order.
+    """
+    v = F.col(value)
+    chain = F.when(v.isNull() | F.col(f"{value}_bounds").isNull(), v)
+    for i in range(n):
+        low, high = _bound(value, i, 0), _bound(value, i, 1)
+        chain = chain.when(v < low, low if i == 0 else _bound(value, i - 1, 1)).when(v <= high, v)
+    return chain.otherwise(_bound(value, n - 1, 1))
+
+
+def _ranks_are_bounded(value: str, probabilities: Sequence[float]) -> Column:
+    """Whether both neighbours of each wanted rank lie between the bounds of the group."""
+    v = F.col(value)
+    last = F.count(v) - 1
+    inside = [
+        (F.count_if(v < _bound(value, i, 0)) <= F.floor(last * p))
+        & (F.ceil(last * p) < F.count_if(v <= _bound(value, i, 1)))
+        for i, p in enumerate(probabilities)
+    ]
+    return F.any_value(f"{value}_bounds").isNull() | (last < 0) | reduce(and_, inside)
