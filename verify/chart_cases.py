@@ -125,7 +125,7 @@ CHARTS = [
     chart_case("h07_yearly_money", dashboards.yearly_money,
                grouped("records where release_year is not null", ["release_year"], total_revenue=TOTAL_REV, total_budget=TOTAL_BUD)),
     chart_case("h08_budget_tier_share", dashboards.budget_tier_share,
-               grouped(TIERS, ["budget_tier"], count=N, percent="count(*) * 100e0 / (select count(*) from records)")),
+               grouped(TIERS, ["budget_tier"], count=N, percent="100e0 * count(*) / (select count(*) from records)")),
     chart_case("h09_top_revenue", dashboards.top_revenue_bars,
                top(columns("title", "revenue_musd", "vote_average", "id", label=SHORT), "records", "records.revenue_musd", 10)),
     chart_case("h09_top_roi", dashboards.top_roi_bars,
