@@ -89,14 +89,18 @@ def rule_check(name: str, violation: str) -> Check:
     return Check("rule", name, {"violations": f"count_if({violation})"}, valid="violations = 0")
 
 
-def record_rules(columns: Sequence[str], as_of: str) -> list[Check]:
-    """The three rules of the record model, each only where its columns exist."""
+def record_rules(columns: Sequence[str], as_of: str | None = None) -> list[Check]:
+    """The three rules of the record model, each only where its columns exist.
+
+    ``as_of`` is the day that counts as today, for repeatable reports.
+    """
+    today = f"date'{as_of}'" if as_of else "current_date()"
     rules = [
         ({"revenue_musd", "budget_musd"}, "revenue_vs_budget",
          "revenue_musd > 0 and budget_musd > 0 and revenue_musd < budget_musd"),
         ({"vote_average"}, "vote_average_range", "vote_average < 0 or vote_average > 10"),
         ({"release_date"}, "future_release_dates",
-         f"try_cast(release_date as date) > date'{as_of}'"),
+         f"try_cast(release_date as date) > {today}"),
     ]
     return [rule_check(name, sql) for needed, name, sql in rules if needed <= set(columns)]
 
@@ -283,7 +287,7 @@ def health_score(report: DataFrame, minimum: float = MIN_HEALTH_SCORE) -> DataFr
 
 def quality_report(
     df: DataFrame,
-    as_of: str,
+    as_of: str | None = None,
     unique: Sequence[str] = ("id",),
     ranges: Mapping[str, Mapping[str, float]] | None = None,
     patterns: Mapping[str, str] | None = None,

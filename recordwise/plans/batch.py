@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import posixpath
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recordwise.operators import cleaning, features, quality
 from recordwise.plans import dashboards, kpis, metrics, searches
+from recordwise.plans.rankings import RANKINGS
 from recordwise.sources import storage
 from recordwise.sources.records import RECORD_SCHEMA, read_records
 
@@ -24,16 +25,47 @@ CLEANED, FEATURES, QUALITY = "cleaned", "features", "quality"
 
 @dataclass
 class RunConfig:
-    """Parameters of a run; rules and searches are plain dictionaries."""
+    """Parameters of a run; rules and searches are plain dictionaries.
 
-    as_of: str
-    years: tuple[int, ...]
+    ``as_of`` is the day against which future dates are judged, by default today.
+    ``years`` are the columns of the rating matrix, by default the years of the data.
+    """
+
+    as_of: str | None = None
+    years: Sequence[int] | None = None
+    dropped: Sequence[str] = ()
     ranges: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     patterns: Mapping[str, str] = field(default_factory=dict)
+    declared_checks: Sequence[Mapping] = ()
     min_health_score: float = quality.MIN_HEALTH_SCORE
+    rankings: Sequence[Mapping] = RANKINGS
+    ranked: int = 10
+    min_director_movies: int = 1
     genre_cast_search: Mapping = field(default_factory=dict)
     cast_director_search: Mapping = field(default_factory=dict)
 
+    @classmethod
+    def from_dict(cls, settings: Mapping) -> RunConfig:
+        """Take what a nested settings dictionary names; everything else keeps its default."""
+        def at(*path: str, default=None):
+            found = settings
+            for part in path:
+                found = found.get(part) if isinstance(found, Mapping) else None
+            return default if found is None else found
+
+        return cls(
+            dropped=at("processing", "columns_to_drop", default=()),
+            ranges=at("validation", "ranges", default={}),
+            patterns=at("validation", "patterns", default={}),
+            declared_checks=at("testing", "data_validation", "checks", default=()),
+            min_health_score=at("validation", "min_health_score", default=quality.MIN_HEALTH_SCORE),
+            rankings=at("kpis", "rankings", "metrics", default=RANKINGS),
+            ranked=at("kpis", "rankings", "top_n", default=10),
+            min_director_movies=at("kpis", "director", "min_movies", default=1),
+            genre_cast_search=at("queries", "search_1", default={}),
+            cast_director_search=at("queries", "search_2", default={}),
+        )
+
 
 def _counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
     """Rows of ``df``, counted by the write itself."""
@@ -46,9 +78,9 @@ def ingest(spark: SparkSession, raw: DataFrame, base: str) -> dict[str, float]:
     return {"record_count": _counted(raw, lambda rows: storage.write_raw(rows, base))}
 
 
-def clean_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float]:
+def clean_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     raw = read_records(spark, posixpath.join(base, "raw", "records.parquet"), schema=RECORD_SCHEMA)
-    rows = _counted(cleaning.clean(raw), lambda df: storage.write_stage(df, base, CLEANED, run_id))
+    rows = _counted(cleaning.clean(raw, config.dropped), lambda df: storage.write_stage(df, base, CLEANED, run_id))
     return {"record_count": rows}
 
 
@@ -67,6 +99,8 @@ def feature_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, floa
 def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
     report = quality.quality_report(table, config.as_of, ranges=config.ranges, patterns=config.patterns)
+    if config.declared_checks:
+        report = report.unionByName(quality.declared_checks(table, config.declared_checks))
     storage.write_stage(report, base, QUALITY, run_id)
     written = storage.read_stage(spark, base, QUALITY, run_id)
     score = quality.health_score(written, config.min_health_score).first()
@@ -78,15 +112,24 @@ def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
     }
 
 
-def report_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float]:
+def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     """KPI tables, and each ranking as one CSV file."""
     table = storage.read_stage(spark, base, FEATURES, run_id)
-    results = kpis.all_kpis(table)
+    results = kpis.all_kpis(table, config.ranked, config.rankings, config.min_director_movies)
     folder = posixpath.join(base, "kpis", f"run_id={run_id}")
     saved = storage.save_results(spark, results, folder)
-    for name in results["rankings"]:
-        ranking = spark.read.parquet(posixpath.join(folder, "rankings", name))
-        storage.write_csv(ranking, posixpath.join(base, "csv", f"run_id={run_id}", name), single_file=True)
+    written = {name: spark.read.parquet(posixpath.join(folder, "rankings", name)) for name in results["rankings"]}
+    csv = posixpath.join(base, "csv", f"run_id={run_id}")
+    errors = storage.side_by_side(
+        spark,
+        {
+            name: (lambda name=name, rows=rows: storage.write_csv(rows, posixpath.join(csv, name), True, config.ranked))
+            for name, rows in written.items()
+        },
+    )
+    for error in errors.values():
+        if error is not None:
+            raise error
     return {"tables": saved.where("kind = 'table'").count()}
 
 
@@ -129,10 +172,10 @@ def run_batch(spark: SparkSession, raw: DataFrame, base: str, run_id: str, confi
     """
     stages: dict[str, Callable[[], dict[str, float]]] = {
         "ingest": lambda: ingest(spark, raw, base),
-        "clean": lambda: clean_stage(spark, base, run_id),
+        "clean": lambda: clean_stage(spark, base, run_id, config),
         "features": lambda: feature_stage(spark, base, run_id),
         "quality": lambda: quality_stage(spark, base, run_id, config),
-        "kpis": lambda: report_stage(spark, base, run_id),
+        "kpis": lambda: report_stage(spark, base, run_id, config),
         "metrics": lambda: metric_stage(spark, base, run_id),
         "searches": lambda: search_stage(spark, base, run_id, config),
         "charts": lambda: chart_stage(spark, base, run_id, config),

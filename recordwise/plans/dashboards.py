@@ -21,6 +21,7 @@ from recordwise.operators.features import (
 )
 from recordwise.operators.grouping import explode_values, group_metrics
 from recordwise.operators.ranking import top_n
+from recordwise.operators.sizing import settle
 from recordwise.plans.kpis import distinct_values, roi_by_genre
 
 BOTH_POSITIVE = "budget_musd > 0 and revenue_musd > 0"
@@ -34,6 +35,26 @@ def _genres(df: DataFrame, *columns: str) -> DataFrame:
     return explode_values(df.select("genres", *columns), "genres", "genre").drop("genres")
 
 
+def genre_years(df: DataFrame) -> DataFrame:
+    """Sums and counts per genre and year: the common ground of the genre charts.
+
+    One explode and one shuffle of few rows. Averages follow as sums over counts, so every
+    genre chart can be made from this table instead of the records.
+    """
+    measured = ("revenue_musd", "budget_musd", "vote_average", "popularity")
+    sums = {f"{c}_sum": f"sum({c})" for c in measured} | {f"{c}_n": f"count({c})" for c in measured}
+    members = _genres(add_date_parts(df), "year", *measured)
+    return group_metrics(members, ["genre", "year"], {"n": "count(1)", **sums})
+
+
+def _summary(df: DataFrame, summary: DataFrame | None) -> DataFrame:
+    return genre_years(df) if summary is None else summary
+
+
+def _mean(column: str) -> str:
+    return f"try_divide(sum({column}_sum), sum({column}_n))"
+
+
 def _with_roi(df: DataFrame, where: str) -> DataFrame:
     return df.where(where).withColumn("roi", F.expr(ROI_PERCENT))
 
@@ -53,9 +74,8 @@ def executive_kpis(df: DataFrame) -> DataFrame:
     )
 
 
-def most_frequent_genre(df: DataFrame) -> DataFrame:
-    counted = group_metrics(_genres(df), ["genre"], {"count": "count(1)"})
-    return top_n(counted, "count", 1, key="genre")
+def most_frequent_genre(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    return genres_by_count(df, 1, summary)
 
 
 def money_scatter(df: DataFrame, n: int = 500) -> DataFrame:
@@ -78,13 +98,13 @@ def money_scatter_detailed(df: DataFrame, n: int = 1000) -> DataFrame:
     return charts.repeatable_sample(points, n)
 
 
-def genres_by_revenue(df: DataFrame, n: int = 10) -> DataFrame:
-    measures = {"total_revenue": "sum(revenue_musd)", "count": "count(1)"}
-    return top_n(group_metrics(_genres(df, "revenue_musd"), ["genre"], measures), "total_revenue", n, key="genre")
+def genres_by_revenue(df: DataFrame, n: int = 10, summary: DataFrame | None = None) -> DataFrame:
+    return top_n(genre_sunburst(df, summary), "total_revenue", n, key="genre")
 
 
-def genres_by_count(df: DataFrame, n: int = 15) -> DataFrame:
-    return top_n(group_metrics(_genres(df), ["genre"], {"count": "count(1)"}), "count", n, key="genre")
+def genres_by_count(df: DataFrame, n: int = 15, summary: DataFrame | None = None) -> DataFrame:
+    counted = group_metrics(_summary(df, summary), ["genre"], {"count": "sum(n)"})
+    return top_n(counted, "count", n, key="genre")
 
 
 def rating_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
@@ -202,22 +222,20 @@ def yearly_rating_band(df: DataFrame) -> DataFrame:
     return charts.band_around_mean(add_date_parts(df), "year", "vote_average", "rating")
 
 
-def genre_heatmap(df: DataFrame, n: int = 12, minimum: int = 5) -> DataFrame:
+def genre_heatmap(
+    df: DataFrame, n: int = 12, minimum: int = 5, summary: DataFrame | None = None
+) -> DataFrame:
     """Average metrics of the top genres, each also scaled to 0..1 over these genres."""
-    metrics = ("avg_revenue", "avg_budget", "avg_rating", "avg_popularity")
+    averages = {
+        "avg_revenue": _mean("revenue_musd"),
+        "avg_budget": _mean("budget_musd"),
+        "avg_rating": _mean("vote_average"),
+        "avg_popularity": _mean("popularity"),
+    }
     grouped = group_metrics(
-        _genres(df, "revenue_musd", "budget_musd", "vote_average", "popularity"),
-        ["genre"],
-        {
-            "avg_revenue": "avg(revenue_musd)",
-            "avg_budget": "avg(budget_musd)",
-            "avg_rating": "avg(vote_average)",
-            "avg_popularity": "avg(popularity)",
-            "count": "count(1)",
-        },
-        having=f"count >= {minimum}",
+        _summary(df, summary), ["genre"], {**averages, "count": "sum(n)"}, having=f"count >= {minimum}"
     )
-    return charts.min_max_scaled(top_n(grouped, "avg_revenue", n, key="genre"), metrics)
+    return charts.min_max_scaled(top_n(grouped, "avg_revenue", n, key="genre"), tuple(averages))
 
 
 def genre_roi_bars(df: DataFrame, n: int = 10, minimum: int = 5) -> DataFrame:
@@ -229,23 +247,27 @@ def genre_roi_bars(df: DataFrame, n: int = 10, minimum: int = 5) -> DataFrame:
     return top_n(grouped, "avg_roi", n, key="genre").withColumn("band", band)
 
 
-def genre_bubbles(df: DataFrame, minimum: int = 5) -> DataFrame:
-    measures = {"avg_revenue": "avg(revenue_musd)", "avg_rating": "avg(vote_average)", "count": "count(1)"}
-    members = _genres(df, "revenue_musd", "vote_average")
-    return group_metrics(members, ["genre"], measures, having=f"count >= {minimum}")
+def genre_bubbles(df: DataFrame, minimum: int = 5, summary: DataFrame | None = None) -> DataFrame:
+    measures = {"avg_revenue": _mean("revenue_musd"), "avg_rating": _mean("vote_average"), "count": "sum(n)"}
+    return group_metrics(_summary(df, summary), ["genre"], measures, having=f"count >= {minimum}")
+
 
+def genre_evolution(df: DataFrame, n: int = 5, summary: DataFrame | None = None) -> DataFrame:
+    """Yearly revenue of the ``n`` genres with most revenue.
 
-def genre_evolution(df: DataFrame, n: int = 5) -> DataFrame:
-    """Yearly revenue of the ``n`` genres with most revenue, from one grouped table."""
-    members = _genres(add_date_parts(df), "year", "revenue_musd")
-    by_year = group_metrics(members, ["genre", "year"], {"revenue": "sum(revenue_musd)"})
+    The summary is read twice, to find the genres and to list their years, so it is
+    settled first.
+    """
+    if summary is None:
+        summary = settle(genre_years(df))
+    by_year = summary.select("genre", "year", F.col("revenue_musd_sum").alias("revenue"))
     top = charts.top_groups(by_year, "genre", "sum(revenue)", n)
     return charts.ordered(charts.only_groups(by_year, top, "genre"), "genre", "year")
 
 
-def genre_sunburst(df: DataFrame) -> DataFrame:
-    measures = {"total_revenue": "sum(revenue_musd)", "count": "count(1)"}
-    return group_metrics(_genres(df, "revenue_musd"), ["genre"], measures)
+def genre_sunburst(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    measures = {"total_revenue": "sum(revenue_musd_sum)", "count": "sum(n)"}
+    return group_metrics(_summary(df, summary), ["genre"], measures)
 
 
 def roi_by_genre_boxes(df: DataFrame, n: int = 12) -> DataFrame:
@@ -270,10 +292,9 @@ def revenue_treemap(df: DataFrame, n: int = 50) -> DataFrame:
     return top.withColumn("primary_genre", first_token("genres"))
 
 
-def rating_heatmap(df: DataFrame, years: Sequence[int]) -> DataFrame:
+def rating_heatmap(df: DataFrame, years: Sequence[int], summary: DataFrame | None = None) -> DataFrame:
     """Average rating per genre (rows) and year (columns ``y<year>``)."""
-    members = _genres(add_date_parts(df), "year", "vote_average")
-    return charts.matrix(members, "genre", "year", "avg(vote_average)", years, prefix="y")
+    return charts.matrix(_summary(df, summary), "genre", "year", _mean("vote_average"), years, prefix="y")
 
 
 def roi_by_tier_boxes(df: DataFrame) -> DataFrame:
@@ -306,15 +327,31 @@ def popularity_pairs(df: DataFrame) -> DataFrame:
     return df.select("id", "popularity", "vote_average").dropna(subset=["popularity", "vote_average"])
 
 
-def all_datasets(df: DataFrame, years: Sequence[int]) -> dict[str, DataFrame]:
-    """Every chart dataset of fixed size by name."""
+def all_datasets(df: DataFrame, years: Sequence[int] | None = None) -> dict[str, DataFrame]:
+    """Every chart dataset of fixed size by name.
+
+    Without ``years`` the rating matrix covers all years of the summary, which calendar
+    years keep few.
+
+    The genre charts share one summary, computed here once; all other charts scan the
+    stage table for their own columns.
+    """
     plain = (
-        executive_kpis, most_frequent_genre, money_scatter, money_scatter_detailed, genres_by_revenue,
-        genres_by_count, rating_histogram, roi_histogram, vote_histogram, revenue_histogram,
-        overview_totals, yearly_revenue, yearly_money, budget_tier_share, top_revenue_bars, top_roi_bars,
-        top_popularity_bars, top_rating_bars, profit_scatter, top_companies, membership_bars,
-        rating_popularity_scatter, rating_by_genre, yearly_rating_band, genre_heatmap, genre_roi_bars,
-        genre_bubbles, genre_evolution, genre_sunburst, roi_by_genre_boxes, performance_points,
-        revenue_treemap, roi_by_tier_boxes, average_roi_by_genre, annotated_top, rating_violin,
+        executive_kpis, money_scatter, money_scatter_detailed, rating_histogram, roi_histogram, vote_histogram,
+        revenue_histogram, overview_totals, yearly_revenue, yearly_money, budget_tier_share, top_revenue_bars,
+        top_roi_bars, top_popularity_bars, top_rating_bars, profit_scatter, top_companies, membership_bars,
+        rating_popularity_scatter, rating_by_genre, yearly_rating_band, genre_roi_bars, roi_by_genre_boxes,
+        performance_points, revenue_treemap, roi_by_tier_boxes, average_roi_by_genre, annotated_top, rating_violin,
     )
-    return {build.__name__: build(df) for build in plain} | {"rating_heatmap": rating_heatmap(df, years)}
+    from_summary = (
+        most_frequent_genre, genres_by_revenue, genres_by_count, genre_heatmap, genre_bubbles, genre_evolution,
+        genre_sunburst,
+    )
+    summary = settle(genre_years(df))
+    if years is None:
+        years = [row["year"] for row in summary.select("year").distinct().dropna().orderBy("year").collect()]
+    return {
+        **{build.__name__: build(df) for build in plain},
+        **{build.__name__: build(df, summary=summary) for build in from_summary},
+        "rating_heatmap": rating_heatmap(df, years, summary),
+    }

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordwise.functions.values import ordinal
 from recordwise.operators.features import BUDGET_LABELS, add_membership_label
 from recordwise.operators.grouping import agg_matrix, explode_values, group_metrics
-from recordwise.plans.rankings import all_rankings
+from recordwise.operators.ranking import rank_all
+from recordwise.plans.rankings import RANKINGS
 
 SKETCH_ACCURACY = 10_000
 BIGGEST_FIRST = ("-total_revenue",)
@@ -252,14 +255,16 @@ def franchise_matrix(df: DataFrame) -> DataFrame:
     return agg_matrix(members, ["belongs_to_collection"], **FRANCHISE_MATRIX)
 
 
-def all_kpis(df: DataFrame, top: int = 10) -> dict[str, DataFrame | dict[str, DataFrame]]:
+def all_kpis(
+    df: DataFrame, top: int = 10, rankings: Sequence[Mapping] = RANKINGS, min_director_movies: int = 1
+) -> dict[str, DataFrame | dict[str, DataFrame]]:
     """Every KPI by name. Give a stage table that was read back, not a long lineage: each
     entry scans it once, reading only its own columns."""
     return {
-        "rankings": all_rankings(df, top),
+        "rankings": rank_all(df, rankings, top),
         "franchise_comparison": franchise_against_standalone(df),
         "top_franchises": top_franchises(df),
-        "top_directors": top_directors(df),
+        "top_directors": top_directors(df, min_director_movies),
         "genre_performance": genre_performance(df),
         "yearly_trends": yearly_trends(df),
         "decade_trends": decade_trends(df),

@@ -36,8 +36,9 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_credit_rows(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line: the supplier as cast and crew member of the order."""
-    return order_lines(spark, folder).select(
-        "id",
+    lines, suppliers = table(spark, folder, "lineitem"), table(spark, folder, "supplier")
+    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        F.col("l_orderkey").alias("id"),
         F.col("s_name").alias("name"),
         F.when(F.col("l_returnflag") == "R", "Director").otherwise("Producer").alias("job"),
         *LINE_ORDER,

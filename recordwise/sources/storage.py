@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,40 +73,73 @@ def read_latest(spark: SparkSession, base: str, stage: str) -> DataFrame:
     return read_stage(spark, base, stage, run_id)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, rows_at_most: int | None = None) -> None:
     """CSV with a header.
 
-    ``single_file`` is meant for reports: the row count is checked, and a frame above
-    ``SINGLE_FILE_ROWS`` rows is written in parallel all the same.
+    ``single_file`` is meant for reports: a frame above ``SINGLE_FILE_ROWS`` rows is
+    written in parallel all the same. The rows are counted for that, unless
+    ``rows_at_most`` names a limit the frame has by its making, such as a top-n.
     """
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.coalesce(1)
+    if single_file:
+        if rows_at_most is None:
+            rows_at_most = df.limit(SINGLE_FILE_ROWS + 1).count()
+        if rows_at_most <= SINGLE_FILE_ROWS:
+            df = df.coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def side_by_side(
+    spark: SparkSession, writes: Mapping[str, Callable[[], object]], at_once: int = 4
+) -> dict[str, Exception | None]:
+    """Run independent writes, a few at a time, and return the error of each or None.
+
+    The last stages of a report have few tasks; running several reports together keeps
+    the executors busy.
+    """
+    def attempt(write: Callable[[], object]) -> Exception | None:
+        try:
+            write()
+        except Exception as error:  # returned to the caller, who decides
+            return error
+        return None
+
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {name: pool.submit(inherit(attempt), write) for name, write in writes.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
 def save_results(spark: SparkSession, results: Mapping, base: str) -> DataFrame:
     """Write named results and return what was written: name, kind, path.
 
     A DataFrame goes to Parquet, a dictionary of DataFrames to sub-folders, a dictionary of
     plain values to one JSON row; anything else is listed as skipped.
     """
-    written = []
+    written, writes = [], {}
+
+    def add(name: str, kind: str, path: str, write: Callable[[], object]) -> None:
+        written.append((name, kind, path))
+        writes[name] = write
+
+    def to_parquet(frame: DataFrame, path: str) -> Callable[[], object]:
+        return lambda: frame.write.mode("overwrite").parquet(path)
+
     for name, result in results.items():
         path = posixpath.join(base, name)
         if isinstance(result, DataFrame):
-            result.write.mode("overwrite").parquet(path)
-            written.append((name, "table", path))
+            add(name, "table", path, to_parquet(result, path))
         elif isinstance(result, Mapping) and any(isinstance(v, DataFrame) for v in result.values()):
             for inner, frame in result.items():
                 inner_path = posixpath.join(path, inner)
-                frame.write.mode("overwrite").parquet(inner_path)
-                written.append((f"{name}/{inner}", "table", inner_path))
+                add(f"{name}/{inner}", "table", inner_path, to_parquet(frame, inner_path))
         elif isinstance(result, Mapping) and result:
-            row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in result.items()])
-            row.coalesce(1).write.mode("overwrite").json(f"{path}.json")
-            written.append((name, "values", f"{path}.json"))
+            row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in result.items()]).coalesce(1)
+            add(name, "values", f"{path}.json", lambda r=row, p=path: r.write.mode("overwrite").json(f"{p}.json"))
         else:
             written.append((name, "skipped", None))
+    for error in side_by_side(spark, writes).values():
+        if error is not None:
+            raise error
     return spark.createDataFrame(written, "name string, kind string, path string")
 
 
@@ -116,14 +150,16 @@ def export_tables(
 
     Returns name, path (NULL on failure) and error (NULL on success).
     """
-    status = []
-    for name, build in tables.items():
-        path = posixpath.join(base, f"metrics_{name}")
-        try:
-            build(df).write.mode("overwrite").parquet(path)
-            status.append((name, path, None))
-        except Exception as error:  # any failure of one table is reported, not raised
-            status.append((name, None, f"{type(error).__name__}: {error}"[:500]))
+    paths = {name: posixpath.join(base, f"metrics_{name}") for name in tables}
+    writes = {
+        name: (lambda build=build, path=paths[name]: build(df).write.mode("overwrite").parquet(path))
+        for name, build in tables.items()
+    }
+    errors = side_by_side(df.sparkSession, writes)
+    status = [
+        (name, paths[name], None) if error is None else (name, None, f"{type(error).__name__}: {error}"[:500])
+        for name, error in errors.items()
+    ]
     return df.sparkSession.createDataFrame(status, "name string, path string, error string")
 
 

@@ -47,3 +47,22 @@ def test_failed_run_is_recorded(spark, folder, monkeypatch):
     assert list(sorted(outcome)) == ["clean", "features", "ingest", "quality"]
     assert outcome["features"] == (1.0, None)
     assert outcome["quality"] == (0.0, "ValueError: no quality today")
+
+
+def test_settings_dictionary():
+    from recordwise.plans.batch import RunConfig
+    from recordwise.plans.rankings import RANKINGS
+
+    settings = {
+        "processing": {"columns_to_drop": ["homepage"]},
+        "kpis": {"rankings": {"top_n": 3, "metrics": [{"name": "x", "column": "roi"}]}, "director": {"min_movies": 2}},
+        "queries": {"search_1": {"cast": "Someone"}},
+        "validation": {"ranges": {"vote_average": {"min": 0, "max": 10}}},
+        "testing": {"data_validation": {"checks": [{"name": "null_check", "columns": ["id"]}]}},
+    }
+    config = RunConfig.from_dict(settings)
+    assert (config.ranked, config.min_director_movies, config.dropped) == (3, 2, ["homepage"])
+    assert config.rankings[0]["name"] == "x" and config.genre_cast_search == {"cast": "Someone"}
+    assert config.declared_checks and config.ranges
+    empty = RunConfig.from_dict({})
+    assert empty.rankings is RANKINGS and empty.years is None and empty.min_health_score == 80

@@ -72,6 +72,27 @@ def test_search_matches_whole_values_or_text(spark, movies):
     assert ids(search.find(movies, equals=[("original_language", "de")])) == [5]
 
 
+def test_sorted_search_scans_its_table_once(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    found = search.find(lines, equals=[("l_returnflag", "R")], sort_by="l_extendedprice", key="l_orderkey")
+    found.collect()
+    assert scanned_rows(found._jdf.queryExecution().executedPlan()) == lines.count()
+    plan = plan_of(search.find(lines, [("l_linestatus", "F")]))
+    assert "StringContains(l_linestatus,F)" in plan
+
+
+def scanned_rows(node):
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return scanned_rows(node.executedPlan())
+    if "QueryStage" in name:
+        return scanned_rows(node.plan())
+    if "Scan parquet" in name:
+        return node.metrics().apply("numOutputRows").value()
+    children = node.children()
+    return sum(scanned_rows(children.apply(i)) for i in range(children.size()))
+
+
 # --- groups
 
 
