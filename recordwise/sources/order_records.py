@@ -22,13 +22,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with supplier name, supplier nation, part type and part brand."""
-    suppliers = table(spark, folder, "supplier").join(
-        table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    """Order lines with supplier name, supplier nation, part type and part brand.
+
+    The joins run one after the other from the lines, so that Spark sees the true size of
+    each smaller table when it decides which side to broadcast.
+    """
     return (
         table(spark, folder, "lineitem")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumnRenamed("l_orderkey", "id")
     )
@@ -66,13 +68,15 @@ def order_details(spark: SparkSession, folder: str) -> DataFrame:
         F.sort_array(F.collect_set("p_brand")).alias("brands"),
         F.sort_array(F.collect_set("n_name")).alias("nations"),
     )
-    customers = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_nationkey", "c_mktsegment", F.col("n_name").alias("home"))
+    # the customer join comes first: all later joins are by id and share one shuffle
+    orders = (
+        table(spark, folder, "orders")
+        .withColumnRenamed("o_orderkey", "id")
+        .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .withColumnRenamed("n_name", "home")
     )
-    orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "id")
-    joined = orders.join(lines, "id", "left").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = orders.join(lines, "id", "left")
 
     def every(step: int):
         return F.col("id") % step == 0
