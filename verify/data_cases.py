@@ -429,8 +429,10 @@ FEATURES = [
          "select doc_id, case when length(text) > 25 then substring(text, 1, 25) || '...' else text end as label from documents"),
     case("c21_first_token", on_records(["id"], primary_genre=lambda: nested.first_token("genres")),
          sql.records("select id, string_split(genres, '|')[1] as primary_genre from records")),
-    case("c22_rounded_profit", on_records(["id"], profit=lambda: values.difference("revenue_musd", "budget_musd", 2)),
-         sql.records("select id, round(round(revenue_musd - budget_musd, 8), 2) as profit from records")),
+    # sevenths, because amounts in full dollars would often end exactly on a rounding edge
+    case("c22_rounded_profit",
+         on_records(["id"], profit=lambda: values.difference(F.col("revenue_musd") / 7, F.col("budget_musd") / 7, 2)),
+         sql.records("select id, round(revenue_musd / 7 - budget_musd / 7, 2) as profit from records")),
     case("c23_feature_table", feature_table, FEATURE_SQL),
 ]
 
