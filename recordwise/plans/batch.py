@@ -67,6 +67,10 @@ class RunConfig:
         )
 
 
+def _run_folder(base: str, kind: str, run_id: str, *rest: str) -> str:
+    return posixpath.join(base, kind, f"run_id={run_id}", *rest)
+
+
 def _counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
     """Rows of ``df``, counted by the write itself."""
     seen = Observation()
@@ -92,7 +96,7 @@ def feature_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, floa
     )
     table = storage.read_stage(spark, base, FEATURES, run_id)
     flat = cleaning.join_names(table, {"cast": None})
-    storage.write_csv(flat, posixpath.join(base, "csv", f"run_id={run_id}", FEATURES))
+    storage.write_csv(flat, _run_folder(base, "csv", run_id, FEATURES))
     return {"record_count": rows}
 
 
@@ -103,6 +107,8 @@ def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
         report = report.unionByName(quality.declared_checks(table, config.declared_checks))
     storage.write_stage(report, base, QUALITY, run_id)
     written = storage.read_stage(spark, base, QUALITY, run_id)
+    # a few rows per column: one file for reading by eye
+    written.coalesce(1).write.mode("overwrite").json(_run_folder(base, "reports", run_id, "quality.json"))
     score = quality.health_score(written, config.min_health_score).first()
     null_share = written.where("metric = 'completeness_percentage'").agg(100 - F.avg("value")).first()[0]
     return {
@@ -113,13 +119,13 @@ def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
 
 
 def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
-    """KPI tables, and each ranking as one CSV file."""
+    """KPI tables with a summary of their row counts, and each ranking as one CSV file."""
     table = storage.read_stage(spark, base, FEATURES, run_id)
     results = kpis.all_kpis(table, config.ranked, config.rankings, config.min_director_movies)
-    folder = posixpath.join(base, "kpis", f"run_id={run_id}")
+    folder = _run_folder(base, "kpis", run_id)
     saved = storage.save_results(spark, results, folder)
     written = {name: spark.read.parquet(posixpath.join(folder, "rankings", name)) for name in results["rankings"]}
-    csv = posixpath.join(base, "csv", f"run_id={run_id}")
+    csv = _run_folder(base, "csv", run_id)
     errors = storage.side_by_side(
         spark,
         {
@@ -130,13 +136,16 @@ def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
     for error in errors.values():
         if error is not None:
             raise error
-    return {"tables": saved.where("kind = 'table'").count()}
+    tables = {row["name"]: row["path"] for row in saved.where("kind = 'table'").collect()}
+    counts = storage.row_counts({name: spark.read.parquet(path) for name, path in tables.items()})
+    counts.coalesce(1).write.mode("overwrite").json(_run_folder(base, "reports", run_id, "kpi_rows.json"))
+    return {"tables": len(tables)}
 
 
 def metric_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
     status = storage.export_tables(
-        table, metrics.METRIC_TABLES, posixpath.join(base, "metrics", f"run_id={run_id}")
+        table, metrics.METRIC_TABLES, _run_folder(base, "metrics", run_id)
     )
     failed = status.where("error is not null").count()
     return {"tables": status.count() - failed, "failed_tables": failed}
@@ -148,7 +157,7 @@ def search_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
         "genre_cast": searches.genre_cast_search(table, config.genre_cast_search),
         "cast_director": searches.cast_director_search(table, config.cast_director_search),
     }
-    folder = posixpath.join(base, "csv", f"run_id={run_id}")
+    folder = _run_folder(base, "csv", run_id)
     counts = {}
     for name, rows in found.items():
         flat = cleaning.join_names(rows, {"cast": None})
@@ -160,7 +169,7 @@ def search_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
 def chart_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
     datasets = dashboards.all_datasets(table, config.years)
-    saved = storage.save_results(spark, datasets, posixpath.join(base, "charts", f"run_id={run_id}"))
+    saved = storage.save_results(spark, datasets, _run_folder(base, "charts", run_id))
     return {"tables": saved.where("kind = 'table'").count()}
 
 

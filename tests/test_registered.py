@@ -66,3 +66,16 @@ def test_settings_dictionary():
     assert config.declared_checks and config.ranges
     empty = RunConfig.from_dict({})
     assert empty.rankings is RANKINGS and empty.years is None and empty.min_health_score == 80
+
+
+def test_command_line(spark, folder, capsys):
+    from recordwise.__main__ import main
+    from recordwise.operators.sizing import fresh_path
+    from verify.base import raw
+
+    landed, base, out = (fresh_path(spark, name) for name in ("landed", "base", "out"))
+    raw(spark, folder).limit(300).write.parquet(landed)
+    assert main(["run", "--raw", landed, "--base", base, "--run-id", "r1"]) == 0
+    assert main(["charts", "--base", base, "--out", out]) == 0
+    assert spark.read.parquet(f"{out}/executive_kpis").count() == 1
+    assert spark.read.json(f"{base}/reports/run_id=r1/kpi_rows.json").count() == 19
