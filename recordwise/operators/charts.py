@@ -22,44 +22,36 @@ def histogram(
     the last bin also its upper edge. When all values are equal the steps cover half a unit
     on either side. No values at all give no rows.
     """
-    rows = (df.where(where) if where else df).select(F.expr(value).cast("double").alias("v"))
-    rows = rows.where(F.col("v").isNotNull())
-    if within is not None:
-        rows = rows.where(F.col("v").between(*within))
-    low, high, flat = F.min("v"), F.max("v"), F.min("v") == F.max("v")
-    span = rows.agg(
-        F.when(
-            low.isNotNull(),
-            F.struct(
-                F.when(flat, low - 0.5).otherwise(low).alias("low"),
-                F.when(flat, high + 0.5).otherwise(high).alias("high"),
-            ),
-        ).alias("span")
+    known = "v is not null" if within is None else f"v between {within[0]} and {within[1]}"
+    rows = (df.where(where) if where else df).selectExpr(f"cast({value} as double) as v").where(known)
+    span = rows.selectExpr(
+        "case when count(v) > 0 then named_struct("
+        "'low', if(min(v) = max(v), min(v) - 0.5d, min(v)), 'high', if(min(v) = max(v), max(v) + 0.5d, max(v))) end as span"
     )
 
-    def edge(index: Column) -> Column:
-        step = (F.col("span.high") - F.col("span.low")) / bins
-        return F.when(index == bins, F.col("span.high")).otherwise(F.col("span.low") + index * step)
+    def edge(index: str) -> str:
+        return f"if({index} = {bins}, span.high, span.low + ({index}) * ((span.high - span.low) / {bins}))"
 
-    placed = rows.withColumn("span", span.scalar())
-    guess = F.floor((F.col("v") - F.col("span.low")) / (F.col("span.high") - F.col("span.low")) * bins)
-    placed = placed.withColumn("bin", F.least(F.lit(bins - 1), guess))
-    # rounding in the division can miss by one step; the edges decide
-    shift = F.when(F.col("v") < edge(F.col("bin")), -1).when(
-        (F.col("v") >= edge(F.col("bin") + 1)) & (F.col("bin") < bins - 1), 1
+    placed = (
+        rows.withColumn("span", span.scalar())
+        .selectExpr("v", "span", f"least({bins - 1}, floor((v - span.low) / (span.high - span.low) * {bins})) as guess")
+        # rounding in the division can miss by one step; the edges decide
+        .selectExpr(
+            f"guess + case when v < {edge('guess')} then -1 "
+            f"when v >= {edge('guess + 1')} and guess < {bins - 1} then 1 else 0 end as bin"
+        )
     )
-    placed = placed.withColumn("bin", F.col("bin") + F.coalesce(shift, F.lit(0)))
-    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy("bin").agg(F.expr("count(1) as n"))
     # at most `bins` rows on either side
-    frame = df.sparkSession.range(bins).select(F.col("id").alias("bin")).withColumn("span", span.scalar())
+    frame = df.sparkSession.range(bins).withColumnRenamed("id", "bin").withColumn("span", span.scalar())
     return (
-        frame.where(F.col("span").isNotNull())
+        frame.where("span is not null")
         .join(F.broadcast(counts), "bin", "left")
-        .select(
-            F.col("bin").cast("int").alias("bin"),
-            edge(F.col("bin")).alias("bin_start"),
-            edge(F.col("bin") + 1).alias("bin_end"),
-            F.coalesce("n", F.lit(0)).alias("count"),
+        .selectExpr(
+            "cast(bin as int) as bin",
+            f"{edge('bin')} as bin_start",
+            f"{edge('bin + 1')} as bin_end",
+            "coalesce(n, 0) as count",
         )
         .orderBy("bin")
     )
@@ -96,18 +88,13 @@ def share_of_total(counted: DataFrame, column: str = "count", name: str = "perce
 
 def min_max_scaled(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """Each column scaled to 0..1 over all rows; a constant column gives NULL."""
-    limits = df.agg(
-        F.struct(
-            *[F.min(c).alias(f"low_{c}") for c in columns], *[F.max(c).alias(f"high_{c}") for c in columns]
-        )
+    limits = df.selectExpr(
+        f"struct({', '.join(f'min({c}) as low_{c}, max({c}) as high_{c}' for c in columns)}) as limits"
     ).scalar()
-    scaled = {
-        f"{c}{suffix}": F.try_divide(
-            F.col(c) - F.col(f"limits.low_{c}"), F.col(f"limits.high_{c}") - F.col(f"limits.low_{c}")
-        )
-        for c in columns
-    }
-    return df.withColumn("limits", limits).withColumns(scaled).drop("limits")
+    scaled = [
+        f"try_divide({c} - limits.low_{c}, limits.high_{c} - limits.low_{c}) as {c}{suffix}" for c in columns
+    ]
+    return df.withColumn("limits", limits).selectExpr("*", *scaled).drop("limits")
 
 
 def matrix(df: DataFrame, row: str, column: str, value: str, columns: Sequence, prefix: str = "") -> DataFrame:

@@ -59,9 +59,9 @@ def group_metrics(
     if quantiles:
         result = grouped_with_quantiles(rows, keys, measures, quantiles)
     else:
-        result = rows.groupBy(*keys).agg(*[F.expr(sql).alias(name) for name, sql in measures.items()])
-    for name, sql in (derived or {}).items():
-        result = result.withColumn(name, F.expr(sql))
+        result = rows.groupBy(*keys).agg(*[F.expr(f"{sql} as `{name}`") for name, sql in measures.items()])
+    if derived:
+        result = result.selectExpr("*", *[f"{sql} as `{name}`" for name, sql in derived.items()])
     if having:
         result = result.where(having)
     if columns:

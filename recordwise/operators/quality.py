@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,12 @@ def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def text(value: str) -> str:
+    """SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def completeness_check(column: str) -> Check:
     c = quoted(column)
     return Check(
@@ -72,11 +78,10 @@ def range_check(column: str, low: float | None = None, high: float | None = None
 
 def pattern_check(column: str, pattern: str) -> Check:
     c = quoted(column)
-    literal = pattern.replace("\\", "\\\\").replace("'", "\\'")
     return Check(
         "pattern",
         column,
-        {"total_non_null": f"count({c})", "matching_pattern": f"count_if(rlike({c}, '{literal}'))"},
+        {"total_non_null": f"count({c})", "matching_pattern": f"count_if(rlike({c}, {text(pattern)}))"},
         {
             "not_matching": "total_non_null - matching_pattern",
             "match_percentage": "coalesce(round(try_divide(matching_pattern * 100, total_non_null), 2), 0)",
@@ -117,36 +122,34 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     for check in checks:
         for sql in check.aggregates.values():
             names.setdefault(sql, f"a{len(names)}")
-    one_row = df.agg(*[F.expr(sql).alias(name) for sql, name in names.items()])
-    staged, entries = {}, []
+    derived, entries = [], []
     for i, check in enumerate(checks):
         local = {metric: names[sql] for metric, sql in check.aggregates.items()}
         for metric, sql in check.derived.items():
-            staged[f"d{i}_{metric}"] = F.expr(_substitute(sql, local))
+            derived.append(f"{_substitute(sql, local)} as d{i}_{metric}")
             local[metric] = f"d{i}_{metric}"
-        valid = F.expr(_substitute(check.valid, local)) if check.valid else F.lit(None).cast("boolean")
-        entries += [
-            _entry(check.check, check.column, metric, F.col(name), valid) for metric, name in local.items()
-        ]
-    if staged:
-        one_row = one_row.withColumns(staged)
-    return one_row.select(F.inline(F.array(*entries)))
+        valid = _substitute(check.valid, local) if check.valid else "cast(null as boolean)"
+        entries += [_entry(check.check, check.column, metric, name, valid) for metric, name in local.items()]
+    one_row = df.selectExpr(*[f"{sql} as {name}" for sql, name in names.items()])
+    return one_row.selectExpr("*", *derived).selectExpr(_rows(entries))
 
 
 def _substitute(sql: str, local: Mapping[str, str]) -> str:
     return re.sub(r"\w+", lambda word: local.get(word[0], word[0]), sql)
 
 
-def _entry(check: str, column: str, metric: str, value: Column, valid: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(column).alias("column"),
-        F.lit(metric).alias("metric"),
-        value.cast("double").alias("value"),
-        valid.alias("is_valid"),
+def _entry(check: str, column: str, metric: str, value: str, valid: str) -> str:
+    """One report row as SQL. Reports have hundreds of rows; as text they are built at once."""
+    return (
+        f"named_struct('check', {text(check)}, 'column', {text(column)}, 'metric', {text(metric)}, "
+        f"'value', cast({value} as double), 'is_valid', {valid})"
     )
 
 
+def _rows(entries: Sequence[str]) -> str:
+    return f"inline(array({', '.join(entries)}))"
+
+
 def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return run_checks(df, [completeness_check(c) for c in columns or df.columns])
 
@@ -165,18 +168,15 @@ def uniqueness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     so no other column travels with it.
     """
     def one(column: str) -> DataFrame:
-        c = F.col(quoted(column))
-        counts = df.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("copies"))
-        totals = counts.agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct")
-        )
-        duplicates = F.col("total") - F.col("distinct")
-        metrics = {"total_count": F.col("total"), "distinct_count": F.col("distinct"), "duplicate_count": duplicates}
-        return totals.select(
-            F.inline(
-                F.array(*[_entry("uniqueness", column, m, v, duplicates == 0) for m, v in metrics.items()])
-            )
-        )
+        counts = df.groupBy(F.col(quoted(column)).alias("value")).agg(F.count(F.lit(1)).alias("copies"))
+        totals = counts.selectExpr("coalesce(sum(copies), 0) as total", "count(1) as distinct_values")
+        metrics = {
+            "total_count": "total",
+            "distinct_count": "distinct_values",
+            "duplicate_count": "total - distinct_values",
+        }
+        rows = [_entry("uniqueness", column, m, v, "total = distinct_values") for m, v in metrics.items()]
+        return totals.selectExpr(_rows(rows))
 
     return reduce(DataFrame.unionByName, [one(c) for c in columns])
 
@@ -193,25 +193,18 @@ def references(df: DataFrame, column: str, valid: DataFrame, valid_column: str |
     marked = counted.join(
         known.withColumn("found", F.lit(True)), counted["value"] == F.col("known"), "left"
     )
-    invalid = F.col("found").isNull() & F.col("value").isNotNull()
-    totals = marked.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(invalid, F.col("copies"))), F.lit(0)).alias("invalid"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("nulls"),
-    )
-    percent = F.coalesce(
-        F.round(F.try_divide((F.col("total") - F.col("invalid")) * 100, F.col("total")), 2), F.lit(0)
+    totals = marked.selectExpr(
+        "coalesce(sum(copies), 0) as total",
+        "coalesce(sum(case when found is null and value is not null then copies end), 0) as invalid",
+        "coalesce(sum(case when value is null then copies end), 0) as nulls",
     )
     metrics = {
-        "total_rows": F.col("total"),
-        "invalid_references": F.col("invalid"),
-        "null_references": F.col("nulls"),
-        "valid_percentage": percent,
+        "total_rows": "total",
+        "invalid_references": "invalid",
+        "null_references": "nulls",
+        "valid_percentage": "coalesce(round(try_divide((total - invalid) * 100, total), 2), 0)",
     }
-    ok = F.col("invalid") == 0
-    return totals.select(
-        F.inline(F.array(*[_entry("reference", column, m, v, ok) for m, v in metrics.items()]))
-    )
+    return totals.selectExpr(_rows([_entry("reference", column, m, v, "invalid = 0") for m, v in metrics.items()]))
 
 
 def references_in_list(df: DataFrame, column: str, allowed: Sequence) -> DataFrame:
@@ -249,28 +242,19 @@ def outliers(df: DataFrame, columns: Sequence[str] | None = None, sigmas: float
     left out.
     """
     columns = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)])
-    statistics = df.agg(
-        F.struct(
-            *[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev_samp(quoted(c)).alias(f"s{i}") for i, c in enumerate(columns)],
-        )
+    statistics = df.selectExpr(
+        "struct("
+        + ", ".join(f"avg({quoted(c)}) as m{i}, stddev_samp({quoted(c)}) as s{i}" for i, c in enumerate(columns))
+        + ") as st"
     ).scalar()
-    rows = df.select(*[F.col(quoted(c)).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    rows = rows.withColumn("st", statistics)
-    counted = []
-    for i, c in enumerate(columns):
-        mean, deviation = F.any_value(f"st.m{i}"), F.any_value(f"st.s{i}")
-        reach = F.col(f"st.s{i}") * sigmas
-        outside = (F.col(f"v{i}") > F.col(f"st.m{i}") + reach) | (F.col(f"v{i}") < F.col(f"st.m{i}") - reach)
-        counted.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                mean.alias("mean"),
-                deviation.alias("stddev"),
-                F.count_if(outside).alias("outliers"),
-            )
-        )
-    return rows.agg(F.array(*counted).alias("all")).select(F.inline("all")).where(F.col("stddev") != 0)
+    rows = df.selectExpr(*[f"cast({quoted(c)} as double) as v{i}" for i, c in enumerate(columns)])
+    counted = [
+        f"named_struct('column', {text(c)}, 'mean', any_value(st.m{i}), 'stddev', any_value(st.s{i}), 'outliers', "
+        f"count_if(v{i} > st.m{i} + st.s{i} * {float(sigmas)!r}d or v{i} < st.m{i} - st.s{i} * {float(sigmas)!r}d))"
+        for i, c in enumerate(columns)
+    ]
+    found = rows.withColumn("st", statistics).selectExpr(f"array({', '.join(counted)}) as found")
+    return found.selectExpr("inline(found)").where("stddev <> 0")
 
 
 def health_score(report: DataFrame, minimum: float = MIN_HEALTH_SCORE) -> DataFrame:

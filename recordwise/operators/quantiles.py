@@ -18,10 +18,8 @@ of returning a wrong value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordwise.operators.joins import join_on_groups
@@ -51,40 +49,39 @@ def grouped_with_quantiles(
     for name, (expression, probability) in quantiles.items():
         wanted.setdefault(expression, {})[name] = probability
     columns = {f"__q{i}": expression for i, expression in enumerate(wanted)}
-    rows = df.withColumns({c: F.expr(expression).cast("double") for c, expression in columns.items()})
-    aggregates = [F.expr(sql).alias(name) for name, sql in measures.items()]
+    rows = df.selectExpr("*", *[f"cast({expression} as double) as {c}" for c, expression in columns.items()])
+    aggregates = [F.expr(f"{sql} as `{name}`") for name, sql in measures.items()]
     probabilities = {c: sorted(set(wanted[e].values())) for c, e in columns.items()}
     # one map of values serves all quantiles of a column
     results = {
-        name: F.get(f"{c}_exact", F.lit(probabilities[c].index(p))).alias(name)
+        name: f"get({c}_exact, {probabilities[c].index(p)}) as `{name}`"
         for c, e in columns.items()
         for name, p in wanted[e].items()
     }
-    outputs = [*keys, *measures, *[results[name] for name in quantiles]]
+    outputs = [*[f"`{name}`" for name in (*keys, *measures)], *[results[name] for name in quantiles]]
 
     bounds = _bounds_of_large_groups(rows, keys, probabilities, small_group, accuracy)
     if bounds is None:
-        exact = [_percentiles(F.col(c), ps).alias(f"{c}_exact") for c, ps in probabilities.items()]
-        return rows.groupBy(*keys).agg(*aggregates, *exact).select(*outputs)
+        exact = [F.expr(f"{_percentiles(c, ps)} as {c}_exact") for c, ps in probabilities.items()]
+        return rows.groupBy(*keys).agg(*aggregates, *exact).selectExpr(*outputs)
 
     if keys:
         bounded = join_on_groups(rows, bounds, keys, how="left")
     else:
         bounded = rows.withColumn("__bounds", bounds.select(F.struct("*")).scalar())
-        bounded = bounded.withColumns({c: F.col(f"__bounds.{c}") for c in bounds.columns})
-    exact = [_percentiles(_narrowed(c, len(ps)), ps).alias(f"{c}_exact") for c, ps in probabilities.items()]
-    checks = [_ranks_are_bounded(c, ps).alias(f"{c}_ok") for c, ps in probabilities.items()]
-    proven = {
-        f"{c}_exact": F.when(F.col(f"{c}_ok"), F.col(f"{c}_exact")).otherwise(
-            F.raise_error(F.lit(f"a rank of {e} lies outside its sketch bounds")).cast("array<double>")
+        bounded = bounded.selectExpr("*", *[f"__bounds.{c} as {c}" for c in bounds.columns])
+    proven = [
+        F.expr(
+            f"case when {_ranks_are_bounded(c, ps)} then {_percentiles(_narrowed(c, len(ps)), ps)} "
+            f"else cast(raise_error('a rank lies outside its sketch bounds') as array<double>) end as {c}_exact"
         )
-        for c, e in columns.items()
-    }
-    return bounded.groupBy(*keys).agg(*aggregates, *exact, *checks).withColumns(proven).select(*outputs)
+        for c, ps in probabilities.items()
+    ]
+    return bounded.groupBy(*keys).agg(*aggregates, *proven).selectExpr(*outputs)
 
 
-def _percentiles(value: Column, probabilities: Sequence[float]) -> Column:
-    return F.percentile(value, F.array(*[F.lit(float(p)) for p in probabilities]))
+def _percentiles(value: str, probabilities: Sequence[float]) -> str:
+    return f"percentile({value}, array({', '.join(f'{float(p)!r}d' for p in probabilities)}))"
 
 
 def _bounds_of_large_groups(
@@ -115,30 +112,29 @@ def _bounds_of_large_groups(
     return broadcast_if_small(large_rows.groupBy(*keys).agg(*sketches))
 
 
-def _bound(value: str, i: int, side: int) -> Column:
-    return F.get(f"{value}_bounds", F.lit(2 * i + side))
+def _bound(value: str, i: int, side: int) -> str:
+    return f"get({value}_bounds, {2 * i + side})"
 
 
-def _narrowed(value: str, n: int) -> Column:
+def _narrowed(value: str, n: int) -> str:
     """The value, moved onto the nearest bound below unless it lies within some bounds.
 
     Values below the first low bound move up to it. The bounds are in ascending order.
     """
-    v = F.col(value)
-    chain = F.when(v.isNull() | F.col(f"{value}_bounds").isNull(), v)
+    cases = [f"when {value} is null or {value}_bounds is null then {value}"]
     for i in range(n):
         low, high = _bound(value, i, 0), _bound(value, i, 1)
-        chain = chain.when(v < low, low if i == 0 else _bound(value, i - 1, 1)).when(v <= high, v)
-    return chain.otherwise(_bound(value, n - 1, 1))
+        onto = low if i == 0 else _bound(value, i - 1, 1)
+        cases += [f"when {value} < {low} then {onto}", f"when {value} <= {high} then {value}"]
+    return f"case {' '.join(cases)} else {_bound(value, n - 1, 1)} end"
 
 
-def _ranks_are_bounded(value: str, probabilities: Sequence[float]) -> Column:
+def _ranks_are_bounded(value: str, probabilities: Sequence[float]) -> str:
     """Whether both neighbours of each wanted rank lie between the bounds of the group."""
-    v = F.col(value)
-    last = F.count(v) - 1
+    last = f"(count({value}) - 1)"
     inside = [
-        (F.count_if(v < _bound(value, i, 0)) <= F.floor(last * p))
-        & (F.ceil(last * p) < F.count_if(v <= _bound(value, i, 1)))
+        f"count_if({value} < {_bound(value, i, 0)}) <= floor({last} * {float(p)!r}d) "
+        f"and ceil({last} * {float(p)!r}d) < count_if({value} <= {_bound(value, i, 1)})"
         for i, p in enumerate(probabilities)
     ]
-    return F.any_value(f"{value}_bounds").isNull() | (last < 0) | reduce(and_, inside)
+    return f"any_value({value}_bounds) is null or {last} < 0 or ({' and '.join(inside)})"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from recordwise.operators.charts import correlations
 from recordwise.operators.features import add_budget_tier, add_date_parts, add_rating_tier
@@ -174,14 +173,10 @@ def summary_sections(df: DataFrame, digits: int = 2) -> DataFrame:
     one_row = one_row.withColumns({m: distinct_values(df, c) for m, c in distinct.items()})
     places = [(s, m) for s, part in sections.items() for m in part] + [("overview", m) for m in distinct]
     entries = [
-        F.struct(
-            F.lit(section).alias("section"),
-            F.lit(metric).alias("metric"),
-            F.round(F.col(metric).cast("double"), digits).alias("value"),
-        )
+        f"named_struct('section', '{section}', 'metric', '{metric}', 'value', round(cast({metric} as double), {digits}))"
         for section, metric in places
     ]
-    return one_row.select(F.inline(F.array(*entries)))
+    return one_row.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 METRIC_TABLES = {

@@ -157,7 +157,7 @@ def test_bounds_keep_the_value_map_small(spark):
 
     rows = spark.range(20_000).selectExpr("'k' as k", "id * 1.0 as __q0")
     bounds = q._bounds_of_large_groups(rows, ["k"], {"__q0": [0.5]}, 1000, 1000)
-    moved = q.join_on_groups(rows, bounds, ["k"], "left").select(q._narrowed("__q0", 1).alias("m"))
+    moved = q.join_on_groups(rows, bounds, ["k"], "left").selectExpr(f"{q._narrowed('__q0', 1)} as m")
     assert moved.distinct().count() < 400
 
 

@@ -88,8 +88,13 @@ OFFSET = 3.7e-10
 
 def rounded(df: DataFrame, offset: float = 0.0) -> DataFrame:
     """Doubles rounded to 6 digits, so that the order of summation does not show."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.round(F.col(f"`{c}`") + F.lit(offset), 6) for c in doubles}) if doubles else df
+    def one(field: T.StructField) -> str:
+        name = f"`{field.name}`"
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            return f"round({name} + {offset!r}d, 6) as {name}"
+        return name
+
+    return df.selectExpr(*[one(field) for field in df.schema.fields])
 
 
 def averaged(df: DataFrame) -> DataFrame:

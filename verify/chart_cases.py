@@ -9,7 +9,7 @@ from recordwise.operators.features import FULL_ORDER
 from recordwise.plans import batch, dashboards
 from recordwise.sources import storage
 from verify.base import averaged, batch_base, case, raw, records, rounded, sql, table, texts
-from verify.quality_cases import AS_OF, RANGES, REPORT_SQL, range_sql, rule_sql, RULES, stack, uniqueness_sql
+from verify.quality_cases import AS_OF, RANGES, range_sql, rule_sql, RULES, stack, uniqueness_sql
 from verify.report_cases import BUD, CAST_DIRECTOR, GENRE_CAST, N, POP, RATE, REV, TOTAL_BUD, TOTAL_REV, grouped
 from verify.report_cases import CAST_DIRECTOR_WHERE, GENRE_CAST_WHERE, PARTS, TIERS, COMPANIES
 

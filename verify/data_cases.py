@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recordwise.functions import dates, nested, values
 from recordwise.operators import cleaning, features

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from recordwise.operators import quality
 from recordwise.sources.records import DETAIL_SCHEMA
-from verify.base import case, cleaned, raw, records, rounded, sql, table
+from verify.base import case, raw, records, rounded, sql, table
 
 AS_OF = "2000-06-30"
 RANGES = {"budget_musd": {"min": 0, "max": 100}, "revenue_musd": {"min": 1, "max": 200}, "vote_average": {"min": 0, "max": 8}}

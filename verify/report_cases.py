@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordwise.functions.values import ordinal
-from recordwise.operators import grouping, ranking, search
+from recordwise.operators import grouping, ranking
 from recordwise.operators.features import BUDGET_LABELS
 from recordwise.plans import kpis, metrics, searches
 from recordwise.plans.rankings import RANKINGS
