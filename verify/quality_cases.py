@@ -149,13 +149,16 @@ def schema_problems(spark, folder):
 
     found = raw(spark, folder).drop("homepage", "cast", "cast_size", "director", "crew_size")
     changed = found.withColumn("runtime", F.col("runtime").cast("long")).withColumn("extra", F.lit(1))
-    return quality.schema_check(changed, T.StructType.fromDDL(DETAIL_SCHEMA))
+    problems = quality.schema_check(changed, T.StructType.fromDDL(DETAIL_SCHEMA))
+    return problems.withColumn("rows_affected", changed.agg(F.count(F.lit(1))).scalar())
 
 
 CASES = [
     case("d01_schema_check", schema_problems,
-         "select 'missing' as problem, 'homepage' as \"column\", 'string' as expected, cast(null as varchar) as actual "
-         "union all select 'extra', 'extra', null, 'int' union all select 'type', 'runtime', 'int', 'bigint'"),
+         sql.raw(
+             "select *, (select count(*) from raw) as rows_affected from (select 'missing' as problem, "
+             "'homepage' as \"column\", 'string' as expected, cast(null as varchar) as actual "
+             "union all select 'extra', 'extra', null, 'int' union all select 'type', 'runtime', 'int', 'bigint')")),
     case("d02_completeness", lambda s, d: quality.completeness(records(s, d).select(*REPORT_COLUMNS)),
          sql.records(stack(completeness_sql(REPORT_COLUMNS, "records")))),
     case("d02_completeness_lines", lambda s, d: quality.completeness(table(s, d, "lineitem")),
