@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import token_binary, token_counts, warc
+from recordwise.llm import exact_dedup, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -39,6 +39,11 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.copies(table(spark, folder, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"), vocabulary_path())
@@ -51,4 +56,4 @@ def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     return token_binary.read_shards(spark, shards)
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL}
