@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import exact_dedup, token_binary, token_counts, warc
+from recordwise.llm import exact_dedup, quality, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -56,4 +56,9 @@ def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     return token_binary.read_shards(spark, shards)
 
 
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL}

@@ -71,7 +71,7 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes in ``column``; a longer text comes alone and whole."""
     _, offsets = buffer_of(batch.column(column))
     start = 0
