@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import exact_dedup, quality, token_binary, token_counts, warc
+from recordwise.llm import exact_dedup, pieces, quality, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -61,4 +61,9 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_texts(table(spark, folder, "documents"), pieces.model_path())
+
+
 SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL}
