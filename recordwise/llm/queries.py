@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import exact_dedup, pieces, quality, token_binary, token_counts, warc
+from recordwise.llm import exact_dedup, ngram_join, pieces, quality, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -44,6 +44,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.copies(table(spark, folder, "documents"))
 
 
+@query
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_links(table(spark, folder, "documents"))
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"), vocabulary_path())
