@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import exact_dedup, ngram_join, pieces, quality, token_binary, token_counts, warc
+from recordwise.llm import decontaminate, exact_dedup, ngram_join, pieces, quality, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -55,6 +55,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_tokens")
 
 
+@query
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_binary.write_shards(table(spark, folder, "documents"), fresh_path(spark, "shards"), vocabulary_path())
