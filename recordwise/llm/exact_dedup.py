@@ -67,6 +67,20 @@ def repeated_filter(hashes: DataFrame, words_log2: int = FILTER_WORDS_LOG2) -> D
     return pairs.groupBy("entry.word").agg(F.bit_or("entry.mask").alias("bits"))
 
 
+def repeated_words(hashes: DataFrame, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
+    """A dense filter over 64-bit hashes (column ``hash``): their two halves give a bit each. ``word, bits``."""
+    halves = [F.col("hash").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("hash", 32)]
+    entries = [
+        F.struct(
+            F.shiftright(half, 6).bitwiseAND((1 << words_log2) - 1).alias("word"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), half.bitwiseAND(63).cast("int")).alias("mask"),
+        )
+        for half in halves
+    ]
+    pairs = hashes.select(F.explode(F.array(*entries)).alias("entry"))
+    return pairs.groupBy("entry.word").agg(F.bit_or("entry.mask").alias("bits"))
+
+
 def may_repeat(rows: DataFrame, dense: DataFrame, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
     """``rows`` with ``_maybe``: whether both bits of the row are set. ``dense`` has at most 2**words_log2 rows."""
     sparse = F.pmod(F.xxhash64("_sha"), F.lit(1 << SPARSE_BITS))

@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import decontaminate, exact_dedup, ngram_join, pieces, quality, token_binary, token_counts, warc
+from recordwise.llm import decontaminate, exact_dedup, ngram_join, pieces, quality, repeat_removal, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -49,6 +49,11 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_links(table(spark, folder, "documents"))
 
 
+@query
+def op4_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_removal.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents"), vocabulary_path())
@@ -76,4 +81,4 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(table(spark, folder, "documents"), pieces.model_path())
 
 
-SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL, "op4_repeat_removal": repeat_removal.SQL}
