@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import decontaminate, exact_dedup, ngram_join, pieces, quality, repeat_removal, token_binary, token_counts, warc
+from recordwise.llm import decontaminate, exact_dedup, licenses, ngram_join, pieces, quality, repeat_removal, token_binary, token_counts, warc
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -60,6 +60,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_tokens")
 
 
+@query
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, folder, "documents"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
