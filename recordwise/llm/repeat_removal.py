@@ -35,15 +35,17 @@ from pyspark.sql import functions as F
 
 from recordwise.llm.exact_dedup import repeated_words
 from recordwise.llm.run_index import RunIndex
-from recordwise.llm.spans import U64, Prefix, buffer_of, mixed, slices
+from recordwise.llm.spans import BASES, U64, Prefix, buffer_of, mixed, slices
 from recordwise.operators.sizing import fresh_path
 
-LENGTH, GRAM = 100, 16
-SLICE = 8 << 20
-CHUNK_BYTES = 1 << 20
+LENGTH = 100
+GRAM = 16
+SLICE = 2 << 20
+CHUNK_BYTES = 1 << 18
 GROUP_BYTES = 8 << 20
 FILTER_WORDS_LOG2 = 20
-PLACES = U64((1 << 24) - 1)
+PLACE_BITS = 16
+PLACES = U64((1 << PLACE_BITS) - 1)
 NO_ID = -(1 << 63)
 
 
@@ -55,48 +57,56 @@ def keyed(documents: DataFrame) -> DataFrame:
     )
 
 
-def phrases_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document, start, end, minimiser hash, phrase hash) of all phrases, in order; positions in the buffer."""
-    n, windows = len(data), length - gram + 1
-    nothing = np.zeros(0, np.int64)
-    if n < length:
-        return nothing, nothing, nothing, nothing.view(U64), nothing.view(U64)
-    prefix, found = Prefix(data), []
-    block = int(PLACES)  # places within a block fit the low bits of a key
-    for at in range(0, n - length + 1, block - length):
-        places = np.arange(at, min(at + block, n - gram + 1))
-        grams = prefix.ranges(places, places + gram)
-        best = (grams & ~PLACES) | (places - at).astype(U64)
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the ``GRAM`` = 16 bytes from each place, from two overlapping views of 8 bytes each."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    h = (eight[:-8] * U64(BASES[0]) + eight[8:]) * U64(BASES[1])
+    h ^= h >> U64(32)
+    h *= U64(0x94D049BB133111EB)
+    return h
+
+
+def phrases_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(document, start, end, minimiser hash) of all phrases, in order; positions in the buffer."""
+    n, windows = len(data), length - GRAM + 1
+    owner_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    last_start = (offsets[1:] - length).astype(np.int64)
+    found, block = [], (1 << PLACE_BITS) - length  # small enough to stay in the cache
+    for at in range(0, n - length + 1, block):
+        piece = data[at : min(at + block + length - 1, n)]
+        grams = gram_hashes(piece)
+        places = np.arange(len(grams), dtype=U64)
+        best = (grams & ~PLACES) | places
         width = 1
         while width * 2 <= windows:
             best = np.minimum(best[:-width], best[width:])
             width *= 2
         if windows > width:
             best = np.minimum(best[: width - windows], best[windows - width :])
-        chosen = (best & PLACES).astype(np.int64)
-        starts = at + np.arange(min(len(best), block - length))
-        owner = np.searchsorted(offsets, starts, "right") - 1
-        inside = starts + length <= offsets[owner + 1]
-        starts, owner, chosen = starts[inside], owner[inside], chosen[: len(inside)][inside]
-        if len(starts):
-            new = np.ones(len(starts), bool)
-            new[1:] = (chosen[1:] != chosen[:-1]) | (starts[1:] != starts[:-1] + 1) | (owner[1:] != owner[:-1])
-            heads = np.flatnonzero(new)
-            last = np.append(heads[1:], len(starts)) - 1
-            found.append((owner[heads], starts[heads], starts[last] + length, grams[chosen[heads]]))
+        chosen = (best & PLACES).astype(np.int32)
+        owner = owner_of[at : at + len(chosen)]
+        inside = np.arange(at, at + len(chosen)) <= last_start[owner]
+        new = np.ones(len(chosen) + 1, bool)  # where a phrase or a gap begins
+        new[1:-1] = (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1])
+        heads = np.flatnonzero(new)
+        tails, heads = heads[1:], heads[:-1]
+        real = inside[heads]
+        heads, tails = heads[real], tails[real]
+        found.append((owner[heads], heads + at, tails + (at + length - 1), grams[chosen[heads]]))
     if not found:
-        return nothing, nothing, nothing, nothing.view(U64), nothing.view(U64)
+        nothing = np.zeros(0, np.int64)
+        return nothing, nothing, nothing, nothing.view(U64)
     owner, starts, ends, minimiser = (np.concatenate(c) for c in zip(*found))
-    return owner, starts, ends, mixed(minimiser), prefix.ranges(starts, ends)
+    return owner.astype(np.int64), starts, ends, mixed(minimiser)
 
 
-def minimisers(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def minimisers(texts: DataFrame, length: int) -> DataFrame:
     """``hash, times`` (1, or 2 for more) of the minimisers of each slice of input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                *_, minimiser, _ = phrases_of(*buffer_of(part.column("text")), length, gram)
+                *_, minimiser = phrases_of(*buffer_of(part.column("text")), length)
                 values, times = np.unique(minimiser, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values.view(np.int64)), pa.array(np.minimum(times, 2).astype(np.int32))], ["hash", "times"]
@@ -132,18 +142,19 @@ def batch_of(columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, KINDS)], COLUMNS)
 
 
-def candidates(texts: DataFrame, dense, length: int, gram: int) -> DataFrame:
+def candidates(texts: DataFrame, dense, length: int) -> DataFrame:
     """Phrases that may repeat, with their bytes; and marks (no bytes) for later copies within a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 data, offsets = buffer_of(part.column("text"))
-                owner, starts, ends, minimiser, phrase = phrases_of(data, offsets, length, gram)
+                owner, starts, ends, minimiser = phrases_of(data, offsets, length)
                 kept = in_filter(dense.value, minimiser)
-                owner, starts, ends, minimiser, phrase = (x[kept] for x in (owner, starts, ends, minimiser, phrase))
+                owner, starts, ends, minimiser = (x[kept] for x in (owner, starts, ends, minimiser))
                 if not len(owner):
                     continue
+                phrase = Prefix(data).ranges(starts, ends)
                 ids, ties = (part.column(c).to_numpy()[owner] for c in ("id", "tie"))
                 inner = starts - offsets[owner]
                 size = ends - starts
@@ -274,7 +285,7 @@ def window_marks(loose: DataFrame, length: int) -> DataFrame:
                 at = np.arange(max(0, len(data) - length + 1))
                 row = np.searchsorted(offsets, at, "right") - 1
                 at, row = at[at + length <= offsets[row + 1]], row[at + length <= offsets[row + 1]]
-                hashes = [Prefix(data, base).ranges(at, at + length).view(np.int64) for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+                hashes = [Prefix(data, base).ranges(at, at + length).view(np.int64) for base in BASES]
                 start = part.column("start").to_numpy()[row] + at - offsets[row]
                 ids, ties = (part.column(c).to_numpy()[row] for c in ("id", "tie"))
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*hashes, ids, ties, start)], ["h1", "h2", "id", "tie", "start"])
@@ -286,13 +297,13 @@ def window_marks(loose: DataFrame, length: int) -> DataFrame:
     return later.select("id", "tie", "start", (F.col("start") + length).alias("end"))
 
 
-def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
+def repeated_spans(documents: DataFrame, length: int = LENGTH, group_bytes: int = GROUP_BYTES, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
     """``id, tie, start, end``: marks, which may overlap, of the bytes to remove."""
     spark = documents.sparkSession
     texts = keyed(documents)
-    counted = minimisers(texts, length, gram).groupBy("hash").agg(F.sum("times").alias("times")).where("times > 1")
+    counted = minimisers(texts, length).groupBy("hash").agg(F.sum("times").alias("times")).where("times > 1")
     dense = spark.sparkContext.broadcast(filter_array(repeated_words(counted.select("hash"), words_log2), words_log2))
-    marked = index_marks(candidates(texts, dense, length, gram), length, group_bytes)
+    marked = index_marks(candidates(texts, dense, length), length, group_bytes)
     path = fresh_path(spark, "repeats")
     marked.drop("group", "phrase").write.parquet(path)
     stored = spark.read.schema("id long, tie long, start long, end long, bytes binary").parquet(path)
@@ -301,9 +312,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM,
     return marks if loose.isEmpty() else marks.union(window_marks(loose, length))
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = LENGTH, group_bytes: int = GROUP_BYTES, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the bytes that stay) of every document."""
-    spans = repeated_spans(documents, length, gram, group_bytes, words_log2)
+    spans = repeated_spans(documents, length, group_bytes, words_log2)
     lists = spans.groupBy("id", "tie").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     met = keyed(documents).join(lists, ["id", "tie"], "left").select("id", "text", "spans.start", "spans.end")
 
