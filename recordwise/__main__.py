@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
             settings = json.load(file)
     raw = read_records(spark, chosen.raw, chosen.format)
     records = batch.run_batch(spark, raw, chosen.base, chosen.run_id, batch.RunConfig.from_dict(settings))
-    records.orderBy("ts", "stage", "metric").show(200, truncate=False)
+    records.orderBy("ts", "stage", "metric").show(records.count(), truncate=False)
     return 0 if records.where("metric = 'succeeded'").agg(F.min("value")).first()[0] == 1.0 else 1
 
 

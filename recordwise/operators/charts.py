@@ -20,9 +20,10 @@ def histogram(
     ``value`` is a SQL expression. ``within`` first restricts the values to a closed
     interval. Every bin is returned, empty ones with 0; a bin includes its lower edge and
     the last bin also its upper edge. When all values are equal the steps cover half a unit
-    on either side. No values at all give no rows.
+    on either side. NaN has no place on the axis and is left out, like NULL; ``unplaced`` counts
+    both. No values at all give no rows.
     """
-    known = "v is not null" if within is None else f"v between {within[0]} and {within[1]}"
+    known = "v is not null and not isnan(v)" if within is None else f"v between {within[0]} and {within[1]} and not isnan(v)"
     rows = (df.where(where) if where else df).selectExpr(f"cast({value} as double) as v").where(known)
     span = rows.selectExpr(
         "case when count(v) > 0 then named_struct("
@@ -57,6 +58,28 @@ def histogram(
     )
 
 
+def grid_counts(df: DataFrame, x: str, y: str, bins: int, where: str | None = None) -> DataFrame:
+    """Rows per cell of a grid of ``bins`` by ``bins`` equal steps over the spans of two SQL expressions.
+
+    Rows where one of them is NULL or NaN are left out; only cells with rows are returned.
+    """
+    rows = (df.where(where) if where else df).selectExpr(f"cast({x} as double) as x", f"cast({y} as double) as y")
+    rows = rows.where("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    span = rows.selectExpr("named_struct('x0', min(x), 'x1', max(x), 'y0', min(y), 'y1', max(y)) as span").scalar()
+
+    def step(v: str) -> str:
+        return f"cast(coalesce(least({bins - 1}, floor(try_divide({v} - span.{v}0, span.{v}1 - span.{v}0) * {bins})), 0) as int)"
+
+    placed = rows.withColumn("span", span).selectExpr(f"{step('x')} as x_bin", f"{step('y')} as y_bin")
+    return placed.groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+
+
+def unplaced(df: DataFrame, value: str, where: str | None = None) -> DataFrame:
+    """One row: the rows of a histogram's frame, and those of them with NULL and with NaN."""
+    rows = (df.where(where) if where else df).selectExpr(f"cast({value} as double) as v")
+    return rows.selectExpr("count(1) as rows", "count_if(v is null) as nulls", "count_if(isnan(v)) as nans")
+
+
 BOX_QUANTILES = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordwise.functions.dates import as_date
 from recordwise.functions.nested import joined, names_in_json
@@ -75,29 +76,38 @@ def convert_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
+def _comparable(df: DataFrame) -> list[Column]:
+    """All columns in an order that depends on nothing but their values; maps count by their sorted entries."""
+    columns = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        columns.append(F.array_sort(F.map_entries(column)) if isinstance(field.dataType, T.MapType) else column)
+    return columns
+
+
 def one_per_key(
-    df: DataFrame, key: str = "id", order_by: str | None = None, keep: str = "first"
+    df: DataFrame, key: str | Sequence[str] = "id", order_by: str | None = None, keep: str = "first"
 ) -> DataFrame:
-    """One row per key.
+    """One row per key (one or several columns), the same one however the rows are laid out.
 
-    Without ``order_by`` the kept row is arbitrary. With it, the row with the smallest
-    (``keep="first"``) or largest (``keep="last"``) value stays; rows with a NULL order value
-    stay only if their key has no other. Both forms combine rows before the shuffle, so a
+    Without ``order_by`` the row with the smallest values stays, compared column by column in
+    the frame's order, NULL first. With it, the row with the smallest (``keep="first"``) or
+    largest (``keep="last"``) value stays, equal ones decided as above; rows with a NULL order
+    value stay only if their key has no other. Rows are combined before the shuffle, so a
     key with very many copies reaches its final task as a few rows.
     """
-    if order_by is None:
-        return df.dropDuplicates([key])
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
+    keys = [key] if isinstance(key, str) else list(key)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    present = F.col(order_by).isNotNull()
-    # Equal order values are decided by a hash of the row, so the choice is repeatable.
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    if keep == "first":
-        chosen = F.min_by(row, F.struct(~present, F.col(order_by), tie))
+    order = _comparable(df)
+    if order_by is None:
+        chosen = F.min_by(row, F.struct(*order))
+    elif keep == "first":
+        chosen = F.min_by(row, F.struct(F.col(order_by).isNull(), F.col(order_by), *order))
     else:
-        chosen = F.max_by(row, F.struct(present, F.col(order_by), tie))
-    return df.groupBy(key).agg(chosen.alias("__row")).select("__row.*")
+        chosen = F.max_by(row, F.struct(F.col(order_by).isNotNull(), F.col(order_by), *order))
+    return df.groupBy(*keys).agg(chosen.alias("__row")).select("__row.*")
 
 
 def require_columns(df: DataFrame, columns: Sequence[str] = ("id", "title")) -> DataFrame:
@@ -114,7 +124,14 @@ def keep_status(df: DataFrame, value: str = KEPT_STATUS, column: str = "status")
     return df.where(F.col(column) == value).drop(column)
 
 
-def repair_records(df: DataFrame, key: str = "id", title: str = "title") -> DataFrame:
+def repair_records(
+    df: DataFrame,
+    key: str = "id",
+    title: str = "title",
+    zero_columns: Iterable[str] = ZERO_IS_MISSING,
+    placeholder_columns: Iterable[str] = PLACEHOLDER_COLUMNS,
+    placeholders: Sequence[str] = PLACEHOLDERS,
+) -> DataFrame:
     """Missing-value repair, deduplication and row filters in one chain.
 
     Rows without a key are removed before deduplication, which changes no result and keeps
@@ -122,8 +139,8 @@ def repair_records(df: DataFrame, key: str = "id", title: str = "title") -> Data
     record is kept decides whether the record passes.
     """
     return (
-        df.transform(zero_to_null)
-        .transform(placeholder_to_null)
+        df.transform(zero_to_null, zero_columns)
+        .transform(placeholder_to_null, placeholder_columns, placeholders)
         .dropna(subset=[key])
         .transform(one_per_key, key)
         .transform(require_columns, (key, title))
@@ -131,12 +148,12 @@ def repair_records(df: DataFrame, key: str = "id", title: str = "title") -> Data
     )
 
 
-def clean(df: DataFrame, extra_drops: Iterable[str] = ()) -> DataFrame:
-    """Raw nested records to the flat cleaned table."""
+def clean(df: DataFrame, extra_drops: Iterable[str] = (), **repairs) -> DataFrame:
+    """Raw nested records to the flat cleaned table; ``repairs`` goes to ``repair_records``."""
     return (
         df.transform(drop_columns, DROPPED, extra_drops)
         .transform(flatten_nested)
-        .transform(repair_records)
+        .transform(repair_records, **repairs)
     )
 
 

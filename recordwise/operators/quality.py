@@ -215,8 +215,8 @@ def references_in_list(df: DataFrame, column: str, allowed: Sequence) -> DataFra
     return references(df, column, values)
 
 
-def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Missing, extra and wrongly typed columns, one row each; no rows means a match."""
+def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """Missing, extra and wrongly typed columns, from the schemas alone."""
     actual = {f.name: f.dataType for f in df.schema.fields}
     wanted = {f.name: f.dataType for f in expected.fields}
     rows = [("missing", n, t.simpleString(), None) for n, t in wanted.items() if n not in actual]
@@ -226,7 +226,32 @@ def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
         for n, t in wanted.items()
         if n in actual and actual[n] != t
     ]
-    return df.sparkSession.createDataFrame(rows, "problem string, column string, expected string, actual string")
+    return rows
+
+
+def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
+    """How many rows fit the expected type, one row per expected or extra column, in one scan.
+
+    ``rows`` counts all rows, ``wrong`` those whose value does not convert to the expected type; for a
+    missing column all rows are wrong, for an extra one none.
+    """
+    differences = {name: problem for problem, name, *_ in schema_differences(df, expected)}
+    wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    extra = [n for n, problem in differences.items() if problem == "extra"]
+
+    def wrong(name: str) -> str:
+        problem = differences.get(name)
+        if problem == "missing":
+            return "count(1)"
+        return f"count_if({quoted(name)} is not null and try_cast({quoted(name)} as {wanted[name]}) is null)" if problem == "type" else "0L"
+
+    entries = [
+        f"named_struct('column', {text(n)}, 'expected', {text(wanted.get(n, ''))}, 'problem', {text(differences.get(n, ''))}, "
+        f"'rows', count(1), 'wrong', {wrong(n)})"
+        for n in [*wanted, *extra]
+    ]
+    found = df.selectExpr(f"array({', '.join(entries)}) as found").selectExpr("inline(found)")
+    return found.selectExpr("column", "nullif(expected, '') as expected", "nullif(problem, '') as problem", "rows", "wrong")
 
 
 def rows_with_many_nulls(df: DataFrame, maximum: int = 5) -> DataFrame:
@@ -238,16 +263,13 @@ def rows_with_many_nulls(df: DataFrame, maximum: int = 5) -> DataFrame:
 def outliers(df: DataFrame, columns: Sequence[str] | None = None, sigmas: float = 3.0) -> DataFrame:
     """Rows outside mean +/- ``sigmas`` deviations, counted per numeric column.
 
-    Two scans for all columns together. A column whose deviation is zero or unknown is
-    left out.
+    Two scans for all columns together. NaN is no measurement: it counts neither in the mean
+    nor as an outlier. A column whose deviation is zero or unknown is left out.
     """
     columns = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)])
-    statistics = df.selectExpr(
-        "struct("
-        + ", ".join(f"avg({quoted(c)}) as m{i}, stddev_samp({quoted(c)}) as s{i}" for i, c in enumerate(columns))
-        + ") as st"
-    ).scalar()
-    rows = df.selectExpr(*[f"cast({quoted(c)} as double) as v{i}" for i, c in enumerate(columns)])
+    rows = df.selectExpr(*[f"nanvl(cast({quoted(c)} as double), null) as v{i}" for i, c in enumerate(columns)])
+    measured = ", ".join(f"avg(v{i}) as m{i}, stddev_samp(v{i}) as s{i}" for i in range(len(columns)))
+    statistics = rows.selectExpr(f"struct({measured}) as st").scalar()
     counted = [
         f"named_struct('column', {text(c)}, 'mean', any_value(st.m{i}), 'stddev', any_value(st.s{i}), 'outliers', "
         f"count_if(v{i} > st.m{i} + st.s{i} * {float(sigmas)!r}d or v{i} < st.m{i} - st.s{i} * {float(sigmas)!r}d))"

@@ -1,33 +1,27 @@
-"""Exact quantiles per group whose memory does not grow with the largest group.
-
-Spark's ``percentile`` keeps one map of distinct values per group inside one task. For
-a group that holds a large part of all rows this map does not fit. Here such a group
-is first narrowed:
-
-1. a sketch (``percentile_approx``) gives a low and a high bound around each wanted rank;
-2. every value outside all bounds is moved onto the bound below it;
-3. ``percentile`` runs on the moved values.
-
-Moving never changes the order of values, so the value at a rank inside the bounds stays
-the same, and the map holds only the few distinct values between the bounds. Groups
-of at most ``small_group`` rows skip steps 1 and 2. A count of the rows below and within
-the bounds proves for each group that its rank was inside; otherwise the job fails instead
-of returning a wrong value.
+"""Exact quantiles per group by counting ranks, one way for groups of every size.
+
+Spark's ``percentile`` keeps a map of all distinct values of a group in one task. Here the
+distinct values are counted first, which combines rows before the shuffle, and fall into buckets
+by a fixed monotone function (256 steps for each power of two). Sums over the buckets of a group
+tell in which bucket a wanted rank lies, and only those buckets' values are put in order with a
+running sum. The order is a sort that can spill, a large group is spread over its buckets, and
+no task holds a map or list of values. Nothing runs before the caller's own action.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordwise.operators.joins import join_on_groups
-from recordwise.operators.sizing import broadcast_if_small, settle
 
-SMALL_GROUP = 100_000
-ACCURACY = 10_000
-MARGIN = 5  # bound distance from the wanted rank, in units of the sketch error
+BUCKET = (
+    "case when __value = 0 then 0L when isnan(__value) then 2147483647L "
+    "when abs(__value) = double('infinity') then cast(signum(__value) as bigint) * 2147483646L "
+    "else cast(signum(__value) as bigint) * cast(floor((log2(abs(__value)) + 1080) * 256) + 1 as bigint) end"
+)
 
 
 def grouped_with_quantiles(
@@ -35,106 +29,63 @@ def grouped_with_quantiles(
     keys: Sequence[str],
     measures: Mapping[str, str],
     quantiles: Mapping[str, tuple[str, float]],
-    small_group: int = SMALL_GROUP,
-    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Group ``df`` and return measures plus exact quantiles.
 
     ``measures`` maps output names to SQL aggregates; ``quantiles`` maps output names to
     ``(value expression, probability)``. Without keys the result is one row. Quantiles
-    interpolate linearly between neighbours, so probability 0.5 is the median.
+    interpolate linearly between neighbours, so probability 0.5 is the median; NaN counts as
+    the largest value and NULL not at all.
     """
     keys = list(keys)
     wanted: dict[str, dict[str, float]] = {}  # value expression -> output name -> probability
     for name, (expression, probability) in quantiles.items():
         wanted.setdefault(expression, {})[name] = probability
-    columns = {f"__q{i}": expression for i, expression in enumerate(wanted)}
-    rows = df.selectExpr("*", *[f"cast({expression} as double) as {c}" for c, expression in columns.items()])
-    aggregates = [F.expr(f"{sql} as `{name}`") for name, sql in measures.items()]
-    probabilities = {c: sorted(set(wanted[e].values())) for c, e in columns.items()}
-    # one map of values serves all quantiles of a column
-    results = {
-        name: f"get({c}_exact, {probabilities[c].index(p)}) as `{name}`"
-        for c, e in columns.items()
-        for name, p in wanted[e].items()
-    }
-    outputs = [*[f"`{name}`" for name in (*keys, *measures)], *[results[name] for name in quantiles]]
-
-    bounds = _bounds_of_large_groups(rows, keys, probabilities, small_group, accuracy)
-    if bounds is None:
-        exact = [F.expr(f"{_percentiles(c, ps)} as {c}_exact") for c, ps in probabilities.items()]
-        return rows.groupBy(*keys).agg(*aggregates, *exact).selectExpr(*outputs)
-
+    found = _ranked(df, keys, wanted)
+    aggregates = [F.expr(f"{sql} as `{name}`") for name, sql in measures.items()] or [F.lit(1).alias("__none")]
+    measured = df.groupBy(*keys).agg(*aggregates)
     if keys:
-        bounded = join_on_groups(rows, bounds, keys, how="left")
+        joined = join_on_groups(measured, found, keys, how="left")
     else:
-        bounded = rows.withColumn("__bounds", bounds.select(F.struct("*")).scalar())
-        bounded = bounded.selectExpr("*", *[f"__bounds.{c} as {c}" for c in bounds.columns])
-    proven = [
-        F.expr(
-            f"case when {_ranks_are_bounded(c, ps)} then {_percentiles(_narrowed(c, len(ps)), ps)} "
-            f"else cast(raise_error('a rank lies outside its sketch bounds') as array<double>) end as {c}_exact"
-        )
-        for c, ps in probabilities.items()
-    ]
-    return bounded.groupBy(*keys).agg(*aggregates, *proven).selectExpr(*outputs)
-
-
-def _percentiles(value: str, probabilities: Sequence[float]) -> str:
-    return f"percentile({value}, array({', '.join(f'{float(p)!r}d' for p in probabilities)}))"
-
-
-def _bounds_of_large_groups(
-    rows: DataFrame,
-    keys: list[str],
-    probabilities: Mapping[str, Sequence[float]],
-    small_group: int,
-    accuracy: int,
-) -> DataFrame | None:
-    """One row per group above ``small_group`` rows; None if there is none.
-
-    There are at most (total rows / small_group) such groups. Column ``<value>_bounds`` holds
-    low and high for each probability in turn, or NULL where so few values are known
-    that they need no bounds.
-    """
-    large = settle(
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > small_group)
+        joined = measured.withColumn("__found", found.select(F.struct("*").alias("s")).scalar())
+        joined = joined.select(*measured.columns, "__found.*")
+    return joined.select(*[F.col(f"`{c}`") for c in (*keys, *measures, *quantiles)])
+
+
+def _ranked(df: DataFrame, keys: list[str], wanted: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """One row per key with all quantiles."""
+    entries = [f"named_struct('c', {i}, 'v', cast({expression} as double))" for i, expression in enumerate(wanted)]
+    values = df.selectExpr(*[f"`{k}`" for k in keys], f"explode(array({', '.join(entries)})) as __entry")
+    values = values.select(*keys, F.col("__entry.c").alias("__col"), F.col("__entry.v").alias("__value")).where("__value is not null")
+    counted = values.groupBy(*keys, "__col", "__value").agg(F.count(F.lit(1)).alias("__n")).withColumn("__bucket", F.expr(BUCKET))
+
+    series, place = [*keys, "__col"], [*keys, "__col", "__bucket"]
+    sums = counted.groupBy(*place).agg(F.sum("__n").alias("__in"))
+    whole = Window.partitionBy(*series)
+    sums = sums.withColumns(
+        {
+            "__before": F.sum("__in").over(whole.orderBy("__bucket")) - F.col("__in"),
+            "__total": F.sum("__in").over(whole),
+        }
     )
-    if large.isEmpty():
-        return None
-    large_rows = join_on_groups(rows, broadcast_if_small(large), keys) if keys else rows
-    sketches = []
-    for value, ps in probabilities.items():
-        shifted = [p + side * MARGIN / accuracy for p in ps for side in (-1, 1)]
-        at = F.array(*[F.lit(min(1.0, max(0.0, p))) for p in shifted])
-        sketch = F.percentile_approx(F.col(value), at, F.lit(accuracy))
-        sketches.append(F.when(F.count(F.col(value)) > small_group, sketch).alias(f"{value}_bounds"))
-    return broadcast_if_small(large_rows.groupBy(*keys).agg(*sketches))
-
-
-def _bound(value: str, i: int, side: int) -> str:
-    return f"get({value}_bounds, {2 * i + side})"
-
-
-def _narrowed(value: str, n: int) -> str:
-    """The value, moved onto the nearest bound below unless it lies within some bounds.
-
-    Values below the first low bound move up to it. The bounds are in ascending order.
-    """
-    cases = [f"when {value} is null or {value}_bounds is null then {value}"]
-    for i in range(n):
-        low, high = _bound(value, i, 0), _bound(value, i, 1)
-        onto = low if i == 0 else _bound(value, i - 1, 1)
-        cases += [f"when {value} < {low} then {onto}", f"when {value} <= {high} then {value}"]
-    return f"case {' '.join(cases)} else {_bound(value, n - 1, 1)} end"
-
-
-def _ranks_are_bounded(value: str, probabilities: Sequence[float]) -> str:
-    """Whether both neighbours of each wanted rank lie between the bounds of the group."""
-    last = f"(count({value}) - 1)"
-    inside = [
-        f"count_if({value} < {_bound(value, i, 0)}) <= floor({last} * {float(p)!r}d) "
-        f"and ceil({last} * {float(p)!r}d) < count_if({value} <= {_bound(value, i, 1)})"
-        for i, p in enumerate(probabilities)
-    ]
-    return f"any_value({value}_bounds) is null or {last} < 0 or ({' and '.join(inside)})"
+    inside = " or ".join(
+        f"(__col = {i} and floor((__total - 1) * {p!r}d) < __before + __in and ceil((__total - 1) * {p!r}d) >= __before)"
+        for i, ps in enumerate(wanted.values())
+        for p in sorted({float(p) for p in ps.values()})
+    )
+    needed = sums.where(inside).drop("__in")
+    met = join_on_groups(counted, needed, place)
+    running = Window.partitionBy(*place).orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = met.withColumn("__last", F.col("__before") + F.sum("__n").over(running)).withColumn("__first", F.col("__last") - F.col("__n"))
+
+    def at(column: int, rank: str) -> str:
+        return f"max(case when __col = {column} and {rank} >= __first and {rank} < __last then __value end)"
+
+    outputs = []
+    for i, names in enumerate(wanted.values()):
+        for name, p in names.items():
+            rank = f"(__total - 1) * {float(p)!r}d"
+            low, high = at(i, f"floor({rank})"), at(i, f"ceil({rank})")
+            share = f"max(case when __col = {i} then {rank} - floor({rank}) end)"
+            outputs.append(F.expr(f"case when {share} = 0 then {low} else {low} + ({high} - {low}) * {share} end as `{name}`"))
+    return ordered.groupBy(*keys).agg(*outputs)

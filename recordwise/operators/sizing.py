@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +13,12 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Where the setting is missing, a local temporary folder is used, but only for a
-    local master: on a cluster another executor could not read it back.
-    """
+    """Folder that every executor can reach, as named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="recordwise-"))
-    return context.getCheckpointDir()
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

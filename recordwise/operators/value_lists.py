@@ -1,46 +1,19 @@
-"""Lists of values per group, kept whole but in parts of bounded length."""
+"""The members of groups, as a relation of their own."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from recordwise.operators.joins import join_on_groups
-from recordwise.operators.sizing import broadcast_if_small
 
-PART_SIZE = 10_000
 
+def group_members(rows: DataFrame, groups: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per member of each of ``groups``: the keys and ``columns``.
 
-def with_value_lists(
-    groups: DataFrame,
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    row_key: str,
-    size: str,
-    name: str,
-    part_size: int = PART_SIZE,
-) -> DataFrame:
-    """Add to each group the sorted list of ``value`` over its rows.
-
-    ``groups`` has one row per key with the row count in column ``size``. A group of at
-    most ``part_size`` rows yields one row with its complete list and ``list_part`` 0. A
-    larger group yields several rows with the same metrics and list parts of about
-    ``part_size`` values, split by a hash of ``row_key``, so no task ever holds a whole
-    large group. NULL values are left out, as ``collect_list`` does.
+    A list of members inside a group's row would grow with the group; rows do not, so a group of
+    any size looks the same and no task holds one whole.
     """
     keys = list(keys)
-    metrics = [c for c in groups.columns if c not in keys]
-    members = join_on_groups(
-        rows.select(*keys, F.col(value).alias("__value"), F.xxhash64(row_key).alias("__hash")),
-        broadcast_if_small(groups),
-        keys,
-    )
-    parts = F.ceil(F.col(size) / F.lit(part_size))
-    return (
-        members.withColumn("list_part", F.pmod(F.col("__hash"), parts).cast("int"))
-        .groupBy(*keys, *metrics, "list_part")
-        .agg(F.sort_array(F.collect_list("__value")).alias(name))
-    )
+    return join_on_groups(rows.select(*keys, *columns), groups.select(*keys), keys)

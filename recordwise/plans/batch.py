@@ -28,12 +28,15 @@ class RunConfig:
     """Parameters of a run; rules and searches are plain dictionaries.
 
     ``as_of`` is the day against which future dates are judged, by default today.
-    ``years`` are the columns of the rating matrix, by default the years of the data.
+    ``years`` are the columns of the rating matrix; without them it comes as rows. ``repairs`` are
+    the arguments of the missing-value repair, ``partition_by`` the columns of the feature table.
     """
 
     as_of: str | None = None
     years: Sequence[int] | None = None
     dropped: Sequence[str] = ()
+    repairs: Mapping = field(default_factory=dict)
+    partition_by: Sequence[str] = ("release_year",)
     ranges: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     patterns: Mapping[str, str] = field(default_factory=dict)
     declared_checks: Sequence[Mapping] = ()
@@ -46,25 +49,48 @@ class RunConfig:
 
     @classmethod
     def from_dict(cls, settings: Mapping) -> RunConfig:
-        """Take what a nested settings dictionary names; everything else keeps its default."""
-        def at(*path: str, default=None):
-            found = settings
-            for part in path:
-                found = found.get(part) if isinstance(found, Mapping) else None
-            return default if found is None else found
-
-        return cls(
-            dropped=at("processing", "columns_to_drop", default=()),
-            ranges=at("validation", "ranges", default={}),
-            patterns=at("validation", "patterns", default={}),
-            declared_checks=at("testing", "data_validation", "checks", default=()),
-            min_health_score=at("validation", "min_health_score", default=quality.MIN_HEALTH_SCORE),
-            rankings=at("kpis", "rankings", "metrics", default=RANKINGS),
-            ranked=at("kpis", "rankings", "top_n", default=10),
-            min_director_movies=at("kpis", "director", "min_movies", default=1),
-            genre_cast_search=at("queries", "search_1", default={}),
-            cast_director_search=at("queries", "search_2", default={}),
-        )
+        """Take what a nested settings dictionary names; the rest keeps its default, an unknown name is an error."""
+        given = {}
+        for path, value in _leaves(settings):
+            if path not in SETTINGS:
+                raise ValueError(f"unknown setting {'.'.join(path)!r}")
+            target, *inner = SETTINGS[path]
+            if inner:
+                given.setdefault(target, {})[inner[0]] = value
+            else:
+                given[target] = value
+        return cls(**given)
+
+
+# Settings by their path: the parameter of a run, and the key within it where it is a dictionary.
+SETTINGS = {
+    ("processing", "columns_to_drop"): ("dropped",),
+    ("processing", "replacements", "zero_to_null"): ("repairs", "zero_columns"),
+    ("processing", "replacements", "placeholder_columns"): ("repairs", "placeholder_columns"),
+    ("processing", "replacements", "placeholder_values"): ("repairs", "placeholders"),
+    ("output", "partitioning", "columns"): ("partition_by",),
+    ("validation", "ranges"): ("ranges",),
+    ("validation", "patterns"): ("patterns",),
+    ("testing", "data_validation", "checks"): ("declared_checks",),
+    ("validation", "min_health_score"): ("min_health_score",),
+    ("kpis", "rankings", "metrics"): ("rankings",),
+    ("kpis", "rankings", "top_n"): ("ranked",),
+    ("kpis", "director", "min_movies"): ("min_director_movies",),
+    ("queries", "search_1"): ("genre_cast_search",),
+    ("queries", "search_2"): ("cast_director_search",),
+}
+
+
+def _leaves(settings: Mapping, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], object]]:
+    """The named settings; a dictionary that is itself a value is not entered."""
+    found = []
+    for name, value in settings.items():
+        here = (*path, name)
+        if here not in SETTINGS and isinstance(value, Mapping):
+            found += _leaves(value, here)
+        else:
+            found.append((here, value))
+    return found
 
 
 def _run_folder(base: str, kind: str, run_id: str, *rest: str) -> str:
@@ -78,21 +104,21 @@ def _counted(df: DataFrame, write: Callable[[DataFrame], object]) -> int:
     return seen.get["rows"]
 
 
-def ingest(spark: SparkSession, raw: DataFrame, base: str) -> dict[str, float]:
-    return {"record_count": _counted(raw, lambda rows: storage.write_raw(rows, base))}
+def ingest(spark: SparkSession, raw: DataFrame, base: str, run_id: str) -> dict[str, float]:
+    return {"record_count": _counted(raw, lambda rows: storage.write_raw(rows, base, run_id))}
 
 
 def clean_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
-    raw = read_records(spark, posixpath.join(base, "raw", "records.parquet"), schema=RECORD_SCHEMA)
-    rows = _counted(cleaning.clean(raw, config.dropped), lambda df: storage.write_stage(df, base, CLEANED, run_id))
+    raw = read_records(spark, storage.raw_path(base, run_id), schema=RECORD_SCHEMA)
+    rows = _counted(cleaning.clean(raw, config.dropped, **config.repairs), lambda df: storage.write_stage(df, base, CLEANED, run_id))
     return {"record_count": rows}
 
 
-def feature_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float]:
+def feature_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     cleaned = storage.read_stage(spark, base, CLEANED, run_id)
     rows = _counted(
         features.derive_features(cleaned),
-        lambda df: storage.write_stage(df, base, FEATURES, run_id, ("release_year",)),
+        lambda df: storage.write_stage(df, base, FEATURES, run_id, tuple(config.partition_by)),
     )
     table = storage.read_stage(spark, base, FEATURES, run_id)
     flat = cleaning.join_names(table, {"cast": None})
@@ -129,7 +155,7 @@ def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
     errors = storage.side_by_side(
         spark,
         {
-            name: (lambda name=name, rows=rows: storage.write_csv(rows, posixpath.join(csv, name), True, config.ranked))
+            name: (lambda name=name, rows=rows: storage.write_csv(rows, posixpath.join(csv, name), True))
             for name, rows in written.items()
         },
     )
@@ -147,8 +173,9 @@ def metric_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float
     status = storage.export_tables(
         table, metrics.METRIC_TABLES, _run_folder(base, "metrics", run_id)
     )
-    failed = status.where("error is not null").count()
-    return {"tables": status.count() - failed, "failed_tables": failed}
+    failed = [f"{r['name']}: {r['error']}" for r in status.where("error is not null").collect()]
+    facts = {"tables": status.count() - len(failed), "failed_tables": len(failed)}
+    return facts | ({"failure": "; ".join(failed)} if failed else {})
 
 
 def search_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
@@ -174,35 +201,37 @@ def chart_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, base: str, run_id: str, config: RunConfig) -> DataFrame:
-    """Run all stages and return the run records of this run.
+    """Run all stages and return the run records of this attempt.
 
     A failing stage is recorded with its error and ends the run; what earlier stages wrote
-    stays.
+    stays. Failed metric tables fail their stage too, but the other tables and the stages that
+    don't need them are still written.
     """
-    stages: dict[str, Callable[[], dict[str, float]]] = {
-        "ingest": lambda: ingest(spark, raw, base),
+    stages: dict[str, Callable[[], dict]] = {
+        "ingest": lambda: ingest(spark, raw, base, run_id),
         "clean": lambda: clean_stage(spark, base, run_id, config),
-        "features": lambda: feature_stage(spark, base, run_id),
+        "features": lambda: feature_stage(spark, base, run_id, config),
         "quality": lambda: quality_stage(spark, base, run_id, config),
         "kpis": lambda: report_stage(spark, base, run_id, config),
         "metrics": lambda: metric_stage(spark, base, run_id),
         "searches": lambda: search_stage(spark, base, run_id, config),
         "charts": lambda: chart_stage(spark, base, run_id, config),
     }
-    records = []
+    records, attempt = [], storage.next_attempt(spark, base, run_id)
     for stage, work in stages.items():
         started = time.monotonic()
-        error = None
+        broken = None
         try:
-            facts = work()
+            facts = dict(work())
         except Exception as failure:  # recorded below; later stages need this one
-            error, facts = f"{type(failure).__name__}: {failure}"[:500], {}
+            broken, facts = f"{type(failure).__name__}: {failure}", {}
+        error = facts.pop("failure", broken)
         facts = {**facts, "execution_time": time.monotonic() - started, "succeeded": float(error is None)}
         records += [
-            (run_id, stage, metric, None if value is None else float(value), error if metric == "succeeded" else None)
+            (run_id, attempt, stage, metric, None if value is None else float(value), error if metric == "succeeded" else None)
             for metric, value in facts.items()
         ]
-        if error:
+        if broken:
             break
     storage.append_run_records(spark, base, records)
-    return storage.read_run_records(spark, base).where(F.col("run_id") == run_id)
+    return storage.read_run_records(spark, base).where((F.col("run_id") == run_id) & (F.col("attempt") == attempt))

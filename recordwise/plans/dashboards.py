@@ -5,7 +5,7 @@ Column names, bin counts, floors and limits are fixed values of the charts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,12 +78,12 @@ def most_frequent_genre(df: DataFrame, summary: DataFrame | None = None) -> Data
     return genres_by_count(df, 1, summary)
 
 
-def money_scatter(df: DataFrame, n: int = 500) -> DataFrame:
+def money_scatter(df: DataFrame, n: int) -> DataFrame:
     points = df.where(BOTH_POSITIVE).select("id", "budget_musd", "revenue_musd", "vote_average")
     return charts.repeatable_sample(points, n)
 
 
-def money_scatter_detailed(df: DataFrame, n: int = 1000) -> DataFrame:
+def money_scatter_detailed(df: DataFrame, n: int) -> DataFrame:
     points = _with_roi(df, BOTH_POSITIVE).select(
         "id",
         "title",
@@ -186,7 +186,7 @@ def top_rating_bars(df: DataFrame, n: int = 10) -> DataFrame:
     return _bars(df, "vote_average", n, ["vote_count"], "vote_count >= 100")
 
 
-def profit_scatter(df: DataFrame, n: int = 500) -> DataFrame:
+def profit_scatter(df: DataFrame, n: int) -> DataFrame:
     profit = values.difference("revenue_musd", "budget_musd").alias("profit")
     return charts.repeatable_sample(df.where(BOTH_POSITIVE).select("id", "budget_musd", profit), n)
 
@@ -206,7 +206,7 @@ def membership_bars(df: DataFrame) -> DataFrame:
     return group_metrics(labelled, ["type"], measures)
 
 
-def rating_popularity_scatter(df: DataFrame, n: int = 500) -> DataFrame:
+def rating_popularity_scatter(df: DataFrame, n: int) -> DataFrame:
     points = df.where("vote_count >= 100").select("id", "vote_average", "popularity", "vote_count")
     return charts.repeatable_sample(points, n)
 
@@ -280,7 +280,7 @@ def roi_by_genre_boxes(df: DataFrame, n: int = 12) -> DataFrame:
     return charts.box_stats(charts.only_groups(members, top, "genre"), ["genre"], "roi", ["-count", "genre"])
 
 
-def performance_points(df: DataFrame, n: int = 500) -> DataFrame:
+def performance_points(df: DataFrame, n: int) -> DataFrame:
     points = df.where(f"{BOTH_POSITIVE} and vote_average > 0").select(
         "id", "title", "budget_musd", "revenue_musd", "vote_average", "popularity", "genres"
     )
@@ -292,6 +292,12 @@ def revenue_treemap(df: DataFrame, n: int = 50) -> DataFrame:
     return top.withColumn("primary_genre", first_token("genres"))
 
 
+def genre_year_ratings(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Average rating per genre and year, one row each."""
+    rating = F.try_divide(F.col("vote_average_sum"), F.col("vote_average_n"))
+    return _summary(df, summary).select("genre", "year", rating.alias("avg_rating"))
+
+
 def rating_heatmap(df: DataFrame, years: Sequence[int], summary: DataFrame | None = None) -> DataFrame:
     """Average rating per genre (rows) and year (columns ``y<year>``)."""
     return charts.matrix(_summary(df, summary), "genre", "year", _mean("vote_average"), years, prefix="y")
@@ -327,31 +333,57 @@ def popularity_pairs(df: DataFrame) -> DataFrame:
     return df.select("id", "popularity", "vote_average").dropna(subset=["popularity", "vote_average"])
 
 
-def all_datasets(df: DataFrame, years: Sequence[int] | None = None) -> dict[str, DataFrame]:
-    """Every chart dataset of fixed size by name.
+# Points that a scatter chart of the reports shows (a repeatable sample of that size).
+SCATTER_POINTS = {
+    "money_scatter": 500,
+    "money_scatter_detailed": 1000,
+    "profit_scatter": 500,
+    "rating_popularity_scatter": 500,
+    "performance_points": 500,
+}
+
+# All rows behind the scatter charts: x, y and the filter.
+SCATTER_AXES = {
+    "money_scatter_cells": ("budget_musd", "revenue_musd", BOTH_POSITIVE),
+    "profit_scatter_cells": ("budget_musd", "revenue_musd - budget_musd", BOTH_POSITIVE),
+    "rating_popularity_cells": ("vote_average", "popularity", "vote_count >= 100"),
+    "performance_cells": ("budget_musd", "revenue_musd", f"{BOTH_POSITIVE} and vote_average > 0"),
+}
 
-    Without ``years`` the rating matrix covers all years of the summary, which calendar
-    years keep few.
 
-    The genre charts share one summary, computed here once; all other charts scan the
-    stage table for their own columns.
+def scatter_cells(df: DataFrame, name: str, bins: int = 50) -> DataFrame:
+    """A scatter chart over all rows: how many of its points fall into each cell of a grid."""
+    x, y, where = SCATTER_AXES[name]
+    return charts.grid_counts(df, x, y, bins, where)
+
+
+def all_datasets(
+    df: DataFrame, years: Sequence[int] | None = None, points: Mapping[str, int] = SCATTER_POINTS
+) -> dict[str, DataFrame]:
+    """Every chart dataset of fixed size by name.
+
+    ``points`` sizes the samples of the scatter charts; each has a grid of counts over all rows
+    beside it. The rating matrix has a column for each of ``years``; without them the ratings
+    come as rows of genre and year. The genre charts share one summary, computed here once;
+    all other charts scan the stage table for their own columns.
     """
     plain = (
-        executive_kpis, money_scatter, money_scatter_detailed, rating_histogram, roi_histogram, vote_histogram,
-        revenue_histogram, overview_totals, yearly_revenue, yearly_money, budget_tier_share, top_revenue_bars,
-        top_roi_bars, top_popularity_bars, top_rating_bars, profit_scatter, top_companies, membership_bars,
-        rating_popularity_scatter, rating_by_genre, yearly_rating_band, genre_roi_bars, roi_by_genre_boxes,
-        performance_points, revenue_treemap, roi_by_tier_boxes, average_roi_by_genre, annotated_top, rating_violin,
+        executive_kpis, rating_histogram, roi_histogram, vote_histogram, revenue_histogram, overview_totals, yearly_revenue,
+        yearly_money, budget_tier_share, top_revenue_bars, top_roi_bars, top_popularity_bars, top_rating_bars, top_companies,
+        membership_bars, rating_by_genre, yearly_rating_band, genre_roi_bars, roi_by_genre_boxes, revenue_treemap,
+        roi_by_tier_boxes, average_roi_by_genre, annotated_top, rating_violin,
     )
+    sampled = (money_scatter, money_scatter_detailed, profit_scatter, rating_popularity_scatter, performance_points)
     from_summary = (
         most_frequent_genre, genres_by_revenue, genres_by_count, genre_heatmap, genre_bubbles, genre_evolution,
-        genre_sunburst,
+        genre_sunburst, genre_year_ratings,
     )
     summary = settle(genre_years(df))
-    if years is None:
-        years = [row["year"] for row in summary.select("year").distinct().dropna().orderBy("year").collect()]
+    matrix = {} if years is None else {"rating_heatmap": rating_heatmap(df, years, summary)}
     return {
         **{build.__name__: build(df) for build in plain},
+        **{build.__name__: build(df, points[build.__name__]) for build in sampled},
+        **{name: scatter_cells(df, name) for name in SCATTER_AXES},
         **{build.__name__: build(df, summary=summary) for build in from_summary},
-        "rating_heatmap": rating_heatmap(df, years, summary),
+        **matrix,
     }

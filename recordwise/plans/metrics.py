@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 
 from recordwise.operators.charts import correlations
 from recordwise.operators.features import add_budget_tier, add_date_parts, add_rating_tier
-from recordwise.operators.grouping import explode_values, group_metrics, sort_columns
-from recordwise.operators.value_lists import PART_SIZE, with_value_lists
+from recordwise.operators.grouping import explode_values, group_metrics
+from recordwise.operators.value_lists import group_members
 from recordwise.plans.kpis import distinct_values
 
 BIGGEST_FIRST = ("-total_revenue",)
@@ -75,22 +75,26 @@ def company_metrics(df: DataFrame, min_movies: int = 3) -> DataFrame:
     )
 
 
-def director_metrics(df: DataFrame, min_movies: int = 2, part_size: int = PART_SIZE) -> DataFrame:
-    """Director metrics with the list of titles (in parts for very long lists)."""
-    known = df.where("director is not null")
-    groups = group_metrics(
-        known,
+def director_metrics(df: DataFrame, min_movies: int = 2) -> DataFrame:
+    """One row per director; the titles are in ``director_members``."""
+    return group_metrics(
+        df.where("director is not null"),
         ["director"],
         {"movie_count": "count(1)", **REVENUE, **AUDIENCE},
         having=f"movie_count >= {min_movies}",
+        order_by=["-total_revenue", "director"],
     )
-    return with_value_lists(
-        groups, known, ["director"], "title", "id", "movie_count", "movies", part_size
-    ).orderBy(*sort_columns(["-total_revenue", "director", "list_part"]))
 
 
-def franchise_metrics(df: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Collection metrics with total profit, return on the sums and the list of titles."""
+def director_members(df: DataFrame, min_movies: int = 2) -> DataFrame:
+    """One row per record of the directors of ``director_metrics``."""
+    known = df.where("director is not null")
+    groups = group_metrics(known, ["director"], {"movie_count": "count(1)"}, having=f"movie_count >= {min_movies}")
+    return group_members(known, groups, ["director"], ["id", "title"])
+
+
+def franchise_metrics(df: DataFrame) -> DataFrame:
+    """Collection metrics with total profit and return on the sums; the titles are in ``franchise_members``."""
     members = df.where("belongs_to_collection is not null")
     measures = {
         "movie_count": "count(1)",
@@ -104,10 +108,14 @@ def franchise_metrics(df: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
         "total_profit": "total_revenue - total_budget",
         "avg_roi": "round(try_divide(total_revenue, total_budget), 2)",
     }
-    groups = group_metrics(members, ["belongs_to_collection"], measures, derived=derived)
-    return with_value_lists(
-        groups, members, ["belongs_to_collection"], "title", "id", "movie_count", "movies", part_size
-    ).orderBy(*sort_columns(["-total_revenue", "belongs_to_collection", "list_part"]))
+    return group_metrics(
+        members, ["belongs_to_collection"], measures, derived=derived, order_by=["-total_revenue", "belongs_to_collection"]
+    )
+
+
+def franchise_members(df: DataFrame) -> DataFrame:
+    """One row per record of a collection."""
+    return df.where("belongs_to_collection is not null").select("belongs_to_collection", "id", "title")
 
 
 def budget_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFrame:
@@ -186,6 +194,8 @@ METRIC_TABLES = {
     "production_company": company_metrics,
     "director": director_metrics,
     "franchise": franchise_metrics,
+    "director_members": director_members,
+    "franchise_members": franchise_members,
     "budget_tier": budget_tier_metrics,
     "rating_tier": rating_tier_metrics,
 }

@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from recordwise.operators.grouping import explode_values, group_metrics, sort_columns
+from recordwise.operators.grouping import explode_values, group_metrics
 from recordwise.operators.search import find, in_range, top_in_value
-from recordwise.operators.value_lists import PART_SIZE, with_value_lists
+from recordwise.operators.value_lists import group_members
 
 # The two configured searches and their output columns.
 GENRE_CAST_SEARCH = {
@@ -101,13 +101,15 @@ def best_roi_in_genre(
     return top_in_value(df, "genres", genre, "roi", n, f"budget_musd >= {min_budget}", match)
 
 
-def collaborations(df: DataFrame, minimum: int = 2, part_size: int = PART_SIZE) -> DataFrame:
+def _collaborating(df: DataFrame) -> DataFrame:
+    columns = df.select("id", "title", "director", "cast", "vote_average", "revenue_musd")
+    return explode_values(columns, "cast", "actor")
+
+
+def collaborations(df: DataFrame, minimum: int = 2) -> DataFrame:
     """Director and cast member pairs with shared records; records without director count too."""
-    pairs = explode_values(
-        df.select("id", "title", "director", "cast", "vote_average", "revenue_musd"), "cast", "actor"
-    )
-    groups = group_metrics(
-        pairs,
+    return group_metrics(
+        _collaborating(df),
         ["director", "actor"],
         {
             "movies_together": "count(1)",
@@ -115,10 +117,15 @@ def collaborations(df: DataFrame, minimum: int = 2, part_size: int = PART_SIZE)
             "total_revenue": "sum(revenue_musd)",
         },
         having=f"movies_together >= {minimum}",
+        order_by=["-movies_together", "director", "actor"],
     )
-    return with_value_lists(
-        groups, pairs, ["director", "actor"], "title", "id", "movies_together", "movies", part_size
-    ).orderBy(*sort_columns(["-movies_together", "director", "actor", "list_part"]))
+
+
+def collaboration_members(df: DataFrame, minimum: int = 2) -> DataFrame:
+    """One row per shared record of the pairs of ``collaborations``."""
+    pairs = _collaborating(df)
+    groups = group_metrics(pairs, ["director", "actor"], {"n": "count(1)"}, having=f"n >= {minimum}")
+    return group_members(pairs, groups, ["director", "actor"], ["id", "title"])
 
 
 def compare_decades(df: DataFrame, first: int, second: int) -> DataFrame:

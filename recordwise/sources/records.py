@@ -26,7 +26,7 @@ DETAIL_SCHEMA = (
 CREDIT_COLUMNS = "cast array<string>, cast_size int, director string, crew_size int"
 RECORD_SCHEMA = f"{DETAIL_SCHEMA}, {CREDIT_COLUMNS}"
 CREDITS_SCHEMA = "id bigint not null, cast array<struct<name: string>>, crew array<struct<name: string, job: string>>"
-CAST_LIMIT = 10  # fixed value: a record lists its first ten cast members
+CAST_LIMIT = 10  # fixed value: by default a record lists its first ten cast members
 DIRECTOR_JOB = "Director"
 
 # The default record ids.
@@ -61,16 +61,19 @@ def missing_ids(records: DataFrame, ids: DataFrame, key: str = "id") -> DataFram
     return ids.select(key).distinct().join(records.select(key).distinct(), key, "left_anti")
 
 
-def attach_credits(details: DataFrame, credits: DataFrame, key: str = "id") -> DataFrame:
+def attach_credits(
+    details: DataFrame, credits: DataFrame, key: str = "id", cast_limit: int | None = CAST_LIMIT
+) -> DataFrame:
     """Add cast, cast size, director and crew size from nested credits, one row per record.
 
     A record without credits gets an empty cast, zero sizes and no director; credits
-    without a record are left out.
+    without a record are left out. ``cast_limit`` None lists the whole cast.
     """
+    names = F.transform("cast", lambda member: member.getField("name"))
     directors = F.filter("crew", lambda member: member.getField("job") == DIRECTOR_JOB)
     summary = credits.select(
         key,
-        F.slice(F.transform("cast", lambda member: member.getField("name")), 1, CAST_LIMIT).alias("cast"),
+        (names if cast_limit is None else F.slice(names, 1, cast_limit)).alias("cast"),
         F.size("cast").alias("cast_size"),
         F.get(directors, F.lit(0)).getField("name").alias("director"),
         F.size("crew").alias("crew_size"),
@@ -79,19 +82,26 @@ def attach_credits(details: DataFrame, credits: DataFrame, key: str = "id") -> D
 
 
 def attach_credit_rows(
-    details: DataFrame, cast: DataFrame, crew: DataFrame, position: Sequence[str], key: str = "id"
+    details: DataFrame,
+    cast: DataFrame,
+    crew: DataFrame,
+    position: Sequence[str],
+    key: str = "id",
+    cast_limit: int | None = CAST_LIMIT,
 ) -> DataFrame:
     """``attach_credits`` for credits stored one row per person.
 
     ``cast`` has the key, ``name`` and the ``position`` columns, ``crew`` also ``job``. Both
-    sides are cut down before their shuffle: cast rows to the first ten of each record, crew
-    rows to one director and a count, so a record with very many people stays cheap.
+    sides are cut down before their shuffle: cast rows to the first ``cast_limit`` of each record
+    (None: all), crew rows to one director and a count, so a record with very many people stays
+    cheap.
     """
     order = [F.asc(p) for p in position]
+    placed = cast.select(key, "name", *position).withColumn(
+        "place", F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    )
     first = (
-        cast.select(key, "name", *position)
-        .withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-        .where(F.col("place") <= CAST_LIMIT)
+        (placed if cast_limit is None else placed.where(F.col("place") <= cast_limit))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("place", "name"))).alias("people"))
         .select(key, F.col("people.name").alias("cast"))

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RUN_RECORD_SCHEMA = "run_id string, stage string, metric string, value double, note string, ts timestamp"
-SINGLE_FILE_ROWS = 100_000
+RUN_RECORD_SCHEMA = "run_id string, attempt int, stage string, metric string, value double, note string, ts timestamp"
+STAGE_RUN_SCHEMA = "run_id string, written_at timestamp, schema string"
 
 
-def write_raw(df: DataFrame, base: str) -> dict[str, str]:
-    """Raw records as Parquet, and a JSON copy for reading by eye."""
-    paths = {fmt: posixpath.join(base, "raw", f"records.{fmt}") for fmt in ("parquet", "json")}
+def raw_path(base: str, run_id: str, fmt: str = "parquet") -> str:
+    return posixpath.join(base, "raw", f"run_id={run_id}", f"records.{fmt}")
+
+
+def write_raw(df: DataFrame, base: str, run_id: str) -> dict[str, str]:
+    """Raw records of one run as Parquet, and a JSON copy for reading by eye; other runs' records stay."""
+    paths = {fmt: raw_path(base, run_id, fmt) for fmt in ("parquet", "json")}
     df.write.mode("overwrite").parquet(paths["parquet"])
     df.sparkSession.read.schema(df.schema).parquet(paths["parquet"]).write.mode("overwrite").json(paths["json"])
     return paths
@@ -29,41 +35,41 @@ def stage_path(base: str, stage: str) -> str:
 
 
 def write_stage(df: DataFrame, base: str, stage: str, run_id: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write one run of a stage as its own ``run_id=`` partition.
+    """Write one run of a stage to its own ``run_id=`` folder, replacing that run as a whole.
 
-    Only the partitions of this run are replaced. With ``partition_by`` the rows are
-    rebalanced by these columns first: few files per partition, and a partition with very
-    many rows is still written by several tasks.
+    With ``partition_by`` the rows are rebalanced by these columns first: few files per
+    partition, and a partition with very many rows is still written by several tasks. The run,
+    its time and its schema are added to the table ``_runs`` beside the runs, which Spark does
+    not read as data.
     """
-    path = stage_path(base, stage)
-    rows = df.withColumn("run_id", F.lit(run_id))
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", *partition_by)
-        .parquet(path)
-    )
+    path = posixpath.join(stage_path(base, stage), f"run_id={run_id}")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    entry = df.sparkSession.createDataFrame([(run_id, df.schema.json())], "run_id string, schema string")
+    entry = entry.select("run_id", F.current_timestamp().alias("written_at"), "schema")
+    entry.coalesce(1).write.mode("append").parquet(posixpath.join(stage_path(base, stage), "_runs"))
     return path
 
 
 def stage_runs(spark: SparkSession, base: str, stage: str) -> DataFrame:
-    """All runs of a stage, with ``run_id`` read as text whatever it looks like."""
-    path = stage_path(base, stage)
-    fields = spark.read.parquet(path).schema.fields
-    typed = [T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in fields]
-    return spark.read.schema(T.StructType(typed)).parquet(path)
+    """One row per finished write of a stage: run id, time and schema."""
+    return spark.read.schema(STAGE_RUN_SCHEMA).parquet(posixpath.join(stage_path(base, stage), "_runs"))
 
 
 def read_stage(spark: SparkSession, base: str, stage: str, run_id: str) -> DataFrame:
-    """Rows of one run; other runs are pruned by their partition."""
-    return stage_runs(spark, base, stage).where(F.col("run_id") == run_id).drop("run_id")
+    """Rows of one run with the schema they were written with; nothing is inferred, no other run is listed."""
+    found = stage_runs(spark, base, stage).where(F.col("run_id") == run_id).agg(F.max_by("schema", "written_at")).first()[0]
+    if found is None:
+        raise FileNotFoundError(f"no run {run_id!r} of stage {stage!r} under {base}")
+    schema = T.StructType.fromJson(json.loads(found))
+    path = posixpath.join(stage_path(base, stage), f"run_id={run_id}")
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return rows.select(*[F.col(f"`{name}`") for name in schema.names])
 
 
 def latest_run(spark: SparkSession, base: str, stage: str) -> str | None:
-    """Largest run id of a stage. Only the partition column is read, no data columns."""
-    return stage_runs(spark, base, stage).agg(F.max("run_id")).first()[0]
+    """The run of a stage that was written last, from the stage's list of runs; no data file is listed."""
+    return stage_runs(spark, base, stage).agg(F.max_by("run_id", "written_at")).first()[0]
 
 
 def read_latest(spark: SparkSession, base: str, stage: str) -> DataFrame:
@@ -73,19 +79,9 @@ def read_latest(spark: SparkSession, base: str, stage: str) -> DataFrame:
     return read_stage(spark, base, stage, run_id)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, rows_at_most: int | None = None) -> None:
-    """CSV with a header.
-
-    ``single_file`` is meant for reports: a frame above ``SINGLE_FILE_ROWS`` rows is
-    written in parallel all the same. The rows are counted for that, unless
-    ``rows_at_most`` names a limit the frame has by its making, such as a top-n.
-    """
-    if single_file:
-        if rows_at_most is None:
-            rows_at_most = df.limit(SINGLE_FILE_ROWS + 1).count()
-        if rows_at_most <= SINGLE_FILE_ROWS:
-            df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header; ``single_file`` writes one file in one task, for frames that a top-n or a few groups bound."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def side_by_side(
@@ -157,7 +153,7 @@ def export_tables(
     }
     errors = side_by_side(df.sparkSession, writes)
     status = [
-        (name, paths[name], None) if error is None else (name, None, f"{type(error).__name__}: {error}"[:500])
+        (name, paths[name], None) if error is None else (name, None, f"{type(error).__name__}: {error}")
         for name, error in errors.items()
     ]
     return df.sparkSession.createDataFrame(status, "name string, path string, error string")
@@ -185,11 +181,22 @@ def persisted(df: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+def next_attempt(spark: SparkSession, base: str, run_id: str) -> int:
+    """1 for a new run id, otherwise one more than its last recorded attempt."""
+    try:
+        records = read_run_records(spark, base)
+        return (records.where(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0] or 0) + 1
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+
+
 def append_run_records(spark: SparkSession, base: str, records: list[tuple]) -> str:
-    """Append ``(run_id, stage, metric, value, note)`` rows with the current time."""
+    """Append ``(run_id, attempt, stage, metric, value, note)`` rows with the current time."""
     path = posixpath.join(base, "run_records")
     rows = spark.createDataFrame(
-        records, "run_id string, stage string, metric string, value double, note string"
+        records, "run_id string, attempt int, stage string, metric string, value double, note string"
     ).withColumn("ts", F.current_timestamp())
     rows.coalesce(1).write.mode("append").parquet(path)
     return path

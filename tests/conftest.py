@@ -12,9 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 
 def pytest_configure(config):
     for name, meaning in {
-        "unit": "one operator on literal rows",
-        "integration": "whole runs and comparisons on the test tables",
-        "slow": "takes several seconds",
+        "literal": "one operator on rows written in the test",
+        "tables": "whole runs and comparisons on the test tables",
     }.items():
         config.addinivalue_line("markers", f"{name}: {meaning}")
 
@@ -33,13 +32,14 @@ def folder():
 
 @pytest.fixture(scope="session")
 def movies(spark):
-    """Five literal records with multi-value genres."""
+    """Six literal records with multi-value genres, one of them empty and one missing."""
     rows = [
-        (1, "One", 100.0, 300.0, "2019-04-24", 8.0, 1000, 50.0, "Action|Adventure", "en"),
-        (2, "Two", 50.0, 20.0, "2010-01-01", 6.0, 10, 5.0, "Science Fiction|Action", "en"),
-        (3, "Three", 0.5, None, "", 3.0, 0, 1.0, None, "fr"),
-        (4, "Four", None, 7.0, "not a date", None, None, None, "", "fr"),
-        (5, "Five", 10.0, 10.0, "1999-12-31", 8.5, 99, 2.0, "Drama", "de"),
+        (11, "Kelp", 40.0, 130.0, "1987-11-30", 7.25, 512, 31.5, "Western|Noir", "pt"),
+        (12, "Lantern", 12.5, 9.75, "1994-02-28", 5.5, 77, 4.25, "Noir|Western", "pt"),
+        (13, "Marrow", 0.25, None, "", 2.75, 0, 0.5, None, "is"),
+        (14, "Nettle", None, 3.5, "31/12/2001", None, None, None, "", "is"),
+        (15, "Ochre", 8.0, 8.0, "2003-07-04", 9.0, 123, 6.0, "Opera", "fi"),
+        (16, "Pumice", 95.0, 60.0, "1987-01-15", 6.5, 200, 12.0, "Silent Film|Western", "fi"),
     ]
     return spark.createDataFrame(
         rows,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recordwise.operators import charts
 from recordwise.plans import dashboards
 
-pytestmark = pytest.mark.unit
+pytestmark = pytest.mark.literal
 
 
 def frame(spark, values):
@@ -76,9 +76,26 @@ def test_executive_kpis_of_nothing(spark, movies):
     row = dashboards.executive_kpis(movies.where("id > 99")).first()
     assert tuple(row) == (0, 0.0, 0.0, 0.0, 0.0)
     some = dashboards.executive_kpis(movies).first()
-    assert some["avg_roi"] == pytest.approx((200 - 60 + 0) / 3)
+    assert some["avg_roi"] == pytest.approx((225 - 22 + 0 - 100 * 35 / 95) / 4)
 
 
 def test_pairs_are_complete(spark, movies):
-    assert dashboards.money_pairs(movies).count() == 3
-    assert dashboards.popularity_pairs(movies).count() == 4
+    assert dashboards.money_pairs(movies).count() == 4
+    assert dashboards.popularity_pairs(movies).count() == 5
+
+
+def test_histogram_and_outliers_leave_nan_out(spark):
+    from recordwise.operators import quality
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    assert [r["count"] for r in charts.histogram(df, "v", 4).collect()] == [1, 0, 0, 1]
+    assert tuple(charts.unplaced(df, "v").first()) == (4, 1, 1)
+    many = spark.range(49).selectExpr("cast(id % 5 as double) as v").union(spark.createDataFrame([(float("nan"),)], "v double"))
+    assert quality.outliers(many, ["v"]).first()["outliers"] == 0
+
+
+def test_ratings_by_year_are_rows(spark):
+    df = spark.range(3000).selectExpr("'g' as genres", "concat(lpad(cast(id + 1 as string), 4, '0'), '-01-01') as release_date",
+                                      "1.0d as revenue_musd", "1.0d as budget_musd", "2.0d as vote_average", "1.0d as popularity")
+    rows = dashboards.genre_year_ratings(df)
+    assert rows.columns == ["genre", "year", "avg_rating"] and rows.count() == 3000

@@ -5,32 +5,33 @@ from pyspark.sql import types as T
 from recordwise.operators import cleaning, features
 from recordwise.sources import records
 
-pytestmark = pytest.mark.unit
+pytestmark = pytest.mark.literal
 
 
 def test_drop_columns_ignores_absent_names(spark):
-    df = spark.createDataFrame([(1, "A", "false", 100.0, "false"), (2, "B", "false", 200.0, "false")],
-                               "id int, title string, adult string, budget double, video string")
-    assert cleaning.drop_columns(df, extra=["absent"]).columns == ["id", "title", "budget"]
+    df = spark.createDataFrame([(7, "yes", "tt7", "Kelp", 3)], "id int, adult string, imdb_id string, title string, pages int")
+    assert cleaning.drop_columns(df, extra=["pages", "no such column"]).columns == ["id", "title"]
 
 
-def test_zero_becomes_null(spark):
-    df = spark.createDataFrame([(1, 100.0, 300.0), (2, 0.0, 0.0), (3, None, None)], "id int, budget double, revenue double")
-    rows = {r["id"]: r for r in cleaning.zero_to_null(df, ["budget", "revenue"]).collect()}
-    assert (rows[1]["budget"], rows[2]["budget"], rows[2]["revenue"], rows[3]["budget"]) == (100.0, None, None, None)
+def test_zero_becomes_null_and_other_numbers_stay(spark):
+    df = spark.createDataFrame([(5, 0, -3.5), (6, 12, 0.0), (7, None, float("nan"))], "id int, runtime int, budget double")
+    rows = {r["id"]: (r["runtime"], r["budget"]) for r in cleaning.zero_to_null(df, ["runtime", "budget"]).collect()}
+    assert rows[5] == (None, -3.5) and rows[6] == (12, None)
+    assert rows[7][0] is None and rows[7][1] != rows[7][1]
 
 
-@pytest.mark.parametrize("value, expected", [(0.0, None), (-1.0, None), (None, None), (100.0, 100.0)])
-def test_non_positive_becomes_null(spark, value, expected):
-    df = spark.createDataFrame([(1, value)], "id int, budget double")
-    assert cleaning.non_positive_to_null(df, ["budget"]).first()["budget"] == expected
+def test_non_positive_becomes_null(spark):
+    df = spark.createDataFrame([(v,) for v in (-2.5, -0.0, 1e-9, 41.0)], "budget double")
+    assert [r[0] for r in cleaning.non_positive_to_null(df, ["budget"]).collect()] == [None, None, 1e-9, 41.0]
 
 
-def test_type_conversion(spark):
-    df = spark.createDataFrame([("1", "100.5", "2020-01-01"), ("x", "", "")], "id string, budget string, release_date string")
-    typed = cleaning.convert_types(df, {"id": "int", "budget": "double", "release_date": "date"})
+def test_type_conversion_gives_null_for_what_does_not_fit(spark):
+    rows = [("12", "7.25", "1987-11-30"), ("12.9.1", "seven", "1987-13-01"), (None, " 8 ", "30.11.1987")]
+    typed = cleaning.convert_types(spark.createDataFrame(rows, "id string, budget string, release_date string"),
+                                   {"id": "int", "budget": "double", "release_date": "date"})
     assert [f.dataType for f in typed.schema.fields] == [T.IntegerType(), T.DoubleType(), T.DateType()]
-    assert tuple(typed.where("id is null").first()) == (None, None, None)
+    got = [(r["id"], r["budget"], str(r["release_date"])) for r in typed.collect()]
+    assert got == [(12, 7.25, "1987-11-30"), (None, None, "None"), (None, 8.0, "None")]
 
 
 def test_placeholders(spark):
@@ -40,9 +41,20 @@ def test_placeholders(spark):
     assert [r[0] for r in both.collect()] == [None, None, "text", None]
 
 
-def test_duplicates(spark):
-    df = spark.createDataFrame([(1, "A", 1.0), (1, "A", 1.0), (2, "B", 2.0)], "id int, title string, budget double")
-    assert cleaning.one_per_key(df).count() == 2
+def test_conflicting_copies_give_one_result_for_every_layout(spark):
+    rows = [(k, s, {"n": n}, [n, k]) for k in range(40) for s, n in (("Rumored", 2), ("Released", 1), ("Released", 3), (None, 9))]
+    df = spark.createDataFrame(rows, "id int, status string, facts map<string, int>, list array<int>")
+    results = []
+    for frame in (df.coalesce(1), df.repartition(7), df.orderBy(F.desc("status"), "list").repartition(3, "list")):
+        kept = cleaning.one_per_key(frame)
+        results.append(sorted((r["id"], r["status"], r["facts"]["n"]) for r in kept.collect()))
+    assert results[0] == results[1] == results[2] == [(k, None, 9) for k in range(40)]
+
+
+def test_several_keys(spark):
+    rows = [(1, "a", 5.0), (1, "b", 4.0), (1, "a", 2.5), (None, "a", 1.0), (None, "a", 0.5)]
+    kept = cleaning.one_per_key(spark.createDataFrame(rows, "x int, y string, v double"), ["x", "y"]).collect()
+    assert sorted(r["v"] for r in kept) == [0.5, 2.5, 4.0]
 
 
 @pytest.mark.parametrize("keep, expected", [("first", "old"), ("last", "new")])
@@ -55,31 +67,32 @@ def test_ordered_deduplication_is_repeatable(spark, keep, expected):
 
 
 def test_status_filter_drops_the_column(spark):
-    df = spark.createDataFrame([(1, "A", "Released"), (2, "B", "Rumored"), (3, "C", "Released")], "id int, title string, status string")
-    kept = cleaning.keep_status(df)
-    assert (kept.count(), kept.columns) == (2, ["id", "title"])
+    df = spark.createDataFrame([(4, "Released"), (5, "released"), (6, None), (7, "Planned")], "id int, status string")
+    assert [tuple(r) for r in cleaning.keep_status(df).collect()] == [(4,)]
+    assert [tuple(r) for r in cleaning.keep_status(df, "Planned").collect()] == [(7,)]
 
 
 def test_millions(spark):
-    df = spark.createDataFrame([(1, 1e8, 3e8)], "id int, budget double, revenue double")
-    assert tuple(features.to_millions(df).first()) == (1, 100.0, 300.0)
+    df = spark.createDataFrame([(9, 2_500_000.0, None)], "id int, budget double, revenue double")
+    assert tuple(features.to_millions(df).first()) == (9, 2.5, None)
 
 
 def test_required_columns_and_thresholds(spark):
-    df = spark.createDataFrame([(1, "A", None), (None, "B", 1), (3, None, None)], "id int, title string, n int")
-    assert cleaning.require_columns(df).count() == 1
-    assert cleaning.require_values(df, 2).count() == 2
+    rows = [(21, "Kelp", None, None), (None, "Lantern", 4, 4), (23, None, 5, None), (24, "Nettle", 6, 6)]
+    df = spark.createDataFrame(rows, "id int, title string, n int, m int")
+    assert sorted(r["id"] for r in cleaning.require_columns(df).collect()) == [21, 24]
+    assert cleaning.require_values(df, 3).count() == 2
 
 
-def test_empty_and_all_null_frames(spark):
+def test_frames_without_rows_and_without_values(spark):
     empty = spark.createDataFrame([], "id int, title string")
     assert cleaning.one_per_key(cleaning.require_columns(empty)).count() == 0
-    nulls = spark.createDataFrame([(i, f"t{i}", None) for i in range(3)], "id int, title string, budget double")
-    assert cleaning.zero_to_null(nulls, ["budget"]).count() == 3
+    nothing = spark.createDataFrame([(None, None)] * 4, "id int, budget double")
+    assert cleaning.one_per_key(cleaning.zero_to_null(nothing, ["budget"])).count() == 1
 
 
-def test_special_characters_survive(spark):
-    titles = ["A: B", "C! & D", "\"Quoted\" 'E'"]
+def test_unusual_titles_survive(spark):
+    titles = ["tab\there", "line\nbreak", "semi;colon|bar", "\u00e9\u0301 \U0001f40c", "", " "]
     df = spark.createDataFrame(list(enumerate(titles)), "id int, title string")
     kept = cleaning.require_columns(cleaning.one_per_key(df))
     assert sorted(r["title"] for r in kept.collect()) == sorted(titles)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from recordwise.operators import quality
 
-pytestmark = pytest.mark.unit
+pytestmark = pytest.mark.literal
 
 
 def metrics(report):
@@ -79,9 +79,9 @@ def test_outliers_leave_out_constant_columns(spark):
 def test_schema_check(spark):
     df = spark.createDataFrame([(1, "x")], "id int, extra string")
     expected = T.StructType.fromDDL("id bigint, title string")
-    rows = {(r["problem"], r["column"]) for r in quality.schema_check(df, expected).collect()}
-    assert rows == {("missing", "title"), ("extra", "extra"), ("type", "id")}
-    assert quality.schema_check(df, df.schema).count() == 0
+    rows = {(r["problem"], r["column"], r["rows"] == r["wrong"]) for r in quality.schema_check(df, expected).collect()}
+    assert rows == {("missing", "title", True), ("extra", "extra", False), ("type", "id", False)}
+    assert [(r["problem"], r["wrong"]) for r in quality.schema_check(df, df.schema).collect()] == [(None, 0)] * len(df.columns)
 
 
 def test_null_rows_and_declared_checks(spark):

@@ -7,7 +7,7 @@ import pytest
 from verify.check import compare, connect
 from verify.registry import CASES
 
-pytestmark = [pytest.mark.integration, pytest.mark.slow]
+pytestmark = pytest.mark.tables
 
 
 @pytest.fixture(scope="module")
@@ -54,18 +54,38 @@ def test_settings_dictionary():
     from recordwise.plans.rankings import RANKINGS
 
     settings = {
-        "processing": {"columns_to_drop": ["homepage"]},
+        "processing": {"columns_to_drop": ["homepage"], "replacements": {"placeholder_values": ["N/A"], "zero_to_null": ["budget"]}},
         "kpis": {"rankings": {"top_n": 3, "metrics": [{"name": "x", "column": "roi"}]}, "director": {"min_movies": 2}},
         "queries": {"search_1": {"cast": "Someone"}},
         "validation": {"ranges": {"vote_average": {"min": 0, "max": 10}}},
+        "output": {"partitioning": {"columns": ["decade"]}},
         "testing": {"data_validation": {"checks": [{"name": "null_check", "columns": ["id"]}]}},
     }
     config = RunConfig.from_dict(settings)
     assert (config.ranked, config.min_director_movies, config.dropped) == (3, 2, ["homepage"])
     assert config.rankings[0]["name"] == "x" and config.genre_cast_search == {"cast": "Someone"}
-    assert config.declared_checks and config.ranges
+    assert config.declared_checks and config.ranges and config.partition_by == ["decade"]
+    assert config.repairs == {"placeholders": ["N/A"], "zero_columns": ["budget"]}
     empty = RunConfig.from_dict({})
     assert empty.rankings is RANKINGS and empty.years is None and empty.min_health_score == 80
+    with pytest.raises(ValueError, match="processing.typo"):
+        RunConfig.from_dict({"processing": {"typo": 1}})
+
+
+def test_failed_tables_show_and_a_later_attempt_counts_alone(spark, folder, monkeypatch):
+    from recordwise.operators.sizing import fresh_path
+    from recordwise.plans import batch, metrics
+    from verify.base import raw
+
+    base, rows = fresh_path(spark, "t"), raw(spark, folder).limit(200)
+    config = batch.RunConfig(as_of="2000-01-01", years=(1999,))
+    with monkeypatch.context() as patch:
+        patch.setitem(metrics.METRIC_TABLES, "broken", lambda df: df.select("absent"))
+        first = {(r["stage"], r["metric"]): r["value"] for r in batch.run_batch(spark, rows, base, "r", config).collect()}
+    assert (first["metrics", "succeeded"], first["metrics", "failed_tables"], first["charts", "succeeded"]) == (0.0, 1.0, 1.0)
+    second = batch.run_batch(spark, rows, base, "r", config)
+    assert {r["attempt"] for r in second.collect()} == {2}
+    assert second.where("metric = 'succeeded' and value = 0").count() == 0
 
 
 def test_command_line(spark, folder, capsys):

@@ -5,7 +5,7 @@ import pytest
 from verify.check import compare, connect
 from verify.registry import CASES
 
-pytestmark = [pytest.mark.integration, pytest.mark.slow]
+pytestmark = pytest.mark.tables
 
 HOT = {
     "lineitem": "select case when i % 3 = 0 then 7 else l_orderkey end as l_orderkey, "
@@ -20,7 +20,7 @@ TABLES = (
 CHOSEN = (
     "a02_credit_rows a02_credit_arrays a03_select_by_id b10_one_per_key b10_latest_per_key b15_clean d03_uniqueness_lines "
     "d06_references d10_quality_report d14_outliers_lines e12_all_rankings f01_genres_and_cast_text g05_franchise_against_standalone "
-    "g08_genre_performance g19_director_metrics g20_franchise_metrics g25_collaborations g27_line_matrix h05_line_price_histogram "
+    "g08_genre_performance g19_director_metrics g19_director_members g20_franchise_metrics g25_collaborations g25_collaboration_members g27_line_matrix h05_line_price_histogram "
     "h14_rating_by_genre h21_line_price_boxes h24_rating_heatmap"
 ).split()
 
@@ -42,25 +42,3 @@ def test_skewed_tables_give_whole_results(spark, skewed, name):
     case = next(c for c in CASES if c.name == name)
     problem, rows = compare(spark, connect(skewed), case, skewed)
     assert problem is None and rows > 0
-
-
-def test_hot_keys_with_narrow_limits(spark, skewed, monkeypatch):
-    """The same reports when every large group takes the path for large groups."""
-    from recordwise.operators import grouping, value_lists
-    from recordwise.plans import kpis, metrics
-    from verify.base import records
-
-    table = records(spark, skewed)
-    expected = {r["genre"]: r for r in kpis.genre_performance(table).collect()}
-    small = lambda rows, keys, measures, wanted: original(rows, keys, measures, wanted, small_group=40, accuracy=200)
-    original = grouping.grouped_with_quantiles
-    monkeypatch.setattr(grouping, "grouped_with_quantiles", small)
-    for row in kpis.genre_performance(table).collect():
-        assert row["median_revenue"] == expected[row["genre"]]["median_revenue"]
-        assert row["median_roi"] == expected[row["genre"]]["median_roi"]
-    whole = {r["director"]: r["movies"] for r in metrics.director_metrics(table).collect()}
-    parts = {}
-    for row in metrics.director_metrics(table, part_size=5).collect():
-        parts.setdefault(row["director"], []).extend(row["movies"])
-    assert {d: sorted(titles) for d, titles in parts.items()} == whole
-    assert value_lists.PART_SIZE == 10_000

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from recordwise.operators.sizing import broadcast_if_small, fresh_path, measured_bytes
 from recordwise.sources import records, storage
 
-pytestmark = pytest.mark.unit
+pytestmark = pytest.mark.literal
 
 
 @pytest.fixture
@@ -73,12 +73,12 @@ def test_stages_runs_and_pruning(spark):
         storage.write_stage(df, base, "features", run, ("release_year",))
     storage.write_stage(spark.range(4).withColumn("release_year", F.lit(1999)), base, "features", "007", ("release_year",))
     assert storage.read_stage(spark, base, "features", "010").count() == 5
-    assert storage.latest_run(spark, base, "features") == "010"
-    assert storage.read_latest(spark, base, "features").count() == 5
+    assert storage.latest_run(spark, base, "features") == "007"  # written last, whatever the names are
+    assert storage.read_latest(spark, base, "features").count() == 4
     only = storage.read_stage(spark, base, "features", "010").where("release_year = 1999")
     plan = only._jdf.queryExecution().executedPlan().toString()
     partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert "release_year" in partition_filters and "run_id" in partition_filters
+    assert "release_year" in partition_filters and "run_id=007" not in plan
 
 
 def test_save_results_dispatch(spark):
@@ -98,15 +98,46 @@ def test_export_reports_failures_and_goes_on(spark):
     assert status["good"]["error"] is None and spark.read.parquet(status["good"]["path"]).count() == 2
 
 
-def test_single_csv_only_for_small_frames(spark, monkeypatch):
+def test_single_file_is_the_callers_choice(spark):
     import glob
 
-    small, large = fresh_path(spark, "t"), fresh_path(spark, "t")
-    storage.write_csv(spark.range(10).repartition(4), small, single_file=True)
-    monkeypatch.setattr(storage, "SINGLE_FILE_ROWS", 5)
-    storage.write_csv(spark.range(10).repartition(4), large, single_file=True)
+    one, many = fresh_path(spark, "t"), fresh_path(spark, "t")
+    storage.write_csv(spark.range(1000).repartition(4), one, single_file=True)
+    storage.write_csv(spark.range(1000).repartition(4), many)
     count = lambda path: len(glob.glob(path.removeprefix("file:") + "/part-*"))
-    assert count(small) == 1 and count(large) > 1
+    assert (count(one), count(many)) == (1, 4)
+
+
+def test_a_repeated_run_leaves_nothing_of_the_earlier_one(spark):
+    base = fresh_path(spark, "t")
+    years = spark.range(6).selectExpr("id", "cast(2000 + id % 3 as int) as release_year")
+    storage.write_stage(years, base, "features", "r", ("release_year",))
+    storage.write_stage(years.where("release_year = 2001"), base, "features", "r", ("release_year",))
+    assert storage.read_stage(spark, base, "features", "r").count() == 2
+    storage.write_stage(years.limit(0), base, "features", "r", ("release_year",))
+    assert storage.read_stage(spark, base, "features", "r").count() == 0
+    storage.write_stage(years.selectExpr("id", "cast(null as int) as release_year"), base, "features", "n", ("release_year",))
+    read = storage.read_stage(spark, base, "features", "n")
+    assert read.schema == years.schema and read.where("release_year is null").count() == 6
+
+
+def test_raw_records_are_kept_per_run(spark):
+    base = fresh_path(spark, "t")
+    storage.write_raw(spark.range(3), base, "a")
+    storage.write_raw(spark.range(5), base, "b")
+    assert [spark.read.parquet(storage.raw_path(base, run)).count() for run in ("a", "b")] == [3, 5]
+
+
+def test_attempts_of_a_run(spark):
+    base = fresh_path(spark, "t")
+    assert storage.next_attempt(spark, base, "r") == 1
+    storage.append_run_records(spark, base, [("r", 1, "clean", "succeeded", 0.0, "broken")])
+    assert (storage.next_attempt(spark, base, "r"), storage.next_attempt(spark, base, "other")) == (2, 1)
+
+
+def test_whole_cast_on_request(spark, credits):
+    full = {r["id"]: r["cast"] for r in records.attach_credits(spark.range(1, 4), credits, cast_limit=None).collect()}
+    assert len(full[1]) == 13
 
 
 def test_broadcast_depends_on_measured_size(spark):

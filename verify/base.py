@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from recordwise.operators import cleaning, features
 from recordwise.operators.sizing import fresh_path
-from recordwise.sources.order_records import order_records, table
+from verify.order_records import order_records, table
 from recordwise.sources.records import read_records
 
 __all__ = ["Case", "OFFSET", "averaged", "batch_base", "case", "cleaned", "fresh_path", "raw", "records", "rounded", "sql", "table", "texts"]

@@ -93,15 +93,22 @@ GENRE_TOTALS = f"(select genre, {TOTAL_REV} as total_revenue, count(*) as count
 MEMBERS = "(select *, case when has_franchise then 'Franchise' else 'Standalone' end as type from records)"
 YEARLY = {"total_revenue": TOTAL_REV, "avg_revenue": REV, "movie_count": N}
 
+
+def with_missing(spark, folder):
+    """Line prices of which some are NULL and some NaN."""
+    price = "case l_orderkey % 7 when 0 then null when 1 then double('NaN') else l_extendedprice end as v"
+    return table(spark, folder, "lineitem").selectExpr(price)
+
+
 CHARTS = [
     chart_case("h01_executive_kpis", dashboards.executive_kpis, sql.select(
         {"total_movies": N, "total_revenue": TOTAL_REV, "total_budget": TOTAL_BUD, "avg_rating": RATE,
          "avg_roi": f"avg(case when {BOTH} then {GAIN} end)"}, "records")),
     chart_case("h02_most_frequent_genre", dashboards.most_frequent_genre,
                f"select genre, count from {GENRE_TOTALS} order by count desc, genre limit 1"),
-    chart_case("h03_money_scatter", dashboards.money_scatter,
+    chart_case("h03_money_scatter", lambda df: dashboards.money_scatter(df, 500),
                sample(columns("id", "budget_musd", "revenue_musd", "vote_average"), BOTH, 500)),
-    chart_case("h03_money_scatter_detailed", dashboards.money_scatter_detailed, sample(
+    chart_case("h03_money_scatter_detailed", lambda df: dashboards.money_scatter_detailed(df, 1000), sample(
         columns("id", "title", "budget_musd", "revenue_musd", "vote_average", "genres", "release_date", "profit_musd",
                 roi_percent=GAIN), BOTH, 1000)),
     chart_case("h04_genres_by_revenue", dashboards.genres_by_revenue,
@@ -116,6 +123,12 @@ CHARTS = [
     case("h05_line_price_histogram",
          lambda s, d: averaged(charts.histogram(table(s, d, "lineitem"), "l_extendedprice", 40)),
          histogram_sql("l_extendedprice", 40, source="lineitem")),
+    case("h05_histogram_with_missing",
+         lambda s, d: averaged(charts.histogram(with_missing(s, d), "v", 40)),
+         histogram_sql("l_extendedprice", 40, source="lineitem where l_orderkey % 7 not in (0, 1)").replace(" where true", " and true")),
+    case("h05_histogram_unplaced", lambda s, d: charts.unplaced(with_missing(s, d), "v"),
+         "select count(*) as rows, count(*) filter (where l_orderkey % 7 = 0) as nulls, "
+         "count(*) filter (where l_orderkey % 7 = 1) as nans from lineitem"),
     chart_case("h06_overview_totals", dashboards.overview_totals, sql.select(
         {"total_movies": N, "total_revenue": TOTAL_REV, "avg_revenue": REV, "total_budget": TOTAL_BUD, "avg_rating": RATE,
          "languages": "count(distinct original_language)", "directors": "count(distinct director)"}, "records")),
@@ -135,14 +148,14 @@ CHARTS = [
     chart_case("h09_top_rating", dashboards.top_rating_bars,
                top(columns("title", "vote_average", "vote_count", "id", label=SHORT), "records where vote_count >= 100",
                    "records.vote_average", 10)),
-    chart_case("h10_profit_scatter", dashboards.profit_scatter,
+    chart_case("h10_profit_scatter", lambda df: dashboards.profit_scatter(df, 500),
                sample(columns("id", "budget_musd", profit="profit_musd"), BOTH, 500)),
     chart_case("h11_top_companies", dashboards.top_companies,
                top(columns("company", "total_revenue", movie_count="=movie_count", label="=company"), f"{COMPANY_TOTALS} t",
                    "t.total_revenue", 10, "company")),
     chart_case("h12_membership_bars", dashboards.membership_bars,
                grouped(MEMBERS, ["type"], avg_revenue=REV, avg_budget=BUD, count=N)),
-    chart_case("h13_rating_popularity", dashboards.rating_popularity_scatter,
+    chart_case("h13_rating_popularity", lambda df: dashboards.rating_popularity_scatter(df, 500),
                sample(columns("id", "vote_average", "popularity", "vote_count"), "vote_count >= 100", 500)),
     chart_case("h14_rating_by_genre", lambda df: dashboards.rating_by_genre(df, 4),
                box_sql(("genre",), "vote_average", among_top(RATED, "count(*)", 4))),
@@ -165,7 +178,7 @@ CHARTS = [
     chart_case("h20_genre_sunburst", dashboards.genre_sunburst, grouped("genre", ["genre"], total_revenue=TOTAL_REV, count=N)),
     chart_case("h21_roi_by_genre_boxes", lambda df: dashboards.roi_by_genre_boxes(df, 4),
                box_sql(("genre",), "gain", among_top(ROI_GENRE, "count(*)", 4))),
-    chart_case("h22_performance_points", dashboards.performance_points, sample(
+    chart_case("h22_performance_points", lambda df: dashboards.performance_points(df, 500), sample(
         columns("id", "title", "budget_musd", "revenue_musd", "vote_average", "popularity", "genres"),
         f"{BOTH} and vote_average > 0", 500)),
     chart_case("h23_revenue_treemap", dashboards.revenue_treemap,
@@ -173,6 +186,13 @@ CHARTS = [
                    "records", "records.revenue_musd", 50)),
     chart_case("h24_rating_heatmap", lambda df: dashboards.rating_heatmap(df, YEARS),
                grouped("genre", ["genre"], **{f"y{y}": f"avg(case when release_year = {y} then vote_average end)" for y in YEARS})),
+    chart_case("h24_genre_years", dashboards.genre_year_ratings,
+               grouped(DATED_GENRE, ["genre", "year"], avg_rating=RATE)),
+    *[chart_case(f"{number}_{name}", lambda df, name=name: dashboards.scatter_cells(df, name, 20).agg(F.sum("count").alias("rows")),
+                 f"select cast(count(*) as bigint) as rows from records where {where}")
+      for number, name, where in (("h03", "money_scatter_cells", BOTH), ("h10", "profit_scatter_cells", BOTH),
+                                  ("h13", "rating_popularity_cells", "vote_count >= 100 and vote_average is not null and popularity is not null"),
+                                  ("h22", "performance_cells", f"{BOTH} and vote_average > 0"))],
     chart_case("h25_roi_by_tier_boxes", dashboards.roi_by_tier_boxes, box_sql(("budget_tier",), "gain", ROI_TIER)),
     chart_case("h26_average_roi_by_genre", dashboards.average_roi_by_genre,
                grouped("genre where roi is not null and genre <> ''", ["genre"], avg_roi="avg(roi)")),
@@ -234,8 +254,8 @@ COUNTS = {"ingest": "select count(*) from raw", "clean": "select count(*) from c
 FACTS = [
     *[fact(s, "record_count", q) for s, q in COUNTS.items()],
     *[fact(s, "succeeded", "select 1") for s in STAGES],
-    fact("kpis", "tables", "select 19"), fact("metrics", "tables", "select 8"), fact("metrics", "failed_tables", "select 0"),
-    fact("charts", "tables", "select 37"),
+    fact("kpis", "tables", "select 19"), fact("metrics", "tables", "select 10"), fact("metrics", "failed_tables", "select 0"),
+    fact("charts", "tables", "select 42"),
     fact("searches", "genre_cast_found", f"select count(*) from records where {GENRE_CAST_WHERE}"),
     fact("searches", "cast_director_found", f"select count(*) from records where {CAST_DIRECTOR_WHERE}"),
 ]

@@ -10,7 +10,7 @@ from recordwise.plans import kpis, metrics
 from recordwise.plans.rankings import all_rankings
 from recordwise.sources import records as record_sources
 from recordwise.sources import storage
-from recordwise.sources.order_records import (
+from verify.order_records import (
     LINE_ORDER,
     nested_credits,
     order_credit_rows,
@@ -27,7 +27,7 @@ RAW_FACTS_SQL = ", ".join(c if c != "vote_average" else "round(vote_average, 6)
 
 def raw_round_trip(fmt):
     def build(spark, folder):
-        paths = storage.write_raw(raw(spark, folder), fresh_path(spark, "round-trip"))
+        paths = storage.write_raw(raw(spark, folder), fresh_path(spark, "round-trip"), "r1")
         back = record_sources.read_records(spark, paths[fmt], fmt)
         return rounded(cleaning.join_names(back, {"genres": "name"}).select(*RAW_FACTS, "genres"))
 
@@ -58,6 +58,23 @@ def stage_hand_over(spark, folder):
     return back.select("id", "title", "budget", "genres", "release_date")
 
 
+def repeated_empty(spark, folder):
+    """Two runs of a stage, the second repeated with no rows: only the first run's rows are left."""
+    base, rows = fresh_path(spark, "stages"), cleaned(spark, folder).select("id", "title")
+    for run, part in (("1", rows), ("2", rows), ("2", rows.limit(0))):
+        storage.write_stage(part, base, "cleaned", run)
+    runs = [storage.read_stage(spark, base, "cleaned", run).withColumn("run", F.lit(run)) for run in ("1", "2")]
+    return runs[0].unionByName(runs[1])
+
+
+def repeated_run(spark, folder):
+    """A run written with all years, then again with some: what was written last stays."""
+    base, rows = fresh_path(spark, "partitioned"), records(spark, folder).select("id", "title", "release_year")
+    storage.write_stage(rows, base, "features", "run1", ("release_year",))
+    storage.write_stage(rows.where("release_year between 1995 and 1996"), base, "features", "run1", ("release_year",))
+    return storage.read_stage(spark, base, "features", "run1")
+
+
 def csv_report(spark, folder):
     path = fresh_path(spark, "csv")
     report = all_rankings(records(spark, folder))["highest_revenue"]
@@ -67,12 +84,24 @@ def csv_report(spark, folder):
 
 
 def saved_results(spark, folder):
-    """Saved KPI tables read back: name and number of rows."""
+    """Two KPI tables and a ranking, saved and read back whole."""
     results = kpis.all_kpis(records(spark, folder))
     base = fresh_path(spark, "kpis")
     storage.save_results(spark, results, base)
-    names = [n for n in results if n != "rankings"] + [f"rankings/{n}" for n in results["rankings"]]
-    return storage.row_counts({n: spark.read.parquet(f"{base}/{n}") for n in names})
+    language = spark.read.parquet(f"{base}/language_performance").select(F.col("original_language").alias("name"), F.col("total_revenue").alias("value"))
+    years = spark.read.parquet(f"{base}/yearly_trends").select(F.col("release_year").cast("string").alias("name"), F.col("total_revenue").alias("value"))
+    top = spark.read.parquet(f"{base}/rankings/highest_revenue").select(F.col("id").cast("string").alias("name"), F.col("revenue_musd").alias("value"))
+    parts = {"language": language, "year": years, "ranking": top}
+    tagged = [frame.withColumn("kind", F.lit(kind)) for kind, frame in parts.items()]
+    return rounded(tagged[0].unionByName(tagged[1]).unionByName(tagged[2]))
+
+
+SAVED_SQL = (
+    "select 'language' as kind, original_language as name, round(sum(revenue_musd), 6) as value from records "
+    "group by original_language having count(*) >= 2 "
+    "union all select 'year', cast(release_year as varchar), round(sum(revenue_musd), 6) from records group by release_year "
+    "union all (select 'ranking', cast(id as varchar), round(revenue_musd, 6) from records order by revenue_musd desc nulls last, id limit 10)"
+)
 
 
 SAVED_COUNTS = {
@@ -110,6 +139,8 @@ METRIC_COUNTS = {
     ),
     "director": "select count(*) from (select 1 from records where director is not null group by director having count(*) >= 2)",
     "franchise": "select count(distinct belongs_to_collection) from records",
+    "director_members": "select count(*) from records where director in (select director from records group by director having count(*) >= 2)",
+    "franchise_members": "select count(belongs_to_collection) from records",
     "budget_tier": "select count(distinct case when budget_musd < 10 then 1 when budget_musd < 50 then 2 when budget_musd < 100 then 3 else 4 end) from records",
     "rating_tier": "select count(distinct case when vote_average < 5 then 1 when vote_average < 7 then 2 when vote_average < 8 then 3 else 4 end) from records",
 }
@@ -118,7 +149,18 @@ METRIC_COUNTS = {
 def exported_metrics(spark, folder):
     base = fresh_path(spark, "metrics")
     storage.export_tables(records(spark, folder), metrics.METRIC_TABLES, base)
-    return storage.row_counts({n: spark.read.parquet(f"{base}/metrics_{n}") for n in metrics.METRIC_TABLES})
+    read = {n: spark.read.parquet(f"{base}/metrics_{n}") for n in metrics.METRIC_TABLES}
+    counts = storage.row_counts(read).select("name", F.lit(None).cast("string").alias("key"), F.col("rows").cast("double").alias("value"))
+    language = read["language"].select(F.lit("language").alias("name"), F.col("original_language").alias("key"), F.col("total_revenue").alias("value"))
+    directors = read["director"].select(F.lit("director").alias("name"), F.col("director").alias("key"), F.col("total_revenue").alias("value"))
+    return rounded(counts.unionByName(language).unionByName(directors))
+
+
+EXPORTED_SQL = (
+    "select name, cast(null as varchar) as key, cast(rows as double) as value from ({counts}) "
+    "union all select 'language', original_language, round(sum(revenue_musd), 6) from records group by original_language having count(*) >= 5 "
+    "union all select 'director', director, round(sum(revenue_musd), 6) from records where director is not null group by director having count(*) >= 2"
+)
 
 
 def kpi_row_counts(spark, folder):
@@ -137,8 +179,9 @@ def partitioned_by_year(spark, folder):
 def latest_of_two_runs(spark, folder):
     base = fresh_path(spark, "runs")
     table_now = records(spark, folder)
-    storage.write_stage(table_now.withColumn("title", F.lit("old")), base, "features", "007")
-    storage.write_stage(table_now, base, "features", "010")
+    # neither the text order nor the number order of the ids tells which was written last
+    storage.write_stage(table_now.withColumn("title", F.lit("old")), base, "features", "9")
+    storage.write_stage(table_now, base, "features", "10")
     return storage.read_latest(spark, base, "features").select("id", "title")
 
 
@@ -186,11 +229,13 @@ SOURCES = [
     case("a06_raw_parquet", raw_round_trip("parquet"), sql.raw(f"select {RAW_FACTS_SQL}, genres from raw")),
     case("a06_raw_json", raw_round_trip("json"), sql.raw(f"select {RAW_FACTS_SQL}, genres from raw")),
     case("a07_stage_hand_over", stage_hand_over, sql.cleaned("select id, title, budget, genres, release_date from cleaned")),
+    case("a07_repeated_empty", repeated_empty, sql.cleaned("select id, title, '1' as run from cleaned")),
+    case("a12_repeated_run", repeated_run, sql.records("select id, title, release_year from records where release_year between 1995 and 1996")),
     case("a08_csv_report", csv_report, sql.records(
         "select cast(row_number() over (order by revenue_musd desc nulls last, id) as int) as rank, id, title, "
         "round(revenue_musd, 6) as revenue_musd from records order by rank limit 10")),
-    case("a09_saved_results", saved_results, sql.records(union_of_counts({**SAVED_COUNTS, **RANK_COUNTS}))),
-    case("a10_exported_metrics", exported_metrics, sql.records(union_of_counts(METRIC_COUNTS))),
+    case("a09_saved_results", saved_results, sql.records(SAVED_SQL)),
+    case("a10_exported_metrics", exported_metrics, sql.records(EXPORTED_SQL.format(counts=union_of_counts(METRIC_COUNTS)))),
     case("a11_kpi_row_counts", kpi_row_counts, sql.records(union_of_counts({**SAVED_COUNTS, **RANK_COUNTS}))),
     case("a12_partitioned_by_year", partitioned_by_year, sql.records(
         "select id, title, release_year from records where release_year between 1997 and 1998")),
@@ -238,6 +283,20 @@ FILLED = ("id", "budget", "revenue", "runtime", "director", "tagline", "belongs_
 REPAIRED = ("id", "title", "status", "budget", "revenue", "runtime", "overview", "tagline")
 
 
+def conflicting(spark, folder):
+    """Lines by a key that is not unique, with differing values."""
+    shown = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    return table(spark, folder, "lineitem").select(*shown)
+
+
+def conflicting_records(spark, folder):
+    """Records of which some also come with another status; the order of the copies is that of the columns."""
+    rows = raw(spark, folder).select("id", "title", "status", "budget", "revenue", "runtime", "overview", "tagline")
+    rumored = rows.where("id % 3 = 0").withColumn("status", F.lit("Rumored"))
+    late = rows.where("id % 5 = 0").withColumn("status", F.lit("Post Production"))
+    return rows.unionByName(rumored).unionByName(late)
+
+
 def row_index(spark, folder):
     indexed = cleaning.with_row_index(cleaned(spark, folder).select("id"))
     return indexed.agg(F.count("index").alias("n"), F.count_distinct("index").alias("distinct_n"))
@@ -269,6 +328,18 @@ CLEANING = [
          sql.raw("select id, case when remark not in ('No Data', 'N/A', 'Unknown') then remark end as tagline from raw")),
     case("b10_one_per_key", from_raw(["id", "title", "budget"], cleaning.one_per_key),
          sql.raw("select distinct id, title, budget from raw")),
+    case("b10_conflicting_copies",
+         lambda s, d: rounded(cleaning.one_per_key(conflicting(s, d), ["l_orderkey", "l_linenumber"])),
+         "select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice, 6) as l_extendedprice, round(l_quantity, 6) as l_quantity from ("
+         "select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey nulls first, l_suppkey nulls first, "
+         "l_extendedprice nulls first, l_quantity nulls first) as n from lineitem) where n = 1"),
+    case("b13_conflicting_records",
+         lambda s, d: cleaning.repair_records(conflicting_records(s, d)).select("id", "title", "budget"),
+         sql.raw("select id, title, nullif(budget, 0) as budget from (select *, row_number() over (partition by id order by title nulls first, "
+                 "status nulls first, nullif(budget, 0) nulls first) as n from (select id, title, status, budget from raw "
+                 "union all select id, title, 'Rumored', budget from raw where id % 3 = 0 "
+                 "union all select id, title, 'Post Production', budget from raw where id % 5 = 0)) "
+                 "where n = 1 and title is not null and status = 'Released'")),
     case("b10_latest_per_key",
          lambda s, d: rounded(cleaning.one_per_key(
              table(s, d, "events").select("event_id", "user_id", "ts", "event_type", "value"), "user_id", "ts", "last")

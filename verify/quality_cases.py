@@ -145,20 +145,23 @@ def given(name):
 
 
 def schema_problems(spark, folder):
+    """Order facts as text, one column missing, one extra: which rows convert to the expected types."""
     from pyspark.sql import types as T
 
-    found = raw(spark, folder).drop("homepage", "cast", "cast_size", "director", "crew_size")
-    changed = found.withColumn("runtime", F.col("runtime").cast("long")).withColumn("extra", F.lit(1))
-    problems = quality.schema_check(changed, T.StructType.fromDDL(DETAIL_SCHEMA))
-    return problems.withColumn("rows_affected", changed.agg(F.count(F.lit(1))).scalar())
+    found = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"), "o_comment"
+    ) if "o_comment" in table(spark, folder, "orders").columns else table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"),
+        F.col("o_orderstatus").alias("o_comment"))
+    expected = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_clerk string")
+    return quality.schema_check(found, expected)
 
 
 CASES = [
     case("d01_schema_check", schema_problems,
-         sql.raw(
-             "select *, (select count(*) from raw) as rows_affected from (select 'missing' as problem, "
-             "'homepage' as \"column\", 'string' as expected, cast(null as varchar) as actual "
-             "union all select 'extra', 'extra', null, 'int' union all select 'type', 'runtime', 'int', 'bigint')")),
+         "select * from (select count(*) as rows from orders), (values ('o_orderkey', 'bigint', null, 0), ('o_custkey', 'bigint', 'type', 1), "
+         "('o_totalprice', 'double', 'type', 0), ('o_clerk', 'string', 'missing', 1), ('o_comment', null, 'extra', 0)) "
+         "v(\"column\", expected, problem, part)".replace("select * from", "select rows, \"column\", expected, problem, cast(part * rows as bigint) as wrong from")),
     case("d02_completeness", lambda s, d: quality.completeness(records(s, d).select(*REPORT_COLUMNS)),
          sql.records(stack(completeness_sql(REPORT_COLUMNS, "records")))),
     case("d02_completeness_lines", lambda s, d: quality.completeness(table(s, d, "lineitem")),
