@@ -10,6 +10,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recordwise.operators.sizing import fresh_path
+
 
 _shipped: set[str] = set()
 
@@ -54,6 +56,16 @@ class Replacing:
         self.system.move(self.unfinished, self.path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a table of its own in the shared folder and read back; nothing of its plan is left.
+
+    Loops use this instead of a checkpoint, which keeps the constraints of all earlier rounds.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def attempt_number() -> int:
     from pyspark import TaskContext
 
