@@ -19,18 +19,20 @@ RATING_TIER_EDGES = (5, 7, 8)
 RATING_TIER_LABELS = ("Poor (<5.0)", "Average (5.0-7.0)", "Good (7.0-8.0)", "Excellent (>8.0)")
 
 FULL_ORDER = (
-    "id title tagline release_date release_year decade genres belongs_to_collection has_franchise "
-    "original_language budget_musd budget_category revenue_musd profit_musd roi revenue_per_minute "
-    "production_companies production_countries vote_count vote_average rating_category popularity "
-    "popularity_score runtime overview spoken_languages poster_path backdrop_path cast cast_size "
-    "director crew_size"
-).split()
+    "id", "title", "tagline", "release_date", "release_year", "decade", "genres",
+    "belongs_to_collection", "has_franchise", "original_language", "budget_musd", "budget_category",
+    "revenue_musd", "profit_musd", "roi", "revenue_per_minute", "production_companies",
+    "production_countries", "vote_count", "vote_average", "rating_category", "popularity",
+    "popularity_score", "runtime", "overview", "spoken_languages", "poster_path", "backdrop_path",
+    "cast", "cast_size", "director", "crew_size",
+)
 FINAL_COLUMNS = (
-    "id title tagline release_date genres belongs_to_collection original_language budget_musd "
-    "revenue_musd production_companies production_countries vote_count vote_average popularity "
-    "runtime overview spoken_languages poster_path cast cast_size director crew_size profit_musd roi "
-    "release_year"
-).split()
+    "id", "title", "tagline", "release_date", "genres", "belongs_to_collection",
+    "original_language", "budget_musd", "revenue_musd", "production_companies",
+    "production_countries", "vote_count", "vote_average", "popularity", "runtime", "overview",
+    "spoken_languages", "poster_path", "cast", "cast_size", "director", "crew_size", "profit_musd",
+    "roi", "release_year",
+)
 
 
 def to_millions(df: DataFrame, columns: tuple[str, ...] = ("budget", "revenue")) -> DataFrame:

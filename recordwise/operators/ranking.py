@@ -79,8 +79,12 @@ def rank_all(df: DataFrame, specs: Sequence[Mapping], n: int = 10) -> dict[str,
     }
 
 
-def rank_long(df: DataFrame, specs: Sequence[Mapping], n: int = 10) -> DataFrame:
-    """All reports in one table: metric, rank, id, title and the value ranked by."""
+def rank_long(df: DataFrame, specs: Sequence[Mapping], n: int = 10, key: str = "id") -> DataFrame:
+    """All reports in one table: metric, rank, id, title and the value ranked by.
+
+    The rankings read only their own columns; the titles of the found records, at most ``n`` for each
+    spec, are fetched by one more scan at the end.
+    """
     def one(spec: Mapping) -> DataFrame:
         ranked = top_n(
             df,
@@ -88,15 +92,15 @@ def rank_long(df: DataFrame, specs: Sequence[Mapping], n: int = 10) -> DataFrame
             spec.get("top_n", n),
             spec.get("ascending", False),
             spec.get("filter"),
-            columns=list(dict.fromkeys(["id", "title", spec["column"]])),
+            key,
+            columns=list(dict.fromkeys([key, spec["column"]])),
             rank="rank",
         )
-        return ranked.select(
-            F.lit(spec["name"]).alias("metric"),
-            "rank",
-            "id",
-            "title",
-            F.col(spec["column"]).cast("double").alias("value"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(spec) for spec in specs])
+        return ranked.select(F.lit(spec["name"]).alias("metric"), "rank", key, F.col(spec["column"]).cast("double").alias("value"))
+
+    found = reduce(DataFrame.unionByName, [one(spec) for spec in specs])
+    wanted = found.select(F.col(key).alias("__wanted"))
+    titles = df.select(key, "title").join(F.broadcast(wanted), F.col(key) == F.col("__wanted"), "left_semi")
+    titles = titles.groupBy(F.col(key).alias("__key")).agg(F.min("title").alias("title"))
+    joined = found.join(F.broadcast(titles), F.col(key).eqNullSafe(F.col("__key")), "left")
+    return joined.select("metric", "rank", key, "title", "value")

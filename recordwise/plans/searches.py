@@ -24,13 +24,13 @@ CAST_DIRECTOR_SEARCH = {
     "ascending": True,
 }
 GENRE_CAST_COLUMNS = (
-    "id title release_year genres vote_average vote_count popularity budget_musd revenue_musd "
-    "profit_musd roi cast director runtime"
-).split()
+    "id", "title", "release_year", "genres", "vote_average", "vote_count", "popularity",
+    "budget_musd", "revenue_musd", "profit_musd", "roi", "cast", "director", "runtime",
+)
 CAST_DIRECTOR_COLUMNS = (
-    "id title release_year genres runtime vote_average vote_count budget_musd revenue_musd profit_musd "
-    "cast director tagline"
-).split()
+    "id", "title", "release_year", "genres", "runtime", "vote_average", "vote_count", "budget_musd",
+    "revenue_musd", "profit_musd", "cast", "director", "tagline",
+)
 
 
 def by_genres_and_cast(

@@ -106,12 +106,13 @@ def attach_credit_rows(
         .agg(F.array_sort(F.collect_list(F.struct("place", "name"))).alias("people"))
         .select(key, F.col("people.name").alias("cast"))
     )
-    cast_sizes = cast.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("cast_size"))
-    is_director = F.col("job") == DIRECTOR_JOB
-    crew_facts = crew.groupBy(key).agg(
-        F.min_by("name", F.when(is_director, F.struct(*position))).alias("director"),
-        F.count(F.lit(1)).cast("int").alias("crew_size"),
-    )
+    count = F.count(F.lit(1)).cast("int")
+    director = F.min_by("name", F.when(F.col("job") == DIRECTOR_JOB, F.struct(*position))).alias("director")
+    if cast is crew:  # one table of people: its sizes and directors are one grouping
+        facts = cast.groupBy(key).agg(count.alias("cast_size"), director, count.alias("crew_size"))
+        return _with_defaults(details.join(first, key, "left").join(facts, key, "left"))
+    cast_sizes = cast.groupBy(key).agg(count.alias("cast_size"))
+    crew_facts = crew.groupBy(key).agg(director, count.alias("crew_size"))
     joined = details.join(first, key, "left").join(cast_sizes, key, "left").join(crew_facts, key, "left")
     return _with_defaults(joined)
 

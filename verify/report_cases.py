@@ -142,6 +142,23 @@ SEARCH_CASES = [
     case("f04_cast_director_search",
          lambda s, d: rounded(texts(searches.cast_director_search(records(s, d), CAST_DIRECTOR))),
          sql.records(f"select {shown(searches.CAST_DIRECTOR_COLUMNS)} from records where {CAST_DIRECTOR_WHERE}")),
+    case("f02_cast_and_director_text",
+         lambda s, d: found(searches.by_cast_and_director(with_cast_text(s, d), "#00000002", "Supplier#000000021", match="substring")),
+         sql.records(f"select {FOUND_SQL} from records where contains(cast_text, '#00000002') and director = 'Supplier#000000021'")),
+    case("f03_genre_cast_search_text",
+         lambda s, d: rounded(texts(searches.genre_cast_search(
+             with_cast_text(s, d), {"genres": ("STAND", "PROM"), "cast": "Supplier#00000000"}, match="substring"))),
+         sql.records(f"select {shown(searches.GENRE_CAST_COLUMNS)} from records where contains(genres, 'STAND') "
+                     "and contains(genres, 'PROM') and contains(cast_text, 'Supplier#00000000')")),
+    case("f04_cast_director_search_text",
+         lambda s, d: rounded(texts(searches.cast_director_search(
+             with_cast_text(s, d), {"cast": "#00000002", "director": "Supplier#000000021"}, match="substring"))),
+         sql.records(f"select {shown(searches.CAST_DIRECTOR_COLUMNS)} from records where contains(cast_text, '#00000002') "
+                     "and director = 'Supplier#000000021'")),
+    case("f07_best_roi_in_genre_text",
+         lambda s, d: rounded(searches.best_roi_in_genre(records(s, d), "PROM", 10, 5.0, "substring").select("id", "roi", "budget_musd")),
+         sql.records("select id, round(roi, 6) as roi, round(budget_musd, 6) as budget_musd from records where contains(genres, 'PROM') "
+                     "and budget_musd >= 5 and roi is not null order by records.roi desc, id limit 10")),
     case("f05_by_years", lambda s, d: found(searches.by_years(records(s, d), 1996, 1998, 6.0)),
          sql.records(f"select {FOUND_SQL} from records where release_year between 1996 and 1998 and vote_average >= 6.0")),
     case("f06_by_budget", lambda s, d: found(searches.by_budget(records(s, d), 20, 60)),
