@@ -9,8 +9,7 @@ document already has. Pass 2 turns each block's separators into document lengths
 
 Defined cases: documents of no ids count 0 tokens; ids behind a file's last separator are an
 unclosed document of their own; an empty file has no documents. In ``count_tokens`` a NULL text
-is empty, rows that share an id are ordered by the hash of their text, NULL ids come first, and
-extra columns are ignored.
+is empty, a NULL or repeated doc_id is one more row with that id, and extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from recordwise.llm.files import Replacing, attempt_number, opened, partition_number
 from recordwise.llm.spans import buffer_of, slices
-from recordwise.llm.tokens import encoder, ordered_texts
+from recordwise.llm.tokens import encoder
 from recordwise.operators.sizing import fresh_path
 
 SEPARATOR = 50256
@@ -34,7 +33,7 @@ SCAN_IDS = 1 << 20
 
 
 def write_flat(documents: DataFrame, folder: str, vocabulary: str, separator: int = SEPARATOR, kind: str = "<u2") -> DataFrame:
-    """Encode documents into flat files, one per partition; returns the rows ``path, ordinal, doc_id``.
+    """Encode documents into flat files, one per partition in its own order; returns the rows ``path, ordinal, doc_id``.
 
     The rows are what the files don't say: which document stands where. They are written as a
     table in the same folder, so that reading them doesn't encode again.
@@ -60,7 +59,8 @@ def write_flat(documents: DataFrame, folder: str, vocabulary: str, separator: in
         if out is not None:
             out.close()
 
-    rows = ordered_texts(documents).mapInArrow(write, "path string, ordinal long, doc_id long")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = texts.mapInArrow(write, "path string, ordinal long, doc_id long")
     rows.write.parquet(f"{folder}/documents")
     return documents.sparkSession.read.schema(rows.schema).parquet(f"{folder}/documents")
 
