@@ -131,14 +131,16 @@ def repair_records(
     zero_columns: Iterable[str] = ZERO_IS_MISSING,
     placeholder_columns: Iterable[str] = PLACEHOLDER_COLUMNS,
     placeholders: Sequence[str] = PLACEHOLDERS,
+    min_values: int | None = None,
 ) -> DataFrame:
     """Missing-value repair, deduplication and row filters in one chain.
 
     Rows without a key are removed before deduplication, which changes no result and keeps
     them out of the shuffle. The status filter must follow deduplication: which copy of a
-    record is kept decides whether the record passes.
+    record is kept decides whether the record passes. ``min_values`` asks for that many values that
+    are not NULL.
     """
-    return (
+    repaired = (
         df.transform(zero_to_null, zero_columns)
         .transform(placeholder_to_null, placeholder_columns, placeholders)
         .dropna(subset=[key])
@@ -146,6 +148,7 @@ def repair_records(
         .transform(require_columns, (key, title))
         .transform(keep_status)
     )
+    return repaired if min_values is None else require_values(repaired, min_values)
 
 
 def clean(df: DataFrame, extra_drops: Iterable[str] = (), **repairs) -> DataFrame:

@@ -29,7 +29,10 @@ class RunConfig:
 
     ``as_of`` is the day against which future dates are judged, by default today.
     ``years`` are the columns of the rating matrix; without them it comes as rows. ``repairs`` are
-    the arguments of the missing-value repair, ``partition_by`` the columns of the feature table.
+    the arguments of the missing-value repair, ``partition_by`` the columns of the feature table,
+    ``formats`` the copies of it (Parquet is always written). ``franchise`` names columns and aggregations of
+    the collection matrix, ``charts`` further charts. The two floors apply to rankings by return and by
+    rating that have no filter of their own.
     """
 
     as_of: str | None = None
@@ -37,6 +40,11 @@ class RunConfig:
     dropped: Sequence[str] = ()
     repairs: Mapping = field(default_factory=dict)
     partition_by: Sequence[str] = ("release_year",)
+    formats: Sequence[str] = ("parquet", "csv")
+    franchise: Mapping = field(default_factory=dict)
+    charts: Sequence[Mapping] = ()
+    min_budget_for_roi: float | None = None
+    min_votes_for_rating: float | None = None
     ranges: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     patterns: Mapping[str, str] = field(default_factory=dict)
     declared_checks: Sequence[Mapping] = ()
@@ -52,6 +60,8 @@ class RunConfig:
         """Take what a nested settings dictionary names; the rest keeps its default, an unknown name is an error."""
         given = {}
         for path, value in _leaves(settings):
+            if path[0] in ELSEWHERE or path[:2] in ELSEWHERE:
+                continue
             if path not in SETTINGS:
                 raise ValueError(f"unknown setting {'.'.join(path)!r}")
             target, *inner = SETTINGS[path]
@@ -59,8 +69,19 @@ class RunConfig:
                 given.setdefault(target, {})[inner[0]] = value
             else:
                 given[target] = value
+        if not given.pop("partitioned", True):
+            given["partition_by"] = ()
         return cls(**given)
 
+    def ranked_specs(self) -> list[Mapping]:
+        """The rankings, with the floors where a ranking has no filter of its own."""
+        floors = {"roi": ("budget_musd", self.min_budget_for_roi), "vote_average": ("vote_count", self.min_votes_for_rating)}
+        specs = []
+        for spec in self.rankings:
+            column, least = floors.get(spec["column"], (None, None))
+            specs.append({**spec, "filter": f"{column} >= {least}"} if least is not None and not spec.get("filter") else spec)
+        return specs
+
 
 # Settings by their path: the parameter of a run, and the key within it where it is a dictionary.
 SETTINGS = {
@@ -68,7 +89,15 @@ SETTINGS = {
     ("processing", "replacements", "zero_to_null"): ("repairs", "zero_columns"),
     ("processing", "replacements", "placeholder_columns"): ("repairs", "placeholder_columns"),
     ("processing", "replacements", "placeholder_values"): ("repairs", "placeholders"),
+    ("processing", "quality", "min_non_null_columns"): ("repairs", "min_values"),
+    ("processing", "quality", "min_budget_for_roi"): ("min_budget_for_roi",),
+    ("processing", "quality", "min_votes_for_rating"): ("min_votes_for_rating",),
     ("output", "partitioning", "columns"): ("partition_by",),
+    ("output", "partitioning", "enabled"): ("partitioned",),
+    ("output", "formats"): ("formats",),
+    ("kpis", "franchise", "metrics"): ("franchise", "columns"),
+    ("kpis", "franchise", "aggregations"): ("franchise", "aggregations"),
+    ("visualization", "charts"): ("charts",),
     ("validation", "ranges"): ("ranges",),
     ("validation", "patterns"): ("patterns",),
     ("testing", "data_validation", "checks"): ("declared_checks",),
@@ -81,6 +110,13 @@ SETTINGS = {
 }
 
 
+# Settings of other parts: the client, the session, logging, alerts, drawing. The record schema fixes the JSON columns.
+ELSEWHERE = {
+    "api", "data", "spark", "logging", "monitoring", ("visualization", "output_format"), ("output", "base_path"),
+    ("output", "reports"), ("processing", "json_columns"),
+}
+
+
 def _leaves(settings: Mapping, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], object]]:
     """The named settings; a dictionary that is itself a value is not entered."""
     found = []
@@ -122,7 +158,13 @@ def feature_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
     )
     table = storage.read_stage(spark, base, FEATURES, run_id)
     flat = cleaning.join_names(table, {"cast": None})
-    storage.write_csv(flat, _run_folder(base, "csv", run_id, FEATURES))
+    unknown = set(config.formats) - {"parquet", "csv", "json"}
+    if unknown:
+        raise ValueError(f"unknown output formats {sorted(unknown)}")
+    if "csv" in config.formats:
+        storage.write_csv(flat, _run_folder(base, "csv", run_id, FEATURES))
+    if "json" in config.formats:
+        table.write.mode("overwrite").json(_run_folder(base, "json", run_id, FEATURES))
     return {"record_count": rows}
 
 
@@ -147,7 +189,9 @@ def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
 def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     """KPI tables with a summary of their row counts, and each ranking as one CSV file."""
     table = storage.read_stage(spark, base, FEATURES, run_id)
-    results = kpis.all_kpis(table, config.ranked, config.rankings, config.min_director_movies)
+    results = kpis.all_kpis(table, config.ranked, config.ranked_specs(), config.min_director_movies)
+    if config.franchise:
+        results["franchise_matrix"] = kpis.franchise_matrix(table, **config.franchise)
     folder = _run_folder(base, "kpis", run_id)
     saved = storage.save_results(spark, results, folder)
     written = {name: spark.read.parquet(posixpath.join(folder, "rankings", name)) for name in results["rankings"]}
@@ -196,6 +240,7 @@ def search_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
 def chart_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
     datasets = dashboards.all_datasets(table, config.years)
+    datasets |= {f"declared_{dashboards.chart_name(spec)}": dashboards.declared_chart(table, spec) for spec in config.charts}
     saved = storage.save_results(spark, datasets, _run_folder(base, "charts", run_id))
     return {"tables": saved.where("kind = 'table'").count()}
 

@@ -5,6 +5,7 @@ Column names, bin counts, floors and limits are fixed values of the charts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from recordwise.operators.features import (
     add_date_parts,
     add_membership_label,
 )
-from recordwise.operators.grouping import explode_values, group_metrics
+from recordwise.operators.grouping import AGGREGATES, explode_values, group_metrics
 from recordwise.operators.ranking import top_n
 from recordwise.operators.sizing import settle
 from recordwise.plans.kpis import distinct_values, roi_by_genre
@@ -333,6 +334,41 @@ def popularity_pairs(df: DataFrame) -> DataFrame:
     return df.select("id", "popularity", "vote_average").dropna(subset=["popularity", "vote_average"])
 
 
+MULTI_VALUED = ("genres", "production_companies", "production_countries", "spoken_languages")
+DECLARED_POINTS = 500
+
+
+def declared_chart(df: DataFrame, spec: Mapping) -> DataFrame:
+    """The dataset of a chart declared as ``type``, ``x``, ``y`` and, by type, ``color``, ``size``, ``aggregation``, ``points``.
+
+    A scatter gives a repeatable sample of ``points`` rows that have x and y, a box the quartiles of y
+    for each value of x, a line or bar the aggregation of each y for each value of x. A multi-valued x
+    counts once for each of its values.
+    """
+    kind, x = spec["type"], spec["x"]
+    ys = [spec["y"]] if isinstance(spec["y"], str) else list(spec["y"])
+    if kind == "scatter":
+        shown = dict.fromkeys(["id", x, *ys, *[spec[c] for c in ("color", "size") if c in spec]])
+        return charts.repeatable_sample(df.select(*shown).dropna(subset=[x, *ys]), spec.get("points", DECLARED_POINTS))
+    rows = df.select(x, *ys)
+    if x in MULTI_VALUED:
+        rows = explode_values(rows.withColumnRenamed(x, "__values"), "__values", x).drop("__values")
+    if kind == "box":
+        return charts.box_stats(rows, [x], ys[0], [x])
+    if kind not in ("line", "bar"):
+        raise ValueError(f"unknown chart type {kind!r}")
+    how = spec.get("aggregation", "mean")
+    if how == "median":
+        return group_metrics(rows, [x], {}, quantiles={y: (f"`{y}`", 0.5) for y in ys}, order_by=[x])
+    return group_metrics(rows, [x], {f"{y}_{how}": AGGREGATES[how].format(c=f"`{y}`") for y in ys}, order_by=[x])
+
+
+def chart_name(spec: Mapping) -> str:
+    """A folder name from the chart's title, or from its axes."""
+    title = spec.get("title") or f"{spec['type']} {spec['x']} {spec['y']}"
+    return re.sub(r"\W+", "_", title.lower()).strip("_")
+
+
 # Points that a scatter chart of the reports shows (a repeatable sample of that size).
 SCATTER_POINTS = {
     "money_scatter": 500,

@@ -250,9 +250,12 @@ FRANCHISE_MATRIX = {
 }
 
 
-def franchise_matrix(df: DataFrame) -> DataFrame:
-    members = df.where("has_franchise")
-    return agg_matrix(members, ["belongs_to_collection"], **FRANCHISE_MATRIX)
+def franchise_matrix(
+    df: DataFrame, columns: Sequence[str] | None = None, aggregations: Sequence[str] | None = None
+) -> DataFrame:
+    wanted = {**FRANCHISE_MATRIX}
+    wanted |= {k: v for k, v in (("columns", columns), ("aggregations", aggregations)) if v}
+    return agg_matrix(df.where("has_franchise"), ["belongs_to_collection"], **wanted)
 
 
 def all_kpis(

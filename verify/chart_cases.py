@@ -8,7 +8,7 @@ from recordwise.operators import charts
 from recordwise.operators.features import FULL_ORDER
 from recordwise.plans import batch, dashboards
 from recordwise.sources import storage
-from verify.base import averaged, batch_base, case, raw, records, rounded, sql, table, texts
+from verify.base import averaged, batch_base, case, fresh_path, raw, records, rounded, sql, table, texts
 from verify.quality_cases import AS_OF, RANGES, range_sql, rule_sql, RULES, stack, uniqueness_sql
 from verify.report_cases import BUD, CAST_DIRECTOR, GENRE_CAST, N, POP, RATE, REV, TOTAL_BUD, TOTAL_REV, grouped
 from verify.report_cases import CAST_DIRECTOR_WHERE, GENRE_CAST_WHERE, PARTS, TIERS, COMPANIES
@@ -224,6 +224,49 @@ def finished_run(spark, folder):
     return batch_base(spark, folder, lambda base: batch.run_batch(spark, raw(spark, folder), base, RUN, CONFIG))
 
 
+SETTINGS = {
+    "processing": {"replacements": {"placeholder_values": ["No Data", "N/A"]}, "quality": {"min_votes_for_rating": 5}},
+    "kpis": {"franchise": {"metrics": ["revenue_musd"], "aggregations": ["sum", "median"]},
+             "rankings": {"top_n": 4, "metrics": [{"name": "best", "column": "vote_average"}]}},
+    "output": {"partitioning": {"columns": ["decade"]}, "formats": ["parquet", "json"]},
+    "visualization": {"charts": [
+        {"type": "bar", "title": "By kind", "x": "has_franchise", "y": ["revenue_musd", "roi"], "aggregation": "mean"},
+        {"type": "box", "title": "Rating by genre", "x": "genres", "y": "vote_average"},
+    ]},
+}
+
+
+def settings_run(spark, folder):
+    """A run with settings of its own: placeholders, matrix, ranking floor, partitions, formats and charts reach its tables."""
+    base = fresh_path(spark, "settings")
+    outcome = batch.run_batch(spark, raw(spark, folder), base, RUN, batch.RunConfig.from_dict(SETTINGS))
+    failed = [r["note"] for r in outcome.where("metric = 'succeeded' and value = 0").collect()]
+    if failed:
+        raise RuntimeError(failed)
+    at = lambda *p: spark.read.parquet("/".join([base, p[0], f"run_id={RUN}", *p[1:]]))
+    known = spark.read.json(f"{base}/json/run_id={RUN}/features").agg(F.count("tagline").cast("double").alias("value"))
+    parts = [
+        known.select(F.lit("taglines").alias("kind"), F.lit("").alias("name"), "value"),
+        at("kpis", "franchise_matrix").select(F.lit("median"), "belongs_to_collection", "revenue_musd_median"),
+        at("kpis", "rankings", "best").select(F.lit("best"), F.col("id").cast("string"), "vote_average"),
+        at("charts", "declared_by_kind").select(F.lit("bar"), F.col("has_franchise").cast("string"), "revenue_musd_mean"),
+        at("charts", "declared_rating_by_genre").select(F.lit("box"), "genres", "median"),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.union(part)
+    return averaged(result)
+
+
+SETTINGS_SQL = (
+    f"select 'taglines' as kind, '' as name, {value('count(nullif(tagline, chr(78) || chr(47) || chr(65))) * 1.0')} as value from records "
+    f"union all select 'median', belongs_to_collection, {value('median(revenue_musd)')} from records where has_franchise group by belongs_to_collection "
+    f"union all (select 'best', cast(id as varchar), {value('vote_average')} from records where vote_count >= 5 order by records.vote_average desc nulls last, id limit 4) "
+    f"union all select 'bar', cast(has_franchise as varchar), {value('avg(revenue_musd)')} from records group by has_franchise "
+    f"union all select 'box', genre, {value('median(vote_average)')} from genre where vote_average is not null group by genre"
+)
+
+
 def run_records(spark, folder):
     return storage.read_run_records(spark, finished_run(spark, folder)).where(F.col("run_id") == RUN)
 
@@ -281,6 +324,7 @@ MONITORED = " union all ".join(
 
 RUNS = [
     case("p01_batch_run", batch_run, sql.records(" union all ".join(FACTS))),
+    case("p01_settings_run", settings_run, sql.records(SETTINGS_SQL)),
     case("p02_stage_record_counts", stage_counts, sql.records(
         "select 'cleaned' as name, count(*) as rows from cleaned union all select 'features', count(*) from records")),
     case("p03_run_records", lambda s, d: run_records(s, d).groupBy("run_id", "stage").agg(F.count_distinct("ts").alias("writes")),
