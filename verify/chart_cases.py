@@ -327,8 +327,10 @@ RUNS = [
     case("p01_settings_run", settings_run, sql.records(SETTINGS_SQL)),
     case("p02_stage_record_counts", stage_counts, sql.records(
         "select 'cleaned' as name, count(*) as rows from cleaned union all select 'features', count(*) from records")),
-    case("p03_run_records", lambda s, d: run_records(s, d).groupBy("run_id", "stage").agg(F.count_distinct("ts").alias("writes")),
-         " union all ".join(f"select '{RUN}' as run_id, '{s}' as stage, cast(count(distinct 1) as bigint) as writes from orders" for s in STAGES)),
+    case("p03_run_records",
+         lambda s, d: run_records(s, d).where("metric = 'record_count'").select("run_id", "attempt", "stage", "value"),
+         sql.records(" union all ".join(
+             f"select '{RUN}' as run_id, cast(1 as int) as attempt, stage, value from ({fact(s, 'record_count', q)})" for s, q in COUNTS.items()))),
     case("p04_monitored_metrics", monitored, sql.records(MONITORED)),
 ]
 

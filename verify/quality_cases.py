@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recordwise.operators import quality
-from recordwise.sources.records import DETAIL_SCHEMA
 from verify.base import case, raw, records, rounded, sql, table
 
 AS_OF = "2000-06-30"
@@ -149,10 +148,8 @@ def schema_problems(spark, folder):
     from pyspark.sql import types as T
 
     found = table(spark, folder, "orders").select(
-        "o_orderkey", F.col("o_orderpriority").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"), "o_comment"
-    ) if "o_comment" in table(spark, folder, "orders").columns else table(spark, folder, "orders").select(
-        "o_orderkey", F.col("o_orderpriority").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"),
-        F.col("o_orderstatus").alias("o_comment"))
+        "o_orderkey", F.col("o_orderpriority").alias("o_custkey"), F.col("o_totalprice").cast("string").alias("o_totalprice"), "o_orderstatus"
+    )
     expected = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_clerk string")
     return quality.schema_check(found, expected)
 
@@ -160,7 +157,7 @@ def schema_problems(spark, folder):
 CASES = [
     case("d01_schema_check", schema_problems,
          "select * from (select count(*) as rows from orders), (values ('o_orderkey', 'bigint', null, 0), ('o_custkey', 'bigint', 'type', 1), "
-         "('o_totalprice', 'double', 'type', 0), ('o_clerk', 'string', 'missing', 1), ('o_comment', null, 'extra', 0)) "
+         "('o_totalprice', 'double', 'type', 0), ('o_clerk', 'string', 'missing', 1), ('o_orderstatus', null, 'extra', 0)) "
          "v(\"column\", expected, problem, part)".replace("select * from", "select rows, \"column\", expected, problem, cast(part * rows as bigint) as wrong from")),
     case("d02_completeness", lambda s, d: quality.completeness(records(s, d).select(*REPORT_COLUMNS)),
          sql.records(stack(completeness_sql(REPORT_COLUMNS, "records")))),
