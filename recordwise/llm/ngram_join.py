@@ -36,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordwise.llm.files import stored
 from recordwise.llm.graph import components
 from recordwise.llm.shingles import minhashes, multipliers, set_key, shingle_sets
 from recordwise.llm.spans import U64, buffer_of, mixed, slices
-from recordwise.operators.sizing import broadcast_if_small, settle
+from recordwise.operators.sizing import broadcast_if_small
 
 THRESHOLD = 0.8
 BANDS, BAND_ROWS = 32, 4
@@ -115,6 +116,16 @@ class Forest:
                 self.join(int(left[k]), int(right[k]))
 
 
+def stars(forest: Forest, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The trees as links from each one's smallest name to its other names, so that components need few rounds."""
+    roots = np.array([forest.root(x) for x in range(len(names))])
+    order = np.lexsort((names, roots))
+    first = np.ones(len(order), bool)
+    first[1:] = roots[order][1:] != roots[order][:-1]
+    centre = names[order][first][np.cumsum(first) - 1]
+    return centre[~first], names[order][~first]
+
+
 def grouped(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows of one key from batches that are sorted by it."""
     held: list[pa.RecordBatch] = []
@@ -227,8 +238,7 @@ def bucket_links(rows: DataFrame, threshold: float, tolerance: float) -> DataFra
                 real = left < right if same else left != right
                 forest.join_all(left[real], right[real])
             if forest.links:
-                links = np.array(forest.links)
-                yield pa.RecordBatch.from_arrays([pa.array(names[links[:, 0]]), pa.array(names[links[:, 1]])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in stars(forest, names)], ["a", "b"])
 
     return dealt(rows, ["band", "value"]).mapInArrow(run, "a long, b long")
 
@@ -296,10 +306,10 @@ def cluster_links(rows: DataFrame, threshold: float, tolerance: float) -> DataFr
             forest.join_all(left, right)
             counts = np.bincount(left, copies[right], len(names)) + np.bincount(right, copies[left], len(names))
             some = np.flatnonzero(counts)
-            pairs = np.array(forest.links, np.int64).reshape(-1, 2)
-            a = np.concatenate([names[some], names[pairs[:, 0]]])
-            b = pa.array([None] * len(some) + names[pairs[:, 1]].tolist(), pa.int64())
-            linked_documents = np.concatenate([counts[some], np.zeros(len(pairs))]).astype(np.int64)
+            centres, others = stars(forest, names)
+            a = np.concatenate([names[some], centres])
+            b = pa.array([None] * len(some) + others.tolist(), pa.int64())
+            linked_documents = np.concatenate([counts[some], np.zeros(len(others))]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(a), b, pa.array(linked_documents)], ["a", "b", "linked"])
 
     return dealt(rows, ["cluster"]).mapInArrow(run, "a long, b long, linked long")
@@ -307,24 +317,28 @@ def cluster_links(rows: DataFrame, threshold: float, tolerance: float) -> DataFr
 
 def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """``doc_id, class_id, set_id, n_links`` of every document."""
-    rows = settle(signed(documents))
+    rows = stored(signed(documents), "signed")
     named = rows.where("doc_id is not null and key_a is not null")
     key = ["key_a", "key_b"]
-    classes = settle(
+    classes = stored(
         named.groupBy(*key).agg(
             F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("values").alias("values"), F.first("bands").alias("bands")
-        )
+        ),
+        "classes",
     )
-    banded = classes.select("node", *key, "size", "values", F.posexplode("bands").alias("band", "value"))
-    buckets = settle(banded.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1"))
-    met = in_blocks(banded.select("band", "value", "node", "size", "values"), ["band", "value"], buckets, BUCKET_BLOCK, "node")
+    # bands are met by name alone; only classes that meet another one bring their values
+    banded = classes.select("node", F.posexplode("bands").alias("band", "value"))
+    buckets = banded.groupBy("band", "value").agg(F.count("*").alias("members")).where("members > 1")
+    buckets = broadcast_if_small(stored(buckets, "buckets"))
+    placed = in_blocks(banded, ["band", "value"], buckets, BUCKET_BLOCK, "node")
+    met = placed.join(classes.select("node", "size", "values"), "node")
     clusters = components(bucket_links(met, threshold, tolerance)).select("node", F.col("label").alias("cluster"))
     members = classes.select("node", *key, "copies").join(clusters, "node")
     members = broadcast_if_small(members)
     texts = lowered(documents).join(members, F.col("doc_id") == F.col("node")).select("cluster", "node", *key, "copies", "text")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("members"))
     placed = in_blocks(texts, ["cluster"], broadcast_if_small(sizes), CLUSTER_BLOCK, "node")
-    verified = settle(cluster_links(placed, threshold, tolerance))
+    verified = stored(cluster_links(placed, threshold, tolerance), "verified")
     labels = components(verified.where("b is not null").select("a", "b"))
     linked = verified.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked")).join(labels, "node", "left")
     known = classes.select(*key, "node", "copies").join(linked, "node", "left").where("copies > 1 or linked is not null")

@@ -46,7 +46,7 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.jaccard_links(table(spark, folder, "documents"))
+    return ngram_join.jaccard_links(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
 
 
 @query

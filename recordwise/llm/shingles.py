@@ -27,10 +27,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> l
         if last - first >= words:
             found.append(np.unique(grams[first : last - words + 1]))
         elif last > first:
-            short = U64(last - first)
-            for h in hashes[first:last]:
-                short = mixed(np.array([short]))[0] + h
-            found.append(mixed(np.array([short])))
+            short = np.array([last - first], U64)
+            for at in range(first, last):
+                short = mixed(short) + hashes[at : at + 1]
+            found.append(mixed(short))
         else:
             found.append(np.zeros(0, U64))
     return found
