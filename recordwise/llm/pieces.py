@@ -194,8 +194,7 @@ def encode(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, s
     border[heads[full]] = True
     starts = np.flatnonzero(border)
     ends = np.append(starts[1:], len(chars))
-    raw = chars.astype("<u4").view(np.uint8)
-    hashes = [Prefix(raw, base).ranges(4 * starts, 4 * ends) for base in BASES]
+    hashes = [Prefix(chars, base).ranges(starts, ends) for base in BASES]
     _, where, which = np.unique(hashes[0], return_index=True, return_inverse=True)
     if not np.array_equal(hashes[1], hashes[1][where][which]):
         _, where, which = np.unique(np.stack(hashes, 1), axis=0, return_index=True, return_inverse=True)
@@ -276,7 +275,7 @@ def encode_texts(documents: DataFrame, path: str, alpha: float = 1.0, seed: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path, alpha)
         for batch in batches:
-            for part in slices(batch, "text", 1 << 21):
+            for part in slices(batch, "text", 1 << 19):
                 data, offsets = buffer_of(part.column("text"))
                 keys = part.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
                 ids, heads = encode(p, data, offsets, keys, seed)

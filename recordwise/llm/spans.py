@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have an inverse modulo 2**64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -43,7 +43,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Prefix sums over one byte buffer."""
+    """Prefix sums over one buffer of bytes or characters."""
 
     def __init__(self, data: np.ndarray, base: int = BASES[0]):
         up, self.down = powers(base, len(data) + 1)
