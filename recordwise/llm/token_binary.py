@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from recordwise.llm.files import Replacing, attempt_number, one_task_each, opened, partition_number
 from recordwise.llm.spans import buffer_of, slices
-from recordwise.llm.tokens import encoder, ordered_texts, vocabulary_path
+from recordwise.llm.tokens import SLICE, encoder, ordered_texts, vocabulary_path
 
 MAGIC = b"TOKEF001"
 SAMPLE = 512
@@ -106,7 +106,7 @@ def write_shards(documents: DataFrame, folder: str, vocabulary: str, end_id: int
         name, attempt = f"{folder}/shard-{partition_number():06d}", attempt_number()
         out, total, ends, keys, without_id = None, 0, [], [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 if out is None:
                     out = Replacing(name + ".ids", attempt)
                 ids, heads = encode.encode(*buffer_of(part.column("text")))

@@ -14,7 +14,8 @@ import numpy as np
 from recordwise.llm.spans import BASES, U64, Prefix
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_PARTS = 400_000
+KEPT_PARTS = 700_000
+SLICE = 4 << 20  # larger slices hold more equal parts
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -41,24 +42,26 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[tuple[int, int], int] = {}
+        self.known: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
+        self.checks = np.zeros(1 << 14, U64)
 
     def ids_of(self, part: str) -> list[int]:
         if not self.plain:
             return self.tokenizer.encode(part, add_special_tokens=False).ids
         return [token.id for piece, _ in self.split(part) for token in self.model.tokenize(piece)]
 
-    def add(self, key: tuple[int, int], part: str) -> int:
+    def add(self, key: int, check: int, part: str) -> int:
         ids, n = self.ids_of(part), len(self.known)
         begin = int(self.ends[n - 1]) if n else 0
         if n >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros(n, np.int64)])
+            self.checks = np.concatenate([self.checks, np.zeros(n, U64)])
         while begin + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
         self.flat[begin : begin + len(ids)] = ids
-        self.ends[n] = begin + len(ids)
+        self.ends[n], self.checks[n] = begin + len(ids), check
         self.known[key] = n
         return n
 
@@ -82,20 +85,16 @@ class Encoder:
         first = Prefix(data, BASES[0]).ranges(starts, ends)
         second = Prefix(data, BASES[1]).ranges(starts, ends)
         _, where, which = np.unique(first, return_index=True, return_inverse=True)
-        if not np.array_equal(second, second[where][which]):  # two parts share one hash: tell them apart
-            both = np.stack([first, second], 1)
-            _, where, which = np.unique(both, axis=0, return_index=True, return_inverse=True)
-            which = which.ravel()
         raw, known = data.tobytes(), self.known
-        keys = zip(first[where].tolist(), second[where].tolist(), strict=True)
+        parts = zip(first[where].tolist(), second[where].tolist(), starts[where].tolist(), ends[where].tolist(), strict=True)
         numbers = np.fromiter(
-            (
-                known[key] if key in known else self.add(key, raw[s:e].decode("utf-8", "replace"))
-                for key, s, e in zip(keys, starts[where].tolist(), ends[where].tolist(), strict=True)
-            ),
+            (known[h] if h in known else self.add(h, check, raw[s:e].decode("utf-8", "replace")) for h, check, s, e in parts),
             np.int64,
             len(where),
         )
+        if not np.array_equal(second, self.checks[numbers][which]):  # two parts share a hash: one text at a time, uncached
+            ids = [self.ids_of(raw[s:e].decode("utf-8", "replace")) for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
+            return np.array([i for row in ids for i in row], np.uint32), np.concatenate([[0], np.cumsum([len(row) for row in ids])])
         heads = np.where(numbers > 0, self.ends[numbers - 1], 0)
         sizes = self.ends[numbers] - heads
         heads, sizes = heads[which], sizes[which]
