@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from recordwise.llm.files import Replacing, attempt_number, opened, partition_number
 from recordwise.llm.spans import buffer_of, slices
-from recordwise.llm.tokens import encoder
+from recordwise.llm.tokens import SLICE, encoder
 from recordwise.operators.sizing import fresh_path
 
 SEPARATOR = 50256
@@ -43,7 +43,7 @@ def write_flat(documents: DataFrame, folder: str, vocabulary: str, separator: in
         encode, out, n = encoder(vocabulary), None, 0
         name = f"{folder}/flat/part-{partition_number():06d}.bin"
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 if out is None:
                     out = Replacing(name, attempt_number())
                 ids, heads = encode.encode(*buffer_of(part.column("text")))
@@ -157,4 +157,5 @@ def count_tokens(documents: DataFrame, vocabulary: str, separator: int = SEPARAT
     placed = write_flat(documents, folder, vocabulary, separator)
     blocks = flat_blocks(placed.select("path").distinct(), block_ids=block_ids)
     counted = document_lengths(blocks, separator).drop("closed")
-    return placed.join(counted, ["path", "ordinal"]).select("doc_id", "path", "ordinal", "n_tokens")
+    # compressed files look small to the planner, so it must not choose to broadcast them
+    return placed.hint("merge").join(counted, ["path", "ordinal"]).select("doc_id", "path", "ordinal", "n_tokens")
