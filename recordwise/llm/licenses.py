@@ -6,9 +6,14 @@ windows, so a notice is not diluted however long the line is. A paragraph's feat
 families and a class "unknown" is trained on the driver from the fixed texts in
 ``license_texts`` (varied by rule: surrounding words, cuts, lower case) and on a bounded sample of the
 corpus' own paragraphs as unknown (``unknown_rows`` rows, the smallest hashes). Its probabilities are
-calibrated by a temperature that is fitted on a third of the training rows kept back. A paragraph whose
-most likely class is a family with at least ``least`` probability is a prediction; it is confirmed when
-the family's best template shares enough of its word pairs with the paragraph.
+calibrated by a temperature that is fitted on a third of the training rows kept back.
+
+A window may name several families. Those whose best template shares enough of its word pairs with the
+window, and the most likely one, are taken one after the other, the likeliest first; each takes the words
+that its template explains out of the window before the next one is looked for. A family is a prediction
+when it is the most likely class, with at least ``least`` probability, of the window or of its own words and
+those around them without the words of the others; it is confirmed when its template shared enough of the word pairs that were left to it. A
+paragraph has one row per predicted family.
 
 Defined cases: a NULL or empty text has no paragraph; lines without words are skipped but counted;
 rows that repeat an id are scanned each; texts are read whole; extra columns are ignored; an
@@ -33,6 +38,8 @@ WINDOW, OVERLAP = 60, 30
 UNKNOWN_ROWS = 2_000
 LEAST = 0.6
 SHARED = 0.6
+GAP = 3  # words between two pairs of one occurrence of a template
+BEFORE, AFTER = 8, 12  # words around a notice, as in training
 FAMILIES = ["unknown", *NAMES]
 
 
@@ -180,46 +187,175 @@ def train(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS) -> np.ndarray:
     return fit(*training_texts([r["line"] for r in sample.collect()]))
 
 
-def word_pairs(words: list[str]) -> set[tuple[str, str]]:
-    return set(zip(words, words[1:]))
-
-
-def templates() -> dict[str, list[set[tuple[str, str]]]]:
-    """Word pairs of each family's names and texts."""
-    split = lambda t: re.findall(r"\w+", t.lower())
-    return {f: [word_pairs(split(t)) for t in [*NAMES[f], *TEXTS[f]]] for f in NAMES}
-
-
-def similarity(words: list[str], family: str, known: dict) -> float:
-    """Share of the best template's word pairs that the paragraph has, or of the paragraph's that a long template has."""
-    pairs = word_pairs(words)
-    if not pairs:
-        return 0.0
-    return max(len(pairs & t) / min(len(t), max(len(pairs), 6)) for t in known[family])
+def split_words(text: str) -> list[str]:
+    return re.findall(r"\w+", text.lower())
+
+
+def word_pairs(words: list[str | None]) -> set[tuple[str, str]]:
+    """Pairs of neighbours; None stands where words were taken out."""
+    return {p for p in zip(words, words[1:]) if None not in p}
+
+
+def templates() -> dict[str, list[list[str]]]:
+    """Words of each family's names and texts."""
+    return {f: [split_words(t) for t in [*NAMES[f], *TEXTS[f]]] for f in NAMES}
+
+
+def similarity(pairs: set[tuple[str, str]], total: int, known: list[set[tuple[str, str]]]) -> float:
+    """Share of the best template's word pairs that are in ``pairs``, or of the window's ``total`` that a long template has."""
+    return max(len(pairs & t) / min(len(t), max(total, 6)) for t in known) if pairs else 0.0
+
+
+def occurrence(words: list[str | None], known: list[dict[tuple[str, str], list[int]]]) -> tuple[int, int]:
+    """The run of words (first, last + 1) that follows one of the templates in order for the most pairs; (0, 0) without any."""
+    best, place = 0, (0, 0)
+    for template in known:
+        begin = after = size = 0
+        last = -1
+        for k, pair in enumerate(zip(words, words[1:])):
+            at = template.get(pair)
+            if not at:
+                continue
+            later = next((a for a in at if a > last), None)
+            if not size or later is None or k - after >= GAP:
+                begin, size, later = k, 0, at[0]
+            last, size, after = later, size + 1, k + 1
+            if size > best:
+                best, place = size, (begin, k + 2)
+    return place
+
+
+class Templates:
+    """The templates in the forms that their comparisons need."""
+
+    def __init__(self):
+        words = templates()
+        self.pairs = {f: [word_pairs(t) for t in ts] for f, ts in words.items()}
+        self.places = {f: [self.indexed(t) for t in ts] for f, ts in words.items()}
+        every = [p for f in NAMES for p in self.pairs[f]]
+        plain = [p for p in sorted(set().union(*every)) if all(re.fullmatch("[a-z0-9]+", w) for w in p)]  # "_" parts words of bytes
+        self.sizes = np.array([len(p) for p in every])
+        self.skipped = self.sizes - np.array([len(p.intersection(plain)) for p in every])
+        data, offsets = buffer_of(pa.array([w for p in plain for w in p], pa.string()))
+        words_of = Prefix(data).ranges(offsets[:-1], offsets[1:])
+        hashes = mixed(words_of[::2]) + words_of[1::2]
+        order = np.argsort(hashes)
+        self.hashes, self.member = hashes[order], np.array([[p in t for t in every] for p in plain], np.int16)[order]
+
+    @staticmethod
+    def indexed(words: list[str]) -> dict[tuple[str, str], list[int]]:
+        places: dict[tuple[str, str], list[int]] = {}
+        for k, pair in enumerate(zip(words, words[1:])):
+            places.setdefault(pair, []).append(k)
+        return places
+
+    def likely(self, data: np.ndarray, first: np.ndarray, last: np.ndarray, starts: np.ndarray, ends: np.ndarray, shared: float) -> np.ndarray:
+        """Marks the windows that may share enough of a template (a superset: repeated pairs count again)."""
+        marked = np.zeros(len(first), bool)
+        if len(starts) < 2:
+            return marked
+        words = Prefix(data).ranges(starts, ends)
+        pairs = mixed(words[:-1]) + words[1:]
+        at = np.minimum(np.searchsorted(self.hashes, pairs), len(self.hashes) - 1)
+        useful = np.flatnonzero(self.hashes[at] == pairs)
+        low, high = np.searchsorted(useful, first), np.searchsorted(useful, np.maximum(first, last - 1))
+        hits = high - low
+        some = np.flatnonzero(hits)
+        for k in range(0, len(some), 1 << 14):
+            part = some[k : k + (1 << 14)]
+            heads = np.cumsum(hits[part]) - hits[part]
+            place = np.repeat(low[part] - heads, hits[part]) + np.arange(hits[part].sum())
+            counts = np.add.reduceat(self.member[at[useful[place]]], heads)
+            fewest = shared * np.minimum(self.sizes, np.maximum(last[part] - first[part] - 1, 6)[:, None]) - self.skipped
+            marked[part] = (counts >= fewest - 1e-9).any(1)
+        return marked
+
+
+def chances_of(texts: list[str], weights: np.ndarray) -> np.ndarray:
+    """Class probabilities of texts of about one window; a text without words is unknown."""
+    result = np.tile(np.eye(len(FAMILIES))[0], (len(texts), 1))
+    data, offsets = buffer_of(pa.array(texts, pa.string()))
+    if len(data):
+        (row, *_), score = logits(data, offsets, weights)
+        chances = softmax(score)
+        for k in np.argsort(-chances[:, 0], kind="stable").tolist():  # the window that is least unknown comes last
+            result[row[k]] = chances[k]
+    return result
+
+
+class Window:
+    """One window's words, and the families that were found in it with the words they explain."""
+
+    def __init__(self, words: list[str], chance: np.ndarray):
+        self.words, self.chance, self.left = words, chance, list(words)
+        self.total = len(word_pairs(words))
+        self.found: dict[int, tuple[float, set[int]]] = {}
+
+    def take(self, chance: np.ndarray, known: Templates, least: float, shared: float) -> bool:
+        """Find the next family in what is left, given its class probabilities; False if there is none."""
+        pairs = word_pairs(self.left)
+        alike = {k: similarity(pairs, self.total, known.pairs[f]) for k, f in enumerate(FAMILIES) if k}
+        wanted = [k for k, value in alike.items() if value >= shared]
+        order = sorted(wanted, key=lambda k: (-chance[k], -alike[k], k))
+        best = int(np.argmax(chance))
+        if best and chance[best] >= least:
+            order.insert(0, best)
+        for k in order:
+            begin, end = occurrence(self.left, known.places[FAMILIES[k]])
+            value, places = self.found.get(k, (0.0, set()))
+            self.found[k] = (max(value, alike[k]), places | {p for p in range(begin, end) if self.left[p] is not None})
+            if begin < end:
+                self.left[begin:end] = [None] * (end - begin)
+                return True
+        return False
+
+    def alone(self, family: int) -> str:
+        """The family's words and those around them, without the words that other families explain."""
+        others = set().union(*(places for k, (_, places) in self.found.items() if k != family))
+        near = {k for p in self.found[family][1] for k in range(p - BEFORE, p + AFTER + 1)}
+        return " ".join(w for k, w in enumerate(self.words) if k in near and k not in others)
+
+
+def families_of(windows: list[Window], known: Templates, weights: np.ndarray, least: float, shared: float) -> list[tuple[int, str, float, float]]:
+    """(window, family, probability, similarity) of every predicted family, all windows scored together."""
+    active, chances = windows, [w.chance for w in windows]
+    while active:
+        active = [w for w, chance in zip(active, chances) if w.take(chance, known, least, shared)]
+        chances = chances_of([" ".join(x for x in w.left if x) for w in active], weights)
+    tested = [(k, f, windows[k].chance) for k, w in enumerate(windows) for f in w.found]
+    alone = chances_of([windows[k].alone(f) for k, f, _ in tested], weights)
+    best: dict[tuple[int, int], float] = {}
+    for k, f, chance in tested + [(k, f, chance) for (k, f, _), chance in zip(tested, alone)]:
+        if int(np.argmax(chance)) == f and chance[f] >= least:
+            best[k, f] = max(best.get((k, f), 0.0), float(chance[f]))
+    return [(k, FAMILIES[f], chance, windows[k].found[f][0]) for (k, f), chance in best.items()]
 
 
 def scan(documents: DataFrame, weights: np.ndarray, least: float = LEAST, shared: float = SHARED) -> DataFrame:
-    """``doc_id, paragraph, family, probability, similarity, confirmed``: the best window of each predicted paragraph."""
+    """``doc_id, paragraph, family, probability, similarity, confirmed``: every predicted family of each paragraph, from its best window."""
     model = documents.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = templates()
+        known = Templates()
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 data, offsets = buffer_of(part.column("text"))
                 (row, paragraph, first, last, starts, ends), score = logits(data, offsets, model.value)
-                hits = np.flatnonzero(score[:, 1:].max(1) > score[:, 0]) if len(first) else np.zeros(0, np.int64)
-                chances, raw, found = softmax(score[hits]), data.tobytes(), {}
-                for k, chance in zip(hits.tolist(), chances):
-                    best = int(np.argmax(chance))
-                    if best and chance[best] >= least:
-                        words = re.findall(r"\w+", raw[starts[first[k]] : ends[last[k] - 1]].decode("utf-8", "replace"))
-                        entry = (float(chance[best]), FAMILIES[best], similarity(words, FAMILIES[best], known))
-                        place = (int(row[k]), int(paragraph[k]))
-                        if place not in found or (entry[2] >= shared, entry) > (found[place][2] >= shared, found[place]):
-                            found[place] = entry
+                hits = np.zeros(0, np.int64)
+                if len(first):
+                    hits = np.flatnonzero((score[:, 1:].max(1) > score[:, 0]) | known.likely(data, first, last, starts, ends, shared))
+                raw, found = data.tobytes(), {}
+                for at in range(0, len(hits), 4096):
+                    some = hits[at : at + 4096]
+                    windows = [
+                        Window(split_words(raw[starts[first[k]] : ends[last[k] - 1]].decode("utf-8", "replace")), chance)
+                        for k, chance in zip(some.tolist(), softmax(score[some]))
+                    ]
+                    for k, family, chance, alike in families_of(windows, known, model.value, least, shared):
+                        place = (int(row[some[k]]), int(paragraph[some[k]]), family)
+                        found[place] = max(found.get(place, (False, 0.0, 0.0)), (alike >= shared, chance, alike))
                 ids = part.column("doc_id").to_pylist()
-                rows = [(ids[r], p, e[1], e[0], e[2], e[2] >= shared) for (r, p), e in sorted(found.items())]
+                rows = [(ids[r], p, family, chance, alike, confirmed) for (r, p, family), (confirmed, chance, alike) in sorted(found.items())]
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.bool_())
                 names = ["doc_id", "paragraph", "family", "probability", "similarity", "confirmed"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)

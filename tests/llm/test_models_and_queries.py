@@ -69,6 +69,29 @@ def test_licence_texts_and_strangers(spark, docs, large):
     assert licenses.scan(docs(rows).where("false"), weights).count() == 0
 
 
+def test_several_licences_of_one_line(spark, docs, large):
+    """All pairs of notices on one line, side by side and far apart, against what each notice alone gives."""
+    weights = licenses.train(spark.read.parquet(f"{large}/documents.parquet"))
+    notices = [*LINES, "Distributed under the Boost Software License, Version 1.0.", "Released under the Mozilla Public License 2.0."]
+    far = " ".join(["filler"] * 300)
+    pairs = [(a, b) for a in range(len(notices)) for b in range(len(notices)) if a != b]
+    rows = [(k, notice) for k, notice in enumerate(notices)]
+    rows += [(100 + k, f"{notices[a]} {notices[b]}") for k, (a, b) in enumerate(pairs)]
+    rows += [(200 + k, f"{notices[a]} {far} {notices[b]} {far}") for k, (a, b) in enumerate(pairs)]
+    rows += [(300, "Licensed under the Apache License, Version 2.0 or the MIT license, at your option.")]
+    rows += [(301, "Dual licensed under the GNU General Public License version 2 and the GNU General Public License version 3.")]
+    rows += [(302, "MIT License, BSD License, ISC License, Apache License 2.0 and Mozilla Public License 2.0")]
+    found = {}
+    for r in licenses.scan(docs(rows), weights).where("confirmed").collect():
+        assert r["family"] not in found.setdefault(r["doc_id"], set()) and r["paragraph"] == 0
+        found[r["doc_id"]].add(r["family"])
+    assert all(len(found[k]) == 1 for k in range(len(notices)))
+    for first in (100, 200):
+        assert [found[first + k] for k in range(len(pairs))] == [found[a] | found[b] for a, b in pairs]
+    assert found[300] == {"Apache-2.0", "MIT"} and found[301] == {"GPL-2.0", "GPL-3.0"}
+    assert found[302] == {"MIT", "BSD", "ISC", "Apache-2.0", "MPL-2.0"}
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_agrees_with_sql(spark, folder, name):
     problem, rows = compare(spark, connect(folder), Case(name, queries.QUERIES[name], queries.SQL[name]), folder)
