@@ -5,7 +5,7 @@ windows, so a notice is not diluted however long the line is. A paragraph's feat
 3-grams of words, hashed, of unit length. A multinomial logistic regression over the licence
 families and a class "unknown" is trained on the driver from the fixed texts in
 ``license_texts`` (varied by rule: surrounding words, cuts, lower case) and on a bounded sample of the
-corpus' own paragraphs as unknown (``unknown_rows`` rows, the smallest hashes). Its probabilities are
+corpus' own paragraphs as unknown (``unknown_rows`` distinct lines, the smallest hashes). Its probabilities are
 calibrated by a temperature that is fitted on a third of the training rows kept back.
 
 A window may name several families. Those whose best template shares enough of its word pairs with the
@@ -179,12 +179,25 @@ def fit(texts: list[str], classes: np.ndarray, steps: int = 60) -> np.ndarray:
     return weights / best[1]
 
 
-def train(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS) -> np.ndarray:
-    """The model; from the corpus it takes at most ``unknown_rows`` lines that name no licence, those of the smallest hashes."""
+def background(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS) -> list[str]:
+    """At most ``unknown_rows`` distinct lines that name no licence, those of the smallest hashes.
+
+    Hashes are made distinct first, which combines equal lines before they shuffle and moves no texts; then only the
+    lines up to the last wanted hash are read.
+    """
     lines = documents.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line"))
     plain = lines.where("length(line) between 20 and 2000 and not lower(line) rlike 'licen|copyright|creative commons|cc by'")
-    sample = plain.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(unknown_rows)
-    return fit(*training_texts([r["line"] for r in sample.collect()]))
+    hashed = plain.select(F.xxhash64("line").alias("h"), "line")
+    last = hashed.select("h").distinct().orderBy("h").limit(unknown_rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    sample = hashed.where(F.col("h") <= last).distinct().orderBy("h", "line").limit(unknown_rows)
+    return [r["line"] for r in sample.collect()]
+
+
+def train(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS) -> np.ndarray:
+    """The model; from the corpus it takes the lines of ``background``."""
+    return fit(*training_texts(background(documents, unknown_rows)))
 
 
 def split_words(text: str) -> list[str]:

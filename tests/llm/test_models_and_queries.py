@@ -69,6 +69,17 @@ def test_licence_texts_and_strangers(spark, docs, large):
     assert licenses.scan(docs(rows).where("false"), weights).count() == 0
 
 
+def test_background_lines_are_distinct(spark, docs):
+    lines = [f"an ordinary line of text number {k}" for k in range(50)]
+    often = "\n".join(lines)
+    rows = [(k, often) for k in range(40)] + [(40, None), (41, "Released under the MIT License.\nshort")]
+    got = licenses.background(docs(rows), 20)
+    order = spark.createDataFrame([(t,) for t in lines], "line string").selectExpr("line", "xxhash64(line) h").orderBy("h").collect()
+    assert got == [r["line"] for r in order[:20]]
+    assert sorted(licenses.background(docs(rows), 1000)) == sorted(lines)
+    assert licenses.background(docs(rows).where("false"), 20) == []
+
+
 def test_several_licences_of_one_line(spark, docs, large):
     """All pairs of notices on one line, side by side and far apart, against what each notice alone gives."""
     weights = licenses.train(spark.read.parquet(f"{large}/documents.parquet"))
