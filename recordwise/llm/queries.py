@@ -72,7 +72,7 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
-    shards = token_binary.write_shards(table(spark, folder, "documents"), fresh_path(spark, "shards"), vocabulary_path())
+    shards = token_binary.write_shards(table(spark, folder, "documents"), fresh_path(spark, "shards"), vocabulary_path(), added_tokens=True)
     return token_binary.read_shards(spark, shards)
 
 

@@ -97,11 +97,16 @@ class EliasFano:
         return value.view(np.int64) + self.base
 
 
-def write_shards(documents: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> list[tuple[str, int, int]]:
-    """Encode and write all documents; returns (path without ending, documents, ids) per shard, in order."""
+def write_shards(
+    documents: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, added_tokens: bool = False
+) -> list[tuple[str, int, int]]:
+    """Encode and write all documents; returns (path without ending, documents, ids) per shard, in order.
+
+    ``added_tokens`` encodes the string of an added token as that token, as the library's ``encode`` does.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, added_tokens)
         width = "<u2" if encode.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else "<u4"
         name, attempt = f"{folder}/shard-{partition_number():06d}", attempt_number()
         out, total, ends, keys, without_id = None, 0, [], [], 0

@@ -5,10 +5,16 @@ text may be cut there and its parts encoded alone. A batch is cut by numpy, equa
 found by two 64-bit hashes, and each distinct part is encoded once per task by the library's
 own pre-tokenizer and model; the ids of a text are the ids of its parts in order. A part is
 never split where that could change its ids, and texts are always processed whole.
+
+With ``added_tokens`` the ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``: the string of
+an added token (``<|endoftext|>``) is that token, and the text is cut before and behind it. Without, such a
+string is ordinary text, so that its id never comes from a text and can separate documents.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from recordwise.llm.spans import BASES, U64, Prefix
@@ -32,13 +38,19 @@ UNSAFE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 class Encoder:
     """Encodes the texts of a byte buffer; keeps the ids of parts it has seen."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
         self.split, self.model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model
         self.plain = self.tokenizer.normalizer is None
+        added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        self.added = {token.content: number for number, token in added.items()}
+        names = sorted((re.escape(name.encode()) for name in self.added), key=len, reverse=True)
+        self.pattern = re.compile(b"|".join(names)) if names else None
+        # tokens that take spaces or mind their neighbours can't be cut out here
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         self.forget()
 
     def forget(self) -> None:
@@ -47,9 +59,15 @@ class Encoder:
         self.ends = np.zeros(1 << 14, np.int64)
         self.checks = np.zeros(1 << 14, U64)
 
+    def text_ids(self, text: str) -> list[int]:
+        """Ids of a whole text, uncached."""
+        return self.tokenizer.encode(text, add_special_tokens=False).ids if self.added else self.ids_of(text)
+
     def ids_of(self, part: str) -> list[int]:
         if not self.plain:
             return self.tokenizer.encode(part, add_special_tokens=False).ids
+        if part in self.added:
+            return [self.added[part]]
         return [token.id for piece, _ in self.split(part) for token in self.model.tokenize(piece)]
 
     def add(self, key: int, check: int, part: str) -> int:
@@ -65,6 +83,10 @@ class Encoder:
         self.known[key] = n
         return n
 
+    def one_by_one(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self.text_ids(raw[s:e].decode("utf-8", "replace")) for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
+        return np.array([i for row in ids for i in row], np.uint32), np.concatenate([[0], np.cumsum([len(row) for row in ids])])
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, and where each text's ids begin (n + 1)."""
         if len(self.known) > KEPT_PARTS:
@@ -80,12 +102,25 @@ class Encoder:
         starts_text = np.zeros(len(data), bool)
         starts_text[offsets[:-1][offsets[:-1] < len(data)]] = True
         cut[last] &= starts_text[last]
+        raw, known = data.tobytes(), self.known
+        if self.pattern and self.pattern.search(raw):
+            if self.whole:
+                return self.one_by_one(raw, offsets)
+            borders = offsets.tolist()
+            found = [m.span() for a, b in zip(borders, borders[1:]) for m in self.pattern.finditer(raw, a, b)]
+            if found:
+                begins, behind = np.array(found).T
+                before = begins[begins > 0] - 1  # a space before the token ends its part of the text, as above
+                cut[before] &= starts_text[before]
+                for a, b in found:
+                    cut[a:b] = False
+                cut[begins] = True
+                cut[behind[behind < len(data)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
         first = Prefix(data, BASES[0]).ranges(starts, ends)
         second = Prefix(data, BASES[1]).ranges(starts, ends)
         _, where, which = np.unique(first, return_index=True, return_inverse=True)
-        raw, known = data.tobytes(), self.known
         parts = zip(first[where].tolist(), second[where].tolist(), starts[where].tolist(), ends[where].tolist(), strict=True)
         numbers = np.fromiter(
             (known[h] if h in known else self.add(h, check, raw[s:e].decode("utf-8", "replace")) for h, check, s, e in parts),
@@ -93,8 +128,7 @@ class Encoder:
             len(where),
         )
         if not np.array_equal(second, self.checks[numbers][which]):  # two parts share a hash: one text at a time, uncached
-            ids = [self.ids_of(raw[s:e].decode("utf-8", "replace")) for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
-            return np.array([i for row in ids for i in row], np.uint32), np.concatenate([[0], np.cumsum([len(row) for row in ids])])
+            return self.one_by_one(raw, offsets)
         heads = np.where(numbers > 0, self.ends[numbers - 1], 0)
         sizes = self.ends[numbers] - heads
         heads, sizes = heads[which], sizes[which]
@@ -104,14 +138,14 @@ class Encoder:
         return ids, before[np.searchsorted(starts, offsets)]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """The encoder of this Python process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens)
+    return _encoders[path, added_tokens]
 
 
 def ordered_texts(documents):

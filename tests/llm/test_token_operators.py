@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from recordwise.llm import pieces, token_binary, token_counts, tokens, warc
+from recordwise.llm import pieces, queries, token_binary, token_counts, tokens, warc
 from recordwise.llm.spans import buffer_of
 from recordwise.operators.sizing import fresh_path
 
@@ -54,6 +54,33 @@ def test_parts_that_share_a_hash_are_told_apart(monkeypatch, plain):
     assert ids.tolist() == plain.encode("one two three").ids + plain.encode("two").ids and heads.tolist()[-1] == len(ids)
 
 
+END = "<|endoftext|>"
+WITH_TOKENS = [
+    END, f"a {END} b", f"a  {END}  b", f"{END}{END}", f" {END} {END} ", f"a\n {END}", f"x{END}y", "<|endoftext|", "|>", "<|endof", "text|> b ", f"<|endo{END}f",
+]
+
+
+def test_ids_equal_the_contracts_call(spark, docs, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.vocabulary_path())
+    rnd = random.Random(4)
+    texts = TEXTS + WITH_TOKENS + ["".join(rnd.choices([END, " ", "  ", "\n", "a", " of", "<|", "é", "|>"], k=rnd.randrange(12))) for _ in range(100)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encode = tokens.Encoder(tokens.vocabulary_path(), added_tokens=True)
+    for whole in (False, False, True):
+        encode.whole = whole
+        ids, heads = encode.encode(*buffer_of(pa.array(texts)))
+        assert [ids[a:b].tolist() for a, b in zip(heads, heads[1:])] == want
+    # the registered query, over texts with the token's string
+    monkeypatch.setattr(queries, "table", lambda *_: docs(list(enumerate(texts))))
+    start = 0
+    for r, row in zip(queries.QUERIES["op8_token_binary"](spark, "").orderBy("start").collect(), want, strict=True):
+        row = [*row, token_binary.END_ID]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(row), zlib.crc32(struct.pack(f"<{len(row)}I", *row)))
+        start += len(row)
+
+
 def test_elias_fano():
     rnd = random.Random(2)
     for n, span in ((0, 1), (1, 10**12), (5, 3), (2000, 10**9), (3000, 100)):
