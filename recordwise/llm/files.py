@@ -66,6 +66,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the table of ``stored``; for loops that have written their next one."""
+    context = df.sparkSession.sparkContext
+    for place in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def attempt_number() -> int:
     from pyspark import TaskContext
 
