@@ -2,9 +2,11 @@
 
 In this vocabulary a space that stands before a non-space always begins a new pre-token, so a
 text may be cut there and its parts encoded alone. A batch is cut by numpy, equal parts are
-found by two 64-bit hashes, and each distinct part is encoded once per task by the library's
-own pre-tokenizer and model; the ids of a text are the ids of its parts in order. A part is
-never split where that could change its ids, and texts are always processed whole.
+found by two 64-bit hashes (``known``), and the parts that a process has not met yet go to the
+library in a few long strings: what begins with such a space may also be joined again. The ids
+come back in one list, and the bytes that each id stands for say where a part ends. The ids of
+a text are the ids of its parts in order. A part is never split where that could change its
+ids, and texts are always processed whole.
 
 With ``added_tokens`` the ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``: the string of
 an added token (``<|endoftext|>``) is that token, and the text is cut before and behind it. Without, such a
@@ -13,15 +15,17 @@ string is ordinary text, so that its id never comes from a text and can separate
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
-from recordwise.llm.spans import BASES, U64, Prefix
+from recordwise.llm.known import Known
+from recordwise.llm.spans import U64
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_PARTS = 700_000
 SLICE = 4 << 20  # larger slices hold more equal parts
+JOINED_BYTES = 1 << 18
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -36,61 +40,69 @@ UNSAFE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class Encoder:
-    """Encodes the texts of a byte buffer; keeps the ids of parts it has seen."""
+    """Encodes the texts of a byte buffer; remembers the ids of parts it has seen."""
 
     def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
-        self.split, self.model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model
-        self.plain = self.tokenizer.normalizer is None
+        # without a normaliser every id of a byte-level vocabulary stands for as many bytes as its string has characters
+        pretty = self.tokenizer.pre_tokenizer
+        self.plain = self.tokenizer.normalizer is None and type(pretty).__name__ == "ByteLevel" and not pretty.add_prefix_space
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
+        for name, number in vocab.items():
+            self.bytes_of[number] = len(name)
         added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
         self.added = {token.content: number for number, token in added.items()}
         names = sorted((re.escape(name.encode()) for name in self.added), key=len, reverse=True)
         self.pattern = re.compile(b"|".join(names)) if names else None
         # tokens that take spaces or mind their neighbours can't be cut out here
         self.whole = any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.checks = np.zeros(1 << 14, U64)
-
-    def text_ids(self, text: str) -> list[int]:
-        """Ids of a whole text, uncached."""
-        return self.tokenizer.encode(text, add_special_tokens=False).ids if self.added else self.ids_of(text)
-
-    def ids_of(self, part: str) -> list[int]:
-        if not self.plain:
-            return self.tokenizer.encode(part, add_special_tokens=False).ids
-        if part in self.added:
-            return [self.added[part]]
-        return [token.id for piece, _ in self.split(part) for token in self.model.tokenize(piece)]
-
-    def add(self, key: int, check: int, part: str) -> int:
-        ids, n = self.ids_of(part), len(self.known)
-        begin = int(self.ends[n - 1]) if n else 0
-        if n >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros(n, np.int64)])
-            self.checks = np.concatenate([self.checks, np.zeros(n, U64)])
-        while begin + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        self.flat[begin : begin + len(ids)] = ids
-        self.ends[n], self.checks[n] = begin + len(ids), check
-        self.known[key] = n
-        return n
+        self.known = Known()
+
+    def many_ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts, uncached."""
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def part_ids(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts behind each other and the count of each."""
+        joins = [self.plain and len(p) > 1 and p[0] == 32 and not UNSAFE[p[1]] for p in parts]
+        sizes, found = np.zeros(len(parts), np.int64), [np.zeros(0, np.int64)] * 2
+        order = []  # numbers of the parts in the order of what was found
+        alone = [i for i, j in enumerate(joins) if not j]
+        if alone:
+            rows = self.many_ids([parts[i].decode("utf-8", "replace") for i in alone])
+            sizes[alone] = [len(r) for r in rows]
+            found[0] = np.array([i for r in rows for i in r], np.int64)
+            order += alone
+        together = [i for i, j in enumerate(joins) if j]
+        if together:
+            lengths = np.array([len(parts[i]) for i in together], np.int64)
+            ends = np.cumsum(lengths)
+            cuts = np.flatnonzero(np.diff((ends - 1) // JOINED_BYTES)) + 1
+            runs = np.split(np.array(together), cuts)
+            found[1] = np.array([i for r in self.many_ids([b"".join([parts[i] for i in run]).decode("utf-8", "replace") for run in runs]) for i in r], np.int64)
+            reached = np.cumsum(self.bytes_of[found[1]])
+            last = np.searchsorted(reached, ends)
+            if not len(reached) or reached[-1] != ends[-1] or not np.array_equal(reached[last], ends):
+                self.plain = False  # bytes that are no UTF-8: every part by itself
+                return self.part_ids(parts)
+            sizes[together] = np.diff(last + 1, prepend=0)
+            order += together
+        ids, counts = np.concatenate(found), sizes[order]
+        heads = np.zeros(len(parts), np.int64)
+        heads[order] = np.cumsum(counts) - counts
+        before = np.cumsum(sizes) - sizes
+        return ids[np.repeat(heads - before, sizes) + np.arange(int(sizes.sum()))], sizes
 
     def one_by_one(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids = [self.text_ids(raw[s:e].decode("utf-8", "replace")) for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
+        ids = self.many_ids([raw[s:e].decode("utf-8", "replace") for s, e in zip(offsets.tolist(), offsets[1:].tolist())])
         return np.array([i for row in ids for i in row], np.uint32), np.concatenate([[0], np.cumsum([len(row) for row in ids])])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, and where each text's ids begin (n + 1)."""
-        if len(self.known) > KEPT_PARTS:
-            self.forget()
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         cut = np.zeros(len(data), bool)
@@ -102,8 +114,7 @@ class Encoder:
         starts_text = np.zeros(len(data), bool)
         starts_text[offsets[:-1][offsets[:-1] < len(data)]] = True
         cut[last] &= starts_text[last]
-        raw, known = data.tobytes(), self.known
-        if self.pattern and self.pattern.search(raw):
+        if self.pattern and self.pattern.search(raw := data.tobytes()):
             if self.whole:
                 return self.one_by_one(raw, offsets)
             borders = offsets.tolist()
@@ -118,24 +129,11 @@ class Encoder:
                 cut[behind[behind < len(data)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
-        first = Prefix(data, BASES[0]).ranges(starts, ends)
-        second = Prefix(data, BASES[1]).ranges(starts, ends)
-        _, where, which = np.unique(first, return_index=True, return_inverse=True)
-        parts = zip(first[where].tolist(), second[where].tolist(), starts[where].tolist(), ends[where].tolist(), strict=True)
-        numbers = np.fromiter(
-            (known[h] if h in known else self.add(h, check, raw[s:e].decode("utf-8", "replace")) for h, check, s, e in parts),
-            np.int64,
-            len(where),
-        )
-        if not np.array_equal(second, self.checks[numbers][which]):  # two parts share a hash: one text at a time, uncached
-            return self.one_by_one(raw, offsets)
-        heads = np.where(numbers > 0, self.ends[numbers - 1], 0)
-        sizes = self.ends[numbers] - heads
-        heads, sizes = heads[which], sizes[which]
-        before = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(sizes, out=before[1:])
-        ids = self.flat[np.repeat(heads - before[:-1], sizes) + np.arange(before[-1])]
-        return ids, before[np.searchsorted(starts, offsets)]
+        found = self.known.ids(data, starts, ends, self.part_ids)
+        if found is None:  # two parts share a hash: one text at a time, uncached
+            return self.one_by_one(data.tobytes(), offsets)
+        ids, heads = found
+        return ids, heads[np.searchsorted(starts, offsets)]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -143,6 +141,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 
 def encoder(path: str, added_tokens: bool = False) -> Encoder:
     """The encoder of this Python process."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
     if (path, added_tokens) not in _encoders:
         _encoders[path, added_tokens] = Encoder(path, added_tokens)
     return _encoders[path, added_tokens]

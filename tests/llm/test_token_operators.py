@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from recordwise.llm import pieces, queries, token_binary, token_counts, tokens, warc
+from recordwise.llm import known, pieces, queries, token_binary, token_counts, tokens, warc
 from recordwise.llm.spans import buffer_of
 from recordwise.operators.sizing import fresh_path
 
@@ -47,9 +47,9 @@ def test_ids_equal_the_librarys(plain):
 
 def test_parts_that_share_a_hash_are_told_apart(monkeypatch, plain):
     encode = tokens.Encoder(tokens.vocabulary_path())
-    real = tokens.Prefix.ranges
-    first = lambda self, s, e: np.ones(len(s), np.uint64) if self.down[1] == tokens.Prefix(np.zeros(1, np.uint8)).down[1] else real(self, s, e)
-    monkeypatch.setattr(tokens.Prefix, "ranges", first)
+    real = known.Prefix.ranges
+    first = lambda self, s, e: np.ones(len(s), np.uint64) if self.down[1] == known.Prefix(np.zeros(1, np.uint8)).down[1] else real(self, s, e)
+    monkeypatch.setattr(known.Prefix, "ranges", first)
     ids, heads = encode.encode(*buffer_of(pa.array(["one two three", "two"])))
     assert ids.tolist() == plain.encode("one two three").ids + plain.encode("two").ids and heads.tolist()[-1] == len(ids)
 
