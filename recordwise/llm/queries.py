@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwise.llm import decontaminate, exact_dedup, licenses, ngram_join, pieces, quality, repeat_removal, resampling, token_binary, token_counts, warc, word_bpe
+from recordwise.llm import decontaminate, exact_dedup, licenses, ngram_join, pieces, quality, repeat_removal, resampling, token_binary, token_counts, turn_repair, warc, word_bpe
 from recordwise.llm.files import ship
 from recordwise.llm.tokens import vocabulary_path
 from recordwise.operators.sizing import fresh_path
@@ -86,6 +86,11 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode_texts(table(spark, folder, "documents"), pieces.model_path())
 
 
+@query
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.reports(turn_repair.repair(turn_repair.damaged(table(spark, folder, "conversations")), present="present"))
+
+
 @query
 def op12_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return word_bpe.digests(table(spark, folder, "documents"), vocabulary_path(word_bpe.VOCABULARY))
@@ -96,4 +101,4 @@ def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL, "op4_repeat_removal": repeat_removal.SQL, "op13_resampling": resampling.SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": exact_dedup.COPIES_SQL, "op4_repeat_removal": repeat_removal.SQL, "op11_turn_repair": turn_repair.SQL, "op13_resampling": resampling.SQL}
