@@ -154,14 +154,41 @@ def test_quantiles_of_special_values(spark):
     assert got["c"][:2] == (1.0, 2.0) and got["c"][2] != got["c"][2]
 
 
-def test_quantiles_run_nothing_before_an_action(spark):
-    context = spark.sparkContext
-    context.setJobGroup("quantiles", "quantiles")
-    df = spark.range(200_000).selectExpr("id % 2 as k", "id * 1.0d as v")
-    frame = grouped_with_quantiles(df, ["k"], {}, {"m": ("v", 0.5)})
-    assert not context.statusTracker().getJobIdsForGroup("quantiles")
-    context.setLocalProperty("spark.jobGroup.id", None)
-    assert {r["k"]: r["m"] for r in frame.collect()} == {0: 99_999.0, 1: 100_000.0}
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_missed_brackets_are_widened(spark, monkeypatch, keys):
+    """A sketch of 8 values without slack misses most ranks; counts notice and the result stays exact."""
+    from recordwise.operators import quantiles
+
+    widened, plain = [], quantiles._wider
+    monkeypatch.setattr(quantiles, "_wider", lambda *a: widened.append(1) or plain(*a))
+    df = spark.range(60_000).selectExpr("id % 3 as k", "cast(hash(id) % 20011 as double) as v", "case when id % 1000 = 0 then double('NaN') else id * 1.0d end as w")
+    rows = defaultdict(lambda: ([], []))
+    for r in df.collect():
+        key = r.k if keys else None
+        rows[key][0].append(r.v)
+        rows[key][1].append(float("inf") if r.w != r.w else r.w)
+    wanted = {"a": ("v", 0.1), "m": ("v", 0.5), "n": ("w", 0.5), "z": ("w", 0.9995)}
+    for k, slack, held, misses in ((8, 1e-4, 0, True), (8, 1e-4, 10_000, True), (16_384, 0.001, 10_000, False)):
+        widened.clear()
+        monkeypatch.setattr(quantiles, "HELD_GROUPS", max(held, not keys))
+        for row in grouped_with_quantiles(df, keys, {"n_rows": "count(1)"}, wanted, sketch_k=k, slack=slack).collect():
+            v, w = rows[row.k if keys else None]
+            assert [row.a, row.m, row.n] == pytest.approx([brute_quantile(v, 0.1), brute_quantile(v, 0.5), brute_quantile(w, 0.5)])
+            assert row.z != row.z and row.n_rows == len(v)
+        assert bool(widened) == misses
+
+
+def test_quantiles_scan_the_table_twice(spark, monkeypatch, tmp_path):
+    from recordwise.operators import quantiles
+
+    plans, plain = [], quantiles._written
+    monkeypatch.setattr(quantiles, "_written", lambda rows, *a: plans.append(rows._jdf.queryExecution()) or plain(rows, *a))
+    spark.range(200_000).selectExpr("id % 50 as k", "id * 1.0d as v", "-id * 1.0d as w").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = grouped_with_quantiles(df, ["k"], {"n": "count(1)"}, {"m": ("v", 0.5), "q": ("w", 0.25)})
+    assert [str(plan.executedPlan()).count("FileScan") for plan in plans] == [1, 1]
+    assert str(found._jdf.queryExecution().executedPlan()).count("FileScan") == 0  # the table is not read again
+    assert found.where("k = 7").first().m == 99_982.0
 
 
 def test_members_are_rows_whatever_the_size(spark):
