@@ -92,6 +92,29 @@ def scanned_rows(node):
     return sum(scanned_rows(children.apply(i)) for i in range(children.size()))
 
 
+def test_all_rankings_are_one_scan_and_a_scan_for_titles(spark, tmp_path):
+    rnd = random.Random(6)
+    values = [None, float("nan"), 0.0, -0.0, float("inf"), 1.5, -2.0, 7.25]
+    rows = [(i, f"t{i}", rnd.choice(values), rnd.choice([None, 2**62 + rnd.randrange(3), -(2**63), 5]), rnd.choice("xyz"), i % 7) for i in range(400)]
+    spark.createDataFrame(rows, "id long, title string, a double, b long, c string, votes int").repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    specs = [
+        {"name": f"{column}_{up}", "column": column, "ascending": up, "filter": where, "top_n": size}
+        for column, where, size in (("a", "votes >= 3", 9), ("b", None, 12), ("c", None, 3)) for up in (True, False)
+    ]
+    first = ranking.first_of_each(df, [s for s in specs if s["column"] != "c"])
+    first.collect()
+    assert scanned_rows(first._jdf.queryExecution().executedPlan()) == 400
+    assert "WindowGroupLimit" in str(first._jdf.queryExecution().executedPlan())
+    found = ranking.rank_long(df, specs)
+    got = {(r.metric, r["rank"]): (r.id, r.title) for r in found.collect()}
+    assert scanned_rows(found._jdf.queryExecution().executedPlan()) == 400  # titles only
+    for spec in specs:
+        single = ranking.top_n(df, spec["column"], spec["top_n"], spec["ascending"], spec["filter"], columns=["id"], rank="rank").collect()
+        assert [got.pop((spec["name"], r["rank"])) for r in single] == [(r.id, f"t{r.id}") for r in single]
+    assert not got
+
+
 # --- groups
 
 
