@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -233,17 +234,30 @@ def schema_check(df: DataFrame, expected: T.StructType) -> DataFrame:
     """How many rows fit the expected type, one row per expected or extra column, in one scan.
 
     ``rows`` counts all rows, ``wrong`` those whose value does not convert to the expected type; for a
-    missing column all rows are wrong, for an extra one none.
+    missing column all rows are wrong, for an extra one none. Where no conversion exists between the two types,
+    as from a struct to a number, every known value is wrong.
     """
     differences = {name: problem for problem, name, *_ in schema_differences(df, expected)}
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
     extra = [n for n, problem in differences.items() if problem == "extra"]
 
+    def converts(name: str) -> bool:
+        try:
+            df.selectExpr(f"try_cast({quoted(name)} as {wanted[name]})")  # analysed, not run
+        except AnalysisException as error:
+            if not (error.getCondition() or "").startswith("DATATYPE_MISMATCH"):
+                raise
+            return False
+        return True
+
     def wrong(name: str) -> str:
         problem = differences.get(name)
         if problem == "missing":
             return "count(1)"
-        return f"count_if({quoted(name)} is not null and try_cast({quoted(name)} as {wanted[name]}) is null)" if problem == "type" else "0L"
+        if problem != "type":
+            return "0L"
+        known = f"{quoted(name)} is not null"
+        return f"count_if({known} and try_cast({quoted(name)} as {wanted[name]}) is null)" if converts(name) else f"count_if({known})"
 
     entries = [
         f"named_struct('column', {text(n)}, 'expected', {text(wanted.get(n, ''))}, 'problem', {text(differences.get(n, ''))}, "

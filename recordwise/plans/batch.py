@@ -20,7 +20,7 @@ from recordwise.plans.rankings import RANKINGS
 from recordwise.sources import storage
 from recordwise.sources.records import RECORD_SCHEMA, read_records
 
-CLEANED, FEATURES, QUALITY = "cleaned", "features", "quality"
+CLEANED, FEATURES, QUALITY, SPARSE = "cleaned", "features", "quality", "sparse_rows"
 
 
 @dataclass
@@ -32,7 +32,9 @@ class RunConfig:
     the arguments of the missing-value repair, ``partition_by`` the columns of the feature table,
     ``formats`` the copies of it (Parquet is always written). ``franchise`` names columns and aggregations of
     the collection matrix, ``charts`` further charts. The two floors apply to rankings by return and by
-    rating that have no filter of their own.
+    rating that have no filter of their own. ``declared_checks`` run only with ``check_data``. Rows with more than
+    ``max_null_columns`` NULL columns are counted and listed where that number is given. ``monitored`` names the
+    metrics that the run must have measured, ``director_metrics`` the columns of the directors' table.
     """
 
     as_of: str | None = None
@@ -48,6 +50,10 @@ class RunConfig:
     ranges: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     patterns: Mapping[str, str] = field(default_factory=dict)
     declared_checks: Sequence[Mapping] = ()
+    check_data: bool = True
+    max_null_columns: int | None = None
+    monitored: Sequence[str] = ()
+    director_metrics: Sequence[str] = ()
     min_health_score: float = quality.MIN_HEALTH_SCORE
     rankings: Sequence[Mapping] = RANKINGS
     ranked: int = 10
@@ -71,6 +77,8 @@ class RunConfig:
                 given[target] = value
         if not given.pop("partitioned", True):
             given["partition_by"] = ()
+        if not given.pop("monitors", True):
+            given["monitored"] = ()
         return cls(**given)
 
     def ranked_specs(self) -> list[Mapping]:
@@ -101,7 +109,12 @@ SETTINGS = {
     ("validation", "ranges"): ("ranges",),
     ("validation", "patterns"): ("patterns",),
     ("testing", "data_validation", "checks"): ("declared_checks",),
+    ("testing", "data_validation", "enabled"): ("check_data",),
     ("validation", "min_health_score"): ("min_health_score",),
+    ("validation", "max_null_columns"): ("max_null_columns",),
+    ("monitoring", "enabled"): ("monitors",),
+    ("monitoring", "metrics"): ("monitored",),
+    ("kpis", "director", "metrics"): ("director_metrics",),
     ("kpis", "rankings", "metrics"): ("rankings",),
     ("kpis", "rankings", "top_n"): ("ranked",),
     ("kpis", "director", "min_movies"): ("min_director_movies",),
@@ -112,7 +125,7 @@ SETTINGS = {
 
 # Settings of other parts: the client, the session, logging, alerts, drawing. The record schema fixes the JSON columns.
 ELSEWHERE = {
-    "api", "data", "spark", "logging", "monitoring", ("visualization", "output_format"), ("output", "base_path"),
+    "api", "data", "spark", "logging", ("monitoring", "alerts"), ("visualization", "output_format"), ("output", "base_path"),
     ("output", "reports"), ("processing", "json_columns"),
 }
 
@@ -171,7 +184,7 @@ def feature_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
 def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
     report = quality.quality_report(table, config.as_of, ranges=config.ranges, patterns=config.patterns)
-    if config.declared_checks:
+    if config.declared_checks and config.check_data:
         report = report.unionByName(quality.declared_checks(table, config.declared_checks))
     storage.write_stage(report, base, QUALITY, run_id)
     written = storage.read_stage(spark, base, QUALITY, run_id)
@@ -179,17 +192,23 @@ def quality_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
     written.coalesce(1).write.mode("overwrite").json(_run_folder(base, "reports", run_id, "quality.json"))
     score = quality.health_score(written, config.min_health_score).first()
     null_share = written.where("metric = 'completeness_percentage'").agg(100 - F.avg("value")).first()[0]
-    return {
+    facts = {
         "data_quality_score": score["health_score"],
         "healthy": float(score["healthy"]),
         "null_percentage": null_share,
     }
+    if config.max_null_columns is not None:
+        sparse = quality.rows_with_many_nulls(table, config.max_null_columns).select("id", "null_columns")
+        facts["rows_with_many_nulls"] = _counted(sparse, lambda rows: storage.write_stage(rows, base, SPARSE, run_id))
+    return facts
 
 
 def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     """KPI tables with a summary of their row counts, and each ranking as one CSV file."""
     table = storage.read_stage(spark, base, FEATURES, run_id)
     results = kpis.all_kpis(table, config.ranked, config.ranked_specs(), config.min_director_movies)
+    if config.director_metrics:
+        results["top_directors"] = results["top_directors"].select("director", *config.director_metrics)
     if config.franchise:
         results["franchise_matrix"] = kpis.franchise_matrix(table, **config.franchise)
     folder = _run_folder(base, "kpis", run_id)
@@ -241,16 +260,28 @@ def chart_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
     table = storage.read_stage(spark, base, FEATURES, run_id)
     datasets = dashboards.all_datasets(table, config.years)
     datasets |= {f"declared_{dashboards.chart_name(spec)}": dashboards.declared_chart(table, spec) for spec in config.charts}
+    for spec in config.charts:
+        datasets |= {f"declared_{dashboards.chart_name(spec)}_{name}": cells for name, cells in dashboards.declared_cells(table, spec).items()}
     saved = storage.save_results(spark, datasets, _run_folder(base, "charts", run_id))
     return {"tables": saved.where("kind = 'table'").count()}
 
 
+STAGE_TABLES = {"clean": (CLEANED,), "features": (FEATURES,), "quality": (QUALITY,)}
+
+
+def monitored_metrics(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> DataFrame:
+    """The run records of the monitored metrics in a run's last attempt; NULL with a note for what no stage measured."""
+    records = storage.read_run_records(spark, base).where(F.col("run_id") == run_id)
+    last = records.agg(F.max("attempt")).scalar()
+    return records.where((F.col("attempt") == last) & F.col("metric").isin(list(config.monitored)))
+
+
 def run_batch(spark: SparkSession, raw: DataFrame, base: str, run_id: str, config: RunConfig) -> DataFrame:
     """Run all stages and return the run records of this attempt.
 
     A failing stage is recorded with its error and ends the run; what earlier stages wrote
     stays. Failed metric tables fail their stage too, but the other tables and the stages that
-    don't need them are still written.
+    don't need them are still written. A monitored metric that no stage measured is recorded as such.
     """
     stages: dict[str, Callable[[], dict]] = {
         "ingest": lambda: ingest(spark, raw, base, run_id),
@@ -278,5 +309,9 @@ def run_batch(spark: SparkSession, raw: DataFrame, base: str, run_id: str, confi
         ]
         if broken:
             break
+        for table in STAGE_TABLES.get(stage, ()):
+            storage.remove_superseded(spark, base, table, run_id)
+    measured = {record[3] for record in records}
+    records += [(run_id, attempt, "monitoring", name, None, "not measured") for name in config.monitored if name not in measured]
     storage.append_run_records(spark, base, records)
     return storage.read_run_records(spark, base).where((F.col("run_id") == run_id) & (F.col("attempt") == attempt))

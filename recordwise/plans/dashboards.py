@@ -335,21 +335,21 @@ def popularity_pairs(df: DataFrame) -> DataFrame:
 
 
 MULTI_VALUED = ("genres", "production_companies", "production_countries", "spoken_languages")
-DECLARED_POINTS = 500
 
 
 def declared_chart(df: DataFrame, spec: Mapping) -> DataFrame:
     """The dataset of a chart declared as ``type``, ``x``, ``y`` and, by type, ``color``, ``size``, ``aggregation``, ``points``.
 
-    A scatter gives a repeatable sample of ``points`` rows that have x and y, a box the quartiles of y
-    for each value of x, a line or bar the aggregation of each y for each value of x. A multi-valued x
+    A scatter gives the rows that have x and y, all of them or, where ``points`` is given, a repeatable sample of
+    that size (``declared_cells`` counts all in a grid), a box the quartiles of y for each value of x, a line or bar the aggregation of each y for each value of x. A multi-valued x
     counts once for each of its values.
     """
     kind, x = spec["type"], spec["x"]
     ys = [spec["y"]] if isinstance(spec["y"], str) else list(spec["y"])
     if kind == "scatter":
         shown = dict.fromkeys(["id", x, *ys, *[spec[c] for c in ("color", "size") if c in spec]])
-        return charts.repeatable_sample(df.select(*shown).dropna(subset=[x, *ys]), spec.get("points", DECLARED_POINTS))
+        known = df.select(*shown).dropna(subset=[x, *ys])
+        return charts.repeatable_sample(known, spec["points"]) if spec.get("points") is not None else known
     rows = df.select(x, *ys)
     if x in MULTI_VALUED:
         rows = explode_values(rows.withColumnRenamed(x, "__values"), "__values", x).drop("__values")
@@ -363,6 +363,16 @@ def declared_chart(df: DataFrame, spec: Mapping) -> DataFrame:
     return group_metrics(rows, [x], {f"{y}_{how}": AGGREGATES[how].format(c=f"`{y}`") for y in ys}, order_by=[x])
 
 
+def declared_cells(df: DataFrame, spec: Mapping, bins: int = 50) -> dict[str, DataFrame]:
+    """All rows behind a declared scatter, counted in a grid for each of its ys; none for other charts."""
+    if spec["type"] != "scatter":
+        return {}
+    ys = [spec["y"]] if isinstance(spec["y"], str) else list(spec["y"])
+    names = {y: f"cells_{y}" if len(ys) > 1 else "cells" for y in ys}
+    known = df.dropna(subset=[spec["x"], *ys])
+    return {name: charts.grid_counts(known, f"`{spec['x']}`", f"`{y}`", bins) for y, name in names.items()}
+
+
 def chart_name(spec: Mapping) -> str:
     """A folder name from the chart's title, or from its axes."""
     title = spec.get("title") or f"{spec['type']} {spec['x']} {spec['y']}"

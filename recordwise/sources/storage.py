@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import posixpath
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -15,7 +16,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUN_RECORD_SCHEMA = "run_id string, attempt int, stage string, metric string, value double, note string, ts timestamp"
-STAGE_RUN_SCHEMA = "run_id string, written_at timestamp, schema string"
+STAGE_RUN_SCHEMA = "run_id string, written_at timestamp, schema string, folder string"
+LOG_FILES = 64  # a log with more files is rewritten as one
+
+
+def _filesystem(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    system, place = _filesystem(spark, path)
+    return [f.getPath().toString() for f in system.listStatus(place) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+
+
+def append_log(entries: DataFrame, path: str, schema: str, most_files: int = LOG_FILES) -> None:
+    """Add a few rows to a log, and rewrite the log as one file when it has gathered too many.
+
+    The rewritten file is added before the files that it holds are deleted, so a failure in between leaves
+    entries twice, never none; ``read_log`` reads equal entries once.
+    """
+    spark = entries.sparkSession
+    entries.coalesce(1).write.mode("append").parquet(path)
+    old = _data_files(spark, path)
+    if len(old) > most_files:
+        spark.read.schema(schema).parquet(*old).distinct().coalesce(1).write.mode("append").parquet(path)
+        for file in old:
+            system, place = _filesystem(spark, file)
+            system.delete(place, False)
+
+
+def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).distinct()
 
 
 def raw_path(base: str, run_id: str, fmt: str = "parquet") -> str:
@@ -35,38 +68,54 @@ def stage_path(base: str, stage: str) -> str:
 
 
 def write_stage(df: DataFrame, base: str, stage: str, run_id: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write one run of a stage to its own ``run_id=`` folder, replacing that run as a whole.
+    """Write one run of a stage to a folder of this attempt's own; the run becomes what this write holds.
 
     With ``partition_by`` the rows are rebalanced by these columns first: few files per
-    partition, and a partition with very many rows is still written by several tasks. The run,
-    its time and its schema are added to the table ``_runs`` beside the runs, which Spark does
-    not read as data.
+    partition, and a partition with very many rows is still written by several tasks. Only a
+    finished write is entered in the log ``_runs`` beside the runs, with its time, schema and folder, and
+    readers follow the log: until then, and after a failed write, they see the run's earlier rows.
     """
-    path = posixpath.join(stage_path(base, stage), f"run_id={run_id}")
+    spark = df.sparkSession
+    folder = posixpath.join(f"run_id={run_id}", f"write-{uuid.uuid4().hex}")
+    path = posixpath.join(stage_path(base, stage), folder)
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    entry = df.sparkSession.createDataFrame([(run_id, df.schema.json())], "run_id string, schema string")
-    entry = entry.select("run_id", F.current_timestamp().alias("written_at"), "schema")
-    entry.coalesce(1).write.mode("append").parquet(posixpath.join(stage_path(base, stage), "_runs"))
+    rows.write.partitionBy(*partition_by).parquet(path)
+    entry = spark.createDataFrame([(run_id, df.schema.json(), folder)], "run_id string, schema string, folder string")
+    entry = entry.select("run_id", F.current_timestamp().alias("written_at"), "schema", "folder")
+    append_log(entry, posixpath.join(stage_path(base, stage), "_runs"), STAGE_RUN_SCHEMA)
     return path
 
 
 def stage_runs(spark: SparkSession, base: str, stage: str) -> DataFrame:
-    """One row per finished write of a stage: run id, time and schema."""
-    return spark.read.schema(STAGE_RUN_SCHEMA).parquet(posixpath.join(stage_path(base, stage), "_runs"))
+    """One row per finished write of a stage: run id, time, schema and folder."""
+    return read_log(spark, posixpath.join(stage_path(base, stage), "_runs"), STAGE_RUN_SCHEMA)
 
 
 def read_stage(spark: SparkSession, base: str, stage: str, run_id: str) -> DataFrame:
-    """Rows of one run with the schema they were written with; nothing is inferred, no other run is listed."""
-    found = stage_runs(spark, base, stage).where(F.col("run_id") == run_id).agg(F.max_by("schema", "written_at")).first()[0]
+    """Rows of the last finished write of a run with the schema they were written with; nothing is inferred, no other run is listed."""
+    last = F.max_by(F.struct("schema", "folder"), "written_at")
+    found = stage_runs(spark, base, stage).where(F.col("run_id") == run_id).agg(last).first()[0]
     if found is None:
         raise FileNotFoundError(f"no run {run_id!r} of stage {stage!r} under {base}")
-    schema = T.StructType.fromJson(json.loads(found))
-    path = posixpath.join(stage_path(base, stage), f"run_id={run_id}")
+    schema = T.StructType.fromJson(json.loads(found["schema"]))
+    path = posixpath.join(stage_path(base, stage), found["folder"])
     rows = spark.read.schema(schema).option("basePath", path).parquet(path)
     return rows.select(*[F.col(f"`{name}`") for name in schema.names])
 
 
+def remove_superseded(spark: SparkSession, base: str, stage: str, run_id: str) -> list[str]:
+    """Delete the folders of a run that no reader is led to any more: earlier writes and unfinished ones.
+
+    For the end of a run, when nothing reads its earlier attempts and no other attempt of it is at work.
+    """
+    last = stage_runs(spark, base, stage).where(F.col("run_id") == run_id).agg(F.max_by("folder", "written_at")).first()[0]
+    system, place = _filesystem(spark, posixpath.join(stage_path(base, stage), f"run_id={run_id}"))
+    old = [f.getPath() for f in system.listStatus(place) if f.isDirectory() and f.getPath().getName() != posixpath.basename(last or "")] if last else []
+    for path in old:
+        system.delete(path, True)
+    return [path.toString() for path in old]
+
+
 def latest_run(spark: SparkSession, base: str, stage: str) -> str | None:
     """The run of a stage that was written last, from the stage's list of runs; no data file is listed."""
     return stage_runs(spark, base, stage).agg(F.max_by("run_id", "written_at")).first()[0]
@@ -198,9 +247,9 @@ def append_run_records(spark: SparkSession, base: str, records: list[tuple]) ->
     rows = spark.createDataFrame(
         records, "run_id string, attempt int, stage string, metric string, value double, note string"
     ).withColumn("ts", F.current_timestamp())
-    rows.coalesce(1).write.mode("append").parquet(path)
+    append_log(rows, path, RUN_RECORD_SCHEMA)
     return path
 
 
 def read_run_records(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(RUN_RECORD_SCHEMA).parquet(posixpath.join(base, "run_records"))
+    return read_log(spark, posixpath.join(base, "run_records"), RUN_RECORD_SCHEMA)

@@ -97,3 +97,12 @@ def test_all_counting_checks_share_one_aggregation(spark):
     checks = [quality.completeness_check(c) for c in df.columns] + [quality.range_check(c, 0, 5) for c in df.columns]
     plan = quality.run_checks(df, checks)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1 and plan.count("Exchange") == 1
+
+
+def test_schema_check_of_nested_columns(spark):
+    df = spark.createDataFrame([((1,), [1], "7", {"a": 1}), (None, None, "x", None)], "s struct<a: int>, l array<int>, t string, m map<string, int>")
+    expected = T.StructType([T.StructField(name, T.IntegerType()) for name in "sltm"])
+    found = {r["column"]: (r["problem"], r["rows"], r["wrong"]) for r in quality.schema_check(df, expected).collect()}
+    assert found == {"s": ("type", 2, 1), "l": ("type", 2, 1), "t": ("type", 2, 1), "m": ("type", 2, 1)}
+    nested = T.StructType([T.StructField("t", T.ArrayType(T.IntegerType()))])
+    assert quality.schema_check(df.select("t"), nested).first()["wrong"] == 2

@@ -66,6 +66,20 @@ def test_settings_dictionary():
     assert config.rankings[0]["name"] == "x" and config.genre_cast_search == {"cast": "Someone"}
     assert config.declared_checks and config.ranges and config.partition_by == ["decade"]
     assert config.repairs == {"placeholders": ["N/A"], "zero_columns": ["budget"]}
+    # the rest of a full settings file: what a run has no use for is passed over, not refused
+    full = {
+        "api": {"timeout": 30}, "data": {"movie_ids": [1]}, "spark": {"config": {"spark.sql.adaptive.enabled": "true"}},
+        "processing": {"json_columns": ["genres"], "quality": {"min_non_null_columns": 10, "min_budget_for_roi": 10.0, "min_votes_for_rating": 10}},
+        "kpis": {"director": {"min_movies": 1, "metrics": ["total_movies"]}, "franchise": {"metrics": ["roi"], "aggregations": ["mean"]}},
+        "queries": {"search_2": {"cast": "A", "director": "B", "sort_by": "runtime", "ascending": True}},
+        "visualization": {"output_format": "html", "charts": [{"type": "scatter", "x": "budget_musd", "y": "revenue_musd"}]},
+        "output": {"base_path": "/x", "formats": ["parquet"], "partitioning": {"enabled": True, "columns": ["decade"]}, "reports": {"format": "html"}},
+        "logging": {"level": "INFO"}, "monitoring": {"enabled": True, "metrics": ["record_count"], "alerts": {"email": {"enabled": False}}},
+        "testing": {"data_validation": {"enabled": False, "checks": [{"name": "null_check", "columns": ["id"]}]}},
+    }
+    config = RunConfig.from_dict(full)
+    assert (config.check_data, list(config.monitored), config.director_metrics) == (False, ["record_count"], ["total_movies"])
+    assert RunConfig.from_dict({"monitoring": {"enabled": False, "metrics": ["x"]}}).monitored == ()
     empty = RunConfig.from_dict({})
     assert empty.rankings is RANKINGS and empty.years is None and empty.min_health_score == 80
     with pytest.raises(ValueError, match="processing.typo"):
@@ -99,3 +113,23 @@ def test_command_line(spark, folder, capsys):
     assert main(["charts", "--base", base, "--out", out]) == 0
     assert spark.read.parquet(f"{out}/executive_kpis").count() == 1
     assert spark.read.json(f"{base}/reports/run_id=r1/kpi_rows.json").count() == 19
+
+
+def test_sparse_rows_and_unmeasured_metrics(spark, folder):
+    from recordwise.operators.sizing import fresh_path
+    from recordwise.plans import batch
+    from recordwise.sources import storage
+    from verify.base import raw
+
+    base, rows = fresh_path(spark, "t"), raw(spark, folder).limit(60)
+    checks = [{"name": "null_check", "columns": ["backdrop_path"]}]
+    config = batch.RunConfig(as_of="2000-01-01", max_null_columns=1, monitored=("rows_with_many_nulls", "lag"), declared_checks=checks, check_data=False)
+    batch.ingest(spark, rows, base, "r")
+    batch.clean_stage(spark, base, "r", config)
+    batch.feature_stage(spark, base, "r", config)
+    facts = batch.quality_stage(spark, base, "r", config)
+    table = storage.read_stage(spark, base, batch.FEATURES, "r").collect()
+    sparse = {r["id"]: sum(v is None for v in r) for r in table if sum(v is None for v in r) > 1}
+    assert facts["rows_with_many_nulls"] == len(sparse)
+    assert {r["id"]: r["null_columns"] for r in storage.read_stage(spark, base, batch.SPARSE, "r").collect()} == sparse
+    assert storage.read_stage(spark, base, batch.QUALITY, "r").where("check = 'null_check'").count() == 0

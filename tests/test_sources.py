@@ -146,3 +146,28 @@ def test_broadcast_depends_on_measured_size(spark):
     marked = lambda d: "hint" in d._jdf.queryExecution().logical().toString().lower()
     assert marked(broadcast_if_small(df, 10**6))
     assert not marked(broadcast_if_small(df, 10**4))
+
+
+def test_a_failed_rewrite_leaves_the_earlier_rows(spark):
+    base = fresh_path(spark, "t")
+    storage.write_stage(spark.range(5), base, "cleaned", "r")
+    for partition_by in ((), ("k",)):
+        with pytest.raises(Exception, match="broken"):
+            storage.write_stage(spark.range(9).selectExpr("if(id > 7, raise_error('broken'), id) as id", "id % 2 as k"), base, "cleaned", "r", partition_by)
+        assert storage.read_latest(spark, base, "cleaned").count() == 5
+    storage.write_stage(spark.range(2), base, "cleaned", "r")
+    storage.write_stage(spark.range(3), base, "cleaned", "other")
+    assert len(storage.remove_superseded(spark, base, "cleaned", "r")) >= 2
+    assert [storage.read_stage(spark, base, "cleaned", run).count() for run in ("r", "other")] == [2, 3]
+    assert storage.remove_superseded(spark, base, "cleaned", "r") == []
+
+
+def test_logs_stay_short(spark):
+    path, schema = fresh_path(spark, "log"), "n int"
+    for n in range(23):
+        storage.append_log(spark.createDataFrame([(n,)], schema), path, schema, most_files=4)
+    assert len(storage._data_files(spark, path)) <= 5
+    assert sorted(r.n for r in storage.read_log(spark, path, schema).collect()) == list(range(23))
+    whole = storage.read_log(spark, path, schema)
+    whole.coalesce(1).write.mode("append").parquet(path)  # as if old files had not been deleted yet
+    assert storage.read_log(spark, path, schema).count() == 23

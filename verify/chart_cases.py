@@ -232,14 +232,17 @@ SETTINGS = {
     "visualization": {"charts": [
         {"type": "bar", "title": "By kind", "x": "has_franchise", "y": ["revenue_musd", "roi"], "aggregation": "mean"},
         {"type": "box", "title": "Rating by genre", "x": "genres", "y": "vote_average"},
+        {"type": "scatter", "title": "Money", "x": "budget_musd", "y": "revenue_musd", "color": "profit_musd", "points": 60},
+        {"type": "scatter", "title": "All votes", "x": "vote_average", "y": "popularity", "size": "vote_count"},
     ]},
+    "monitoring": {"enabled": True, "metrics": ["record_count", "messages_lost"]},
 }
 
 
 def settings_run(spark, folder):
     """A run with settings of its own: placeholders, matrix, ranking floor, partitions, formats and charts reach its tables."""
-    base = fresh_path(spark, "settings")
-    outcome = batch.run_batch(spark, raw(spark, folder), base, RUN, batch.RunConfig.from_dict(SETTINGS))
+    base, config = fresh_path(spark, "settings"), batch.RunConfig.from_dict(SETTINGS)
+    outcome = batch.run_batch(spark, raw(spark, folder), base, RUN, config)
     failed = [r["note"] for r in outcome.where("metric = 'succeeded' and value = 0").collect()]
     if failed:
         raise RuntimeError(failed)
@@ -251,6 +254,11 @@ def settings_run(spark, folder):
         at("kpis", "rankings", "best").select(F.lit("best"), F.col("id").cast("string"), "vote_average"),
         at("charts", "declared_by_kind").select(F.lit("bar"), F.col("has_franchise").cast("string"), "revenue_musd_mean"),
         at("charts", "declared_rating_by_genre").select(F.lit("box"), "genres", "median"),
+        at("charts", "declared_money").select(F.lit("point"), F.col("id").cast("string"), "profit_musd"),
+        at("charts", "declared_money_cells").agg(F.lit("cells"), F.lit("money"), F.sum("count").cast("double")),
+        at("charts", "declared_all_votes").agg(F.lit("points"), F.lit("votes"), F.count("id").cast("double")),
+        at("charts", "declared_all_votes_cells").agg(F.lit("cells"), F.lit("votes"), F.sum("count").cast("double")),
+        batch.monitored_metrics(spark, base, RUN, config).select(F.lit("monitored"), F.concat_ws(" ", "stage", "metric", "note"), "value"),
     ]
     result = parts[0]
     for part in parts[1:]:
@@ -258,12 +266,22 @@ def settings_run(spark, folder):
     return averaged(result)
 
 
+KNOWN_TAGLINES = "count(nullif(tagline, 'N/A')) * 1.0"
+KNOWN_MONEY = "budget_musd is not null and revenue_musd is not null"
+COUNTS = {"ingest": "select count(*) from raw", "clean": "select count(*) from cleaned", "features": "select count(*) from records"}
+
 SETTINGS_SQL = (
-    f"select 'taglines' as kind, '' as name, {value('count(nullif(tagline, chr(78) || chr(47) || chr(65))) * 1.0')} as value from records "
+    f"select 'taglines' as kind, '' as name, {value(KNOWN_TAGLINES)} as value from records "
     f"union all select 'median', belongs_to_collection, {value('median(revenue_musd)')} from records where has_franchise group by belongs_to_collection "
     f"union all (select 'best', cast(id as varchar), {value('vote_average')} from records where vote_count >= 5 order by records.vote_average desc nulls last, id limit 4) "
     f"union all select 'bar', cast(has_franchise as varchar), {value('avg(revenue_musd)')} from records group by has_franchise "
-    f"union all select 'box', genre, {value('median(vote_average)')} from genre where vote_average is not null group by genre"
+    f"union all select 'box', genre, {value('median(vote_average)')} from genre where vote_average is not null group by genre "
+    f"union all select 'point', cast(id as varchar), {value('profit_musd')} from ({sample('id, profit_musd', KNOWN_MONEY, 60)}) "
+    f"union all select 'cells', 'money', count(*) * 1.0 from records where {KNOWN_MONEY} "
+    f"union all select kind, 'votes', count(*) * 1.0 from records, (values ('points'), ('cells')) k(kind) "
+    "where vote_average is not null and popularity is not null group by kind "
+    + "".join(f"union all select 'monitored', '{stage} record_count', ({query}) * 1.0 " for stage, query in COUNTS.items())
+    + "union all select 'monitored', 'monitoring messages_lost not measured', null"
 )
 
 
@@ -293,7 +311,6 @@ def fact(stage, metric, query):
 
 
 STAGES = ("ingest", "clean", "features", "quality", "kpis", "metrics", "searches", "charts")
-COUNTS = {"ingest": "select count(*) from raw", "clean": "select count(*) from cleaned", "features": "select count(*) from records"}
 FACTS = [
     *[fact(s, "record_count", q) for s, q in COUNTS.items()],
     *[fact(s, "succeeded", "select 1") for s in STAGES],
