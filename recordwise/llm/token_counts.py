@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recordwise.llm.files import Replacing, attempt_number, opened, partition_number
+from recordwise.llm.files import Replacing, attempt_number, opened, partition_number, stored
 from recordwise.llm.spans import buffer_of, slices
 from recordwise.llm.tokens import SLICE, encoder
 from recordwise.operators.sizing import fresh_path
 
 SEPARATOR = 50256
 BLOCK_IDS = 1 << 22
+BLOCKS_PER_TASK = 4
 SCAN_IDS = 1 << 20
 
 
@@ -133,8 +134,11 @@ def document_lengths(blocks: DataFrame, separator: int = SEPARATOR, kind: str =
                     ["path", "ordinal", "n_tokens", "closed"],
                 )
 
+    # a stated number of partitions, one for every few blocks: adaptive execution would join these small rows in one task
+    blocks = stored(blocks, "blocks")
+    ways = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
     kept = "path string, block long, first long, n long"
-    sums = blocks.mapInArrow(summarise, kept + ", found long, tail long")
+    sums = blocks.repartition(ways, "path", "block").mapInArrow(summarise, kept + ", found long, tail long")
     by_file = Window.partitionBy("path").orderBy("block")
     earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
     # ids since the last separator: all of the blocks after the latest one that has any, and that one's tail
@@ -148,7 +152,7 @@ def document_lengths(blocks: DataFrame, separator: int = SEPARATOR, kind: str =
         .withColumn("last", F.lead("block").over(by_file).isNull())
     )
     chosen = stitched.select("path", "first", "n", "before", "carried", "last")
-    return chosen.mapInArrow(lengths, "path string, ordinal long, n_tokens long, closed boolean")
+    return chosen.repartition(ways, "path", "first").mapInArrow(lengths, "path string, ordinal long, n_tokens long, closed boolean")
 
 
 def count_tokens(documents: DataFrame, vocabulary: str, separator: int = SEPARATOR, block_ids: int = BLOCK_IDS) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from recordwise.llm import known, pieces, queries, token_binary, token_counts, tokens, warc
 from recordwise.llm.spans import buffer_of
@@ -229,3 +230,14 @@ def test_broken_archives_are_errors():
         packer = zlib.compressobj(6, zlib.DEFLATED, 31)
         with pytest.raises(ValueError, match=message):
             list(warc.records_of(io.BytesIO(packer.compress(bad) + packer.flush())))
+
+
+def test_the_scan_spreads_over_tasks(spark, docs):
+    folder = fresh_path(spark, "spread")
+    placed = token_counts.write_flat(docs([(i, "word " * 40) for i in range(64)]).repartition(32), folder, tokens.vocabulary_path())
+    blocks = token_counts.flat_blocks(placed.select("path").distinct(), block_ids=256)
+    n = blocks.count()
+    lengths = token_counts.document_lengths(blocks)
+    busy = lengths.select(spark_partition_id().alias("p")).distinct().count()
+    assert n >= 16 and busy >= n // token_counts.BLOCKS_PER_TASK // 2
+    assert lengths.agg({"n_tokens": "sum"}).first()[0] == sum(r.n_tokens for r in token_counts.count_tokens(docs([(i, "word " * 40) for i in range(64)]), tokens.vocabulary_path()).collect())
