@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordwise.llm.files import free_name, stored
+
 ERROR_RATE = 0.08
 BLOCK_BYTES = 8 << 20
 
@@ -119,13 +121,18 @@ class Matcher:
         return found
 
 
-def item_blocks(items: DataFrame, block_bytes: int) -> list[list[tuple[int | None, str]]]:
-    """The normalised items in blocks of about ``block_bytes``."""
-    plain = items.select(F.col("item_id").cast("long").alias("item_id"), normalised(F.col("text")).alias("text"))
+def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The normalised items in blocks of about ``block_bytes``; one block at a time is with the driver."""
+    plain = stored(items.distinct(), "items")
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = total // block_bytes + 1
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in plain.where(number == k).orderBy("item_id", "text").collect()] for k in range(n)]
+    for k in range(n):
+        yield [tuple(r) for r in plain.where(number == k).orderBy("item_id", "text").collect()]
+
+
+def plain_items(items: DataFrame) -> DataFrame:
+    return items.select(F.col("item_id").cast("long").alias("item_id"), normalised(F.col("text")).alias("text"))
 
 
 def find_items(
@@ -135,7 +142,7 @@ def find_items(
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("text"))
     parts = []
-    for block in item_blocks(items, block_bytes):
+    for block in item_blocks(plain_items(items), block_bytes):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -158,9 +165,10 @@ def find_items(
 def keep_clean(documents: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents that contain no item, all columns as they are; a row goes by its own text."""
     names = documents.columns
-    plain = "_plain_text"
+    plain = free_name(names, "plain_text")
+    texts = plain_items(items).select(F.lit(0).cast("long").alias("item_id"), "text")  # which of equal items it is doesn't matter here
     kept = documents.withColumn(plain, normalised(F.col("text")))
-    for block in item_blocks(items, block_bytes):
+    for block in item_blocks(texts, block_bytes):
         shared = documents.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

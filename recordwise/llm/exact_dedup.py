@@ -16,8 +16,8 @@ third of all rows goes to no single task. Only built-in expressions are used.
 
 Defined cases: a NULL text is an empty one, and all empty texts are copies of each other; the
 copy with the most code points in the original text stays, then the smallest doc_id (NULL
-last); of rows that repeat doc_id and text too, exactly one stays; extra columns pass through,
-and helper columns have names of their own that no input column may carry; an empty table gives
+last); of rows that repeat doc_id and text too, exactly one stays; extra columns of
+any names pass through, because a row travels as one struct; an empty table gives
 an empty result.
 """
 
@@ -124,17 +124,17 @@ def copies(documents: DataFrame, words_log2: int = FILTER_WORDS_LOG2) -> DataFra
 
 def drop_copies(documents: DataFrame, words_log2: int = FILTER_WORDS_LOG2) -> DataFrame:
     """The documents that stay, with all their columns."""
-    columns = [F.col(f"`{name}`") for name in documents.columns]
-    rows = hashed_rows(documents)
+    # the row travels as one struct, so its columns may have any names
+    rows = hashed_rows(documents.select(F.struct("*").alias("_row"), "doc_id", "text")).select("_row", "_sha", "_rank")
     narrow = settle(rows.select("_sha", "_rank"))
     dense = settle(repeated_filter(narrow, words_log2))
     suspects = may_repeat(narrow, dense, words_log2).where("_maybe")
     groups = suspects.groupBy("_sha").agg(F.min("_rank").alias("_best"), F.count("*").alias("_size")).where("_size > 1")
     flagged = may_repeat(rows, dense, words_log2)
-    alone = flagged.where("not _maybe").select(*columns)
+    alone = flagged.where("not _maybe").select("_row.*")
     met = flagged.where("_maybe").join(broadcast_if_small(groups), "_sha", "left")
     best = met.where(F.col("_best").isNull() | (F.col("_rank") == F.col("_best")))
-    return alone.unionByName(best.dropDuplicates(["_sha"]).select(*columns))
+    return alone.unionByName(best.dropDuplicates(["_sha"]).select("_row.*"))
 
 
 COPIES_SQL = """

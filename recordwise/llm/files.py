@@ -56,6 +56,14 @@ class Replacing:
         self.system.move(self.unfinished, self.path)
 
 
+def free_name(columns: Iterable[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column has that name (names differ by more than case)."""
+    taken = {name.lower() for name in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a table of its own in the shared folder and read back; nothing of its plan is left.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordwise.llm.files import stored
+from recordwise.llm.files import free_name, stored
 from recordwise.llm.graph import components
 from recordwise.llm.shingles import minhashes, multipliers, set_key, shingle_sets
 from recordwise.llm.spans import U64, buffer_of, mixed, slices
@@ -354,5 +354,6 @@ def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, tolerance:
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD, links: Callable[..., DataFrame] = jaccard_links) -> DataFrame:
     """The documents without those that are linked, directly or by others, with one of a smaller id."""
-    gone = links(documents, threshold).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(broadcast_if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = free_name(documents.columns, "gone")
+    gone = links(documents, threshold).where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(broadcast_if_small(gone), F.col("doc_id") == F.col(name), "left_anti")
