@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,6 +208,7 @@ def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
     """KPI tables with a summary of their row counts, and each ranking as one CSV file."""
     table = storage.read_stage(spark, base, FEATURES, run_id)
     results = kpis.all_kpis(table, config.ranked, config.ranked_specs(), config.min_director_movies)
+    results |= kpis.plain_kpis(table, config.min_director_movies)
     if config.director_metrics:
         results["top_directors"] = results["top_directors"].select("director", *config.director_metrics)
     if config.franchise:
@@ -233,9 +235,12 @@ def report_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig)
 
 def metric_stage(spark: SparkSession, base: str, run_id: str) -> dict[str, float]:
     table = storage.read_stage(spark, base, FEATURES, run_id)
-    status = storage.export_tables(
-        table, metrics.METRIC_TABLES, _run_folder(base, "metrics", run_id)
-    )
+    builders = dict(metrics.METRIC_TABLES)
+    try:  # the plain tables share one scan; should one of them fail, each is computed on its own and fails alone
+        builders |= {name: (lambda _, rows=rows: rows) for name, rows in metrics.plain_tables(table).items() if name in builders}
+    except PySparkException:
+        pass
+    status = storage.export_tables(table, builders, _run_folder(base, "metrics", run_id))
     failed = [f"{r['name']}: {r['error']}" for r in status.where("error is not null").collect()]
     facts = {"tables": status.count() - len(failed), "failed_tables": len(failed)}
     return facts | ({"failure": "; ".join(failed)} if failed else {})

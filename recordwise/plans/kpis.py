@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordwise.functions.values import ordinal
 from recordwise.operators.features import BUDGET_LABELS, add_membership_label
-from recordwise.operators.grouping import agg_matrix, explode_values, group_metrics
+from recordwise.operators.grouping import Report, agg_matrix, explode_values, group_metrics, reports_together
 from recordwise.operators.ranking import rank_all
 from recordwise.plans.rankings import RANKINGS
 
@@ -89,7 +89,7 @@ def franchise_against_standalone(df: DataFrame) -> DataFrame:
     )
 
 
-def top_franchises(df: DataFrame) -> DataFrame:
+def top_franchises_report() -> Report:
     measures = {
         "total_movies": "count(1)",
         "total_budget": "sum(budget_musd)",
@@ -103,12 +103,14 @@ def top_franchises(df: DataFrame) -> DataFrame:
         "mean_popularity": "avg(popularity)",
         "total_votes": "sum(vote_count)",
     }
-    return group_metrics(
-        df, ["belongs_to_collection"], measures, where="has_franchise", order_by=BIGGEST_FIRST
-    )
+    return Report(["belongs_to_collection"], measures, "has_franchise", order_by=BIGGEST_FIRST)
 
 
-def top_directors(df: DataFrame, min_movies: int = 1) -> DataFrame:
+def top_franchises(df: DataFrame) -> DataFrame:
+    return top_franchises_report().of(df)
+
+
+def top_directors_report(min_movies: int = 1) -> Report:
     measures = {
         "total_movies": "count(1)",
         "total_revenue": "sum(revenue_musd)",
@@ -120,14 +122,11 @@ def top_directors(df: DataFrame, min_movies: int = 1) -> DataFrame:
         "total_votes": "sum(vote_count)",
         "avg_budget": "avg(budget_musd)",
     }
-    return group_metrics(
-        df,
-        ["director"],
-        measures,
-        where="director is not null",
-        having=f"total_movies >= {min_movies}",
-        order_by=BIGGEST_FIRST,
-    )
+    return Report(["director"], measures, "director is not null", f"total_movies >= {min_movies}", order_by=BIGGEST_FIRST)
+
+
+def top_directors(df: DataFrame, min_movies: int = 1) -> DataFrame:
+    return top_directors_report(min_movies).of(df)
 
 
 def genre_performance(df: DataFrame) -> DataFrame:
@@ -155,7 +154,7 @@ def genre_performance(df: DataFrame) -> DataFrame:
     )
 
 
-def yearly_trends(df: DataFrame) -> DataFrame:
+def yearly_report() -> Report:
     measures = {
         "movies_released": "count(1)",
         "total_revenue": "sum(revenue_musd)",
@@ -166,10 +165,14 @@ def yearly_trends(df: DataFrame) -> DataFrame:
         "avg_rating": "avg(vote_average)",
         "avg_popularity": "avg(popularity)",
     }
-    return group_metrics(df, ["release_year"], measures, order_by=["release_year"])
+    return Report(["release_year"], measures, order_by=["release_year"])
 
 
-def decade_trends(df: DataFrame) -> DataFrame:
+def yearly_trends(df: DataFrame) -> DataFrame:
+    return yearly_report().of(df)
+
+
+def decade_report() -> Report:
     measures = {
         "movies_released": "count(1)",
         "total_revenue": "sum(revenue_musd)",
@@ -178,10 +181,14 @@ def decade_trends(df: DataFrame) -> DataFrame:
         "avg_roi": "avg(roi)",
         "avg_rating": "avg(vote_average)",
     }
-    return group_metrics(df, ["decade"], measures, order_by=["decade"])
+    return Report(["decade"], measures, order_by=["decade"])
 
 
-def language_performance(df: DataFrame, min_movies: int = 2) -> DataFrame:
+def decade_trends(df: DataFrame) -> DataFrame:
+    return decade_report().of(df)
+
+
+def language_report(min_movies: int = 2) -> Report:
     measures = {
         "movie_count": "count(1)",
         "avg_revenue": "avg(revenue_musd)",
@@ -189,16 +196,14 @@ def language_performance(df: DataFrame, min_movies: int = 2) -> DataFrame:
         "avg_rating": "avg(vote_average)",
         "total_revenue": "sum(revenue_musd)",
     }
-    return group_metrics(
-        df,
-        ["original_language"],
-        measures,
-        having=f"movie_count >= {min_movies}",
-        order_by=BIGGEST_FIRST,
-    )
+    return Report(["original_language"], measures, having=f"movie_count >= {min_movies}", order_by=BIGGEST_FIRST)
 
 
-def budget_category_performance(df: DataFrame) -> DataFrame:
+def language_performance(df: DataFrame, min_movies: int = 2) -> DataFrame:
+    return language_report(min_movies).of(df)
+
+
+def budget_category_report() -> Report:
     measures = {
         "movie_count": "count(1)",
         "avg_revenue": "avg(revenue_musd)",
@@ -206,9 +211,15 @@ def budget_category_performance(df: DataFrame) -> DataFrame:
         "avg_rating": "avg(vote_average)",
         "avg_popularity": "avg(popularity)",
     }
-    return group_metrics(df, ["budget_category"], measures).orderBy(
-        ordinal("budget_category", BUDGET_LABELS)
-    )
+    return Report(["budget_category"], measures)
+
+
+def by_budget(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(ordinal("budget_category", BUDGET_LABELS))
+
+
+def budget_category_performance(df: DataFrame) -> DataFrame:
+    return by_budget(budget_category_report().of(df))
 
 
 def summary_statistics(df: DataFrame) -> DataFrame:
@@ -275,3 +286,17 @@ def all_kpis(
         "budget_category_performance": budget_category_performance(df),
         "summary_statistics": summary_statistics(df),
     }
+
+
+def plain_kpis(df: DataFrame, min_director_movies: int = 1) -> dict[str, DataFrame]:
+    """The KPI tables with plain keys, from one scan and one shuffle; the rows of the single functions."""
+    reports = {
+        "top_franchises": top_franchises_report(),
+        "top_directors": top_directors_report(min_director_movies),
+        "yearly_trends": yearly_report(),
+        "decade_trends": decade_report(),
+        "language_performance": language_report(),
+        "budget_category_performance": budget_category_report(),
+    }
+    tables = reports_together(df, reports)
+    return tables | {"budget_category_performance": by_budget(tables["budget_category_performance"])}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from recordwise.operators.charts import correlations
 from recordwise.operators.features import add_budget_tier, add_date_parts, add_rating_tier
-from recordwise.operators.grouping import explode_values, group_metrics
+from recordwise.operators.grouping import Report, explode_values, group_metrics, reports_together
 from recordwise.operators.value_lists import group_members
 from recordwise.plans.kpis import distinct_values
 
@@ -17,8 +17,7 @@ RELEASE_SPAN = {"first_release": "min(release_date)", "latest_release": "max(rel
 LEVELS = {"year": ["year"], "quarter": ["year", "quarter"], "month": ["year", "month"]}
 
 
-def temporal_metrics(df: DataFrame, level: str = "year") -> DataFrame:
-    """Metrics per year, per quarter or per month."""
+def temporal_report(level: str = "year") -> Report:
     measures = {
         "movie_count": "count(1)",
         **REVENUE,
@@ -27,8 +26,12 @@ def temporal_metrics(df: DataFrame, level: str = "year") -> DataFrame:
         **AUDIENCE,
         "avg_runtime": "avg(runtime)",
     }
-    keys = LEVELS[level]
-    return group_metrics(add_date_parts(df), keys, measures, order_by=keys)
+    return Report(LEVELS[level], measures, order_by=LEVELS[level])
+
+
+def temporal_metrics(df: DataFrame, level: str = "year") -> DataFrame:
+    """Metrics per year, per quarter or per month."""
+    return temporal_report(level).of(add_date_parts(df))
 
 
 def genre_metrics(df: DataFrame) -> DataFrame:
@@ -48,14 +51,13 @@ def genre_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def language_report(min_movies: int = 5) -> Report:
+    measures = {"movie_count": "count(1)", **REVENUE, **AUDIENCE}
+    return Report(["original_language"], measures, having=f"movie_count >= {min_movies}", order_by=BIGGEST_FIRST)
+
+
 def language_metrics(df: DataFrame, min_movies: int = 5) -> DataFrame:
-    return group_metrics(
-        df,
-        ["original_language"],
-        {"movie_count": "count(1)", **REVENUE, **AUDIENCE},
-        having=f"movie_count >= {min_movies}",
-        order_by=BIGGEST_FIRST,
-    )
+    return language_report(min_movies).of(df)
 
 
 def company_metrics(df: DataFrame, min_movies: int = 3) -> DataFrame:
@@ -75,15 +77,14 @@ def company_metrics(df: DataFrame, min_movies: int = 3) -> DataFrame:
     )
 
 
+def director_report(min_movies: int = 2) -> Report:
+    measures = {"movie_count": "count(1)", **REVENUE, **AUDIENCE}
+    return Report(["director"], measures, "director is not null", f"movie_count >= {min_movies}", order_by=["-total_revenue", "director"])
+
+
 def director_metrics(df: DataFrame, min_movies: int = 2) -> DataFrame:
     """One row per director; the titles are in ``director_members``."""
-    return group_metrics(
-        df.where("director is not null"),
-        ["director"],
-        {"movie_count": "count(1)", **REVENUE, **AUDIENCE},
-        having=f"movie_count >= {min_movies}",
-        order_by=["-total_revenue", "director"],
-    )
+    return director_report(min_movies).of(df)
 
 
 def director_members(df: DataFrame, min_movies: int = 2) -> DataFrame:
@@ -93,9 +94,7 @@ def director_members(df: DataFrame, min_movies: int = 2) -> DataFrame:
     return group_members(known, groups, ["director"], ["id", "title"])
 
 
-def franchise_metrics(df: DataFrame) -> DataFrame:
-    """Collection metrics with total profit and return on the sums; the titles are in ``franchise_members``."""
-    members = df.where("belongs_to_collection is not null")
+def franchise_report() -> Report:
     measures = {
         "movie_count": "count(1)",
         **REVENUE,
@@ -108,9 +107,13 @@ def franchise_metrics(df: DataFrame) -> DataFrame:
         "total_profit": "total_revenue - total_budget",
         "avg_roi": "round(try_divide(total_revenue, total_budget), 2)",
     }
-    return group_metrics(
-        members, ["belongs_to_collection"], measures, derived=derived, order_by=["-total_revenue", "belongs_to_collection"]
-    )
+    known = "belongs_to_collection is not null"
+    return Report(["belongs_to_collection"], measures, known, derived=derived, order_by=["-total_revenue", "belongs_to_collection"])
+
+
+def franchise_metrics(df: DataFrame) -> DataFrame:
+    """Collection metrics with total profit and return on the sums; the titles are in ``franchise_members``."""
+    return franchise_report().of(df)
 
 
 def franchise_members(df: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def franchise_members(df: DataFrame) -> DataFrame:
     return df.where("belongs_to_collection is not null").select("belongs_to_collection", "id", "title")
 
 
-def budget_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFrame:
+def budget_tier_report() -> Report:
     measures = {
         "movie_count": "count(1)",
         "avg_budget": "avg(budget_musd)",
@@ -126,12 +129,14 @@ def budget_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFra
         **AUDIENCE,
         "avg_roi_pct": "avg(try_divide(revenue_musd - budget_musd, budget_musd) * 100)",
     }
-    return group_metrics(
-        add_budget_tier(df, null_label), ["budget_tier"], measures, order_by=["budget_tier"]
-    )
+    return Report(["budget_tier"], measures, order_by=["budget_tier"])
 
 
-def rating_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFrame:
+def budget_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFrame:
+    return budget_tier_report().of(add_budget_tier(df, null_label))
+
+
+def rating_tier_report() -> Report:
     measures = {
         "movie_count": "count(1)",
         "avg_revenue": "avg(revenue_musd)",
@@ -139,9 +144,11 @@ def rating_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFra
         "avg_popularity": "avg(popularity)",
         "avg_vote_count": "avg(vote_count)",
     }
-    return group_metrics(
-        add_rating_tier(df, null_label), ["rating_tier"], measures, order_by=["rating_tier"]
-    )
+    return Report(["rating_tier"], measures, order_by=["rating_tier"])
+
+
+def rating_tier_metrics(df: DataFrame, null_label: str | None = None) -> DataFrame:
+    return rating_tier_report().of(add_rating_tier(df, null_label))
 
 
 CORRELATED = {
@@ -199,3 +206,16 @@ METRIC_TABLES = {
     "budget_tier": budget_tier_metrics,
     "rating_tier": rating_tier_metrics,
 }
+
+
+def plain_tables(df: DataFrame) -> dict[str, DataFrame]:
+    """The metric tables with plain keys, from one scan and one shuffle; the rows of the single functions."""
+    reports = {
+        "temporal": temporal_report(),
+        "language": language_report(),
+        "director": director_report(),
+        "franchise": franchise_report(),
+        "budget_tier": budget_tier_report(),
+        "rating_tier": rating_tier_report(),
+    }
+    return reports_together(df.transform(add_date_parts).transform(add_budget_tier).transform(add_rating_tier), reports)

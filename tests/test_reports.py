@@ -214,6 +214,44 @@ def test_quantiles_scan_the_table_twice(spark, monkeypatch, tmp_path):
     assert found.where("k = 7").first().m == 99_982.0
 
 
+def test_tables_with_plain_keys_share_one_scan(spark, folder):
+    from recordwise.plans import kpis, metrics
+    from verify.base import records
+
+    df = records(spark, folder)
+    same = lambda rows: [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows.collect()]
+    for together, single in (
+        (metrics.plain_tables(df), metrics.METRIC_TABLES),
+        (kpis.plain_kpis(df), {name: getattr(kpis, name) for name in kpis.plain_kpis(df)}),
+    ):
+        for name, rows in together.items():
+            alone = single[name](df)
+            assert rows.columns == alone.columns
+            assert sorted(same(rows), key=str) == sorted(same(alone), key=str), name
+
+
+def test_grouping_sets_keep_null_keys_and_filters_apart(spark, monkeypatch):
+    from recordwise.operators import grouping as module
+
+    plans, plain = [], module.settle
+    monkeypatch.setattr(module, "settle", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    df = spark.createDataFrame([("a", None, 1), (None, "x", 2), ("a", "x", 4), (None, None, 8)], "k string, l string, v int")
+    reports = {
+        "k": grouping.Report(["k"], {"s": "sum(v)", "known": "count(k)"}, order_by=["k"]),
+        "l": grouping.Report(["l"], {"s": "sum(v)"}, where="v > 1", order_by=["l"]),
+        "both": grouping.Report(["k", "l"], {"n": "count(1)"}, having="n > 0", derived={"twice": "n * 2"}, order_by=["k", "l"]),
+        "some": grouping.Report(["k"], {"s": "sum(v)"}, where="k is not null"),
+    }
+    got = {name: [tuple(r) for r in rows.collect()] for name, rows in grouping.reports_together(df, reports).items()}
+    assert got == {
+        "k": [(None, 10, 0), ("a", 5, 2)],
+        "l": [(None, 8), ("x", 6)],
+        "both": [(None, None, 1, 2), (None, "x", 1, 2), ("a", None, 1, 2), ("a", "x", 1, 2)],
+        "some": [("a", 5)],
+    }
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1 and plans[0].count("Expand") == 1
+
+
 def test_members_are_rows_whatever_the_size(spark):
     from recordwise.plans import metrics
 
