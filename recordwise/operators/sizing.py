@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,16 +34,26 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Upper estimate of what one value takes in memory; texts, binaries and nested values by what they hold."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, T.StructType):
+        size = sum((bytes_of(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(16))
+    elif isinstance(kind, T.ArrayType):
+        each = F.transform(value, lambda v: bytes_of(v, kind.elementType).cast("long"))
+        size = F.aggregate(each, F.lit(24).cast("long"), lambda total, v: total + v)
+    elif isinstance(kind, T.MapType):
+        pairs = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        size = bytes_of(F.map_keys(value), pairs[0]) + bytes_of(F.map_values(value), pairs[1])
+    else:
+        return F.lit(16)
+    return F.coalesce(size, F.lit(16))
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size of a flat frame, counted exactly by Spark."""
-    row = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            row = row + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 8
-        elif isinstance(field.dataType, T.ArrayType):
-            row = row + F.coalesce(F.size(F.col(f"`{field.name}`")), F.lit(0)) * 16 + 8
-        else:
-            row = row + 16
+    """Upper estimate of the in-memory size of a frame, counted by Spark from the rows themselves."""
+    row = sum((bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16))
     return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
 
 

@@ -171,3 +171,10 @@ def test_logs_stay_short(spark):
     whole = storage.read_log(spark, path, schema)
     whole.coalesce(1).write.mode("append").parquet(path)  # as if old files had not been deleted yet
     assert storage.read_log(spark, path, schema).count() == 23
+
+
+def test_measured_bytes_counts_what_values_hold(spark):
+    text = "repeat('x', 5000)"
+    for value in (f"encode({text}, 'UTF-8')", f"named_struct('a', 1, 'b', {text})", f"array({text}, {text})", f"map('k', {text})", f"array(named_struct('b', {text}))"):
+        assert 10 * 5000 <= measured_bytes(spark.range(10).selectExpr(f"{value} as v")) < 10 * 12_000
+    assert measured_bytes(spark.range(10).selectExpr("cast(null as array<string>) as v", "cast(null as binary) as b")) < 1000
