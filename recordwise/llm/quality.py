@@ -5,7 +5,7 @@ shapes (letters in capitals, digits, the mark itself, "same word as before"), ea
 of ``2**dims_log2`` columns with a sign of its own; a row is scaled to unit length. Training
 takes a bounded, documented number of labelled rows (``max_rows``, those with the smallest hash of
 their id). Each shard of ``shard_rows`` rows is trained in a task of its own with per-coordinate
-FTRL-proximal updates in hash order, the shards' weights are averaged, so the result depends on
+FTRL-proximal updates in hash order, the shards' weights are averaged in the order of the shards, so the result depends on
 neither layout nor retries. Scoring is a sparse dot product per text with the broadcast weights,
 whose size is fixed by ``dims_log2``.
 
@@ -80,7 +80,7 @@ def text_features(data: np.ndarray, offsets: np.ndarray, dims_log2: int) -> tupl
     in_upper, in_digits = upper[ends] - upper[starts], digits[ends] - digits[starts]
     previous_word = np.zeros(len(words), U64)
     if len(words) > 1:
-        previous_word[1:] = words[:-1]
+        previous_word[1:] = np.where(owner[1:] == owner[:-1], words[:-1], U64(0))
     again = (kinds == 1) & (previous_word == words)
     if len(words) > 2:  # the word before a mark counts as the one before
         before_mark = np.zeros(len(words), bool)
@@ -167,16 +167,18 @@ def train(
                 for k, (shard, place, target) in enumerate(names):
                     inside = slice(heads[k], heads[k + 1])
                     shards.setdefault(shard, []).append((place, column[inside].astype(np.int32), value[inside].astype(np.float32), target))
-        for members in shards.values():
+        for shard, members in shards.items():
             members.sort(key=lambda m: (m[0], m[3], len(m[1])))
             weights = train_shard([m[1:] for m in members], dims)
             at = np.append(np.flatnonzero(weights), -1)  # -1 tells how many rows there were
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(np.append(weights[at[:-1]], 1.0) * len(members))], ["at", "w"]
+                [pa.array([shard] * len(at), pa.int64()), pa.array(at), pa.array(np.append(weights[at[:-1]], 1.0) * len(members))], ["shard", "at", "w"]
             )
 
-    learned = rows.select("text", "label", "order", "shard").repartition(n_shards, "shard").mapInArrow(learn, "at long, w double")
-    sums = learned.groupBy("at").agg(F.sum("w").alias("w")).toArrow()  # at most one row per column of the model
+    learned = rows.select("text", "label", "order", "shard").repartition(n_shards, "shard").mapInArrow(learn, "shard long, at long, w double")
+    # one row per column of the model; a column's shards, at most max_rows / shard_rows of them, are added in their order
+    in_order = F.aggregate(F.array_sort(F.collect_list(F.struct("shard", "w"))), F.lit(0.0), lambda total, s: total + s["w"])
+    sums = learned.groupBy("at").agg(in_order.alias("w")).toArrow()
     at, w = sums["at"].to_numpy(), sums["w"].to_numpy()
     weights = np.zeros(dims + 1)
     weights[at[at >= 0]] = w[at >= 0]
