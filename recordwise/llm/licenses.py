@@ -179,14 +179,16 @@ def fit(texts: list[str], classes: np.ndarray, steps: int = 60) -> np.ndarray:
     return weights / best[1]
 
 
-def background(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS) -> list[str]:
-    """At most ``unknown_rows`` distinct lines that name no licence, those of the smallest hashes.
+def background(documents: DataFrame, unknown_rows: int = UNKNOWN_ROWS, shortest: int = 20, longest: int = 2000) -> list[str]:
+    """At most ``unknown_rows`` distinct lines of ``shortest`` to ``longest`` characters that name no licence, those of the smallest hashes.
+
+    These bounds concern what the class "unknown" is fitted on, not what is searched.
 
     Hashes are made distinct first, which combines equal lines before they shuffle and moves no texts; then only the
     lines up to the last wanted hash are read.
     """
     lines = documents.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line"))
-    plain = lines.where("length(line) between 20 and 2000 and not lower(line) rlike 'licen|copyright|creative commons|cc by'")
+    plain = lines.where(f"length(line) between {shortest} and {longest} and not lower(line) rlike 'licen|copyright|creative commons|cc by'")
     hashed = plain.select(F.xxhash64("line").alias("h"), "line")
     last = hashed.select("h").distinct().orderBy("h").limit(unknown_rows).agg(F.max("h")).first()[0]
     if last is None:

@@ -1,4 +1,4 @@
-"""Removal of long repeated passages with a run-length Burrows-Wheeler index.
+"""Removal of long repeated passages with suffix-sorted indexes of phrases and their Burrows-Wheeler runs.
 
 A byte goes when a string of ``length`` bytes that covers it also starts earlier: in a document with a
 smaller doc_id, or earlier in the same one. Strings are judged on the input.
@@ -10,11 +10,11 @@ smaller doc_id, or earlier in the same one. Strings are judged on the input.
    size, and only phrases that pass it are shuffled, with their bytes. Equal phrases of one slice
    of input are combined before the shuffle, however many there are.
 3. Phrases are dealt by minimiser. Distinct phrases are indexed in their order of first occurrence
-   (``RunIndex``: Burrows-Wheeler runs with sampled run ends); matching statistics are streamed over
-   them, and every window that matches an earlier one is marked. All later copies of a phrase share
-   one streamed result: they match as a whole. A minimiser with more than ``group_bytes`` bytes of
-   distinct phrases (a very common gram) is marked window by window in a grouped aggregation
-   instead, which spreads it over all tasks.
+   (``RunIndex``: a suffix array of the part, with the Burrows-Wheeler runs to save comparisons), and every
+   window that matches an earlier one is marked. All later copies of a phrase are marked as a whole, by the
+   phrase's 64-bit hash. A minimiser with more than ``group_bytes`` bytes of distinct phrases (a very common
+   gram) is marked window by window in a grouped aggregation over two 64-bit hashes of each window instead,
+   which spreads it over all tasks. So this is no run-length index in the strict sense; README says why.
 4. Marks meet their document once, where overlapping marks are merged and the rest is put together.
 
 Defined cases: a NULL text is an empty one; texts shorter than ``length`` keep everything; rows that

@@ -1,9 +1,9 @@
-"""A run-length index of many short phrases: suffix order, Burrows-Wheeler runs, match lengths.
+"""A suffix-sorted index of many short phrases with their Burrows-Wheeler runs and match lengths.
 
 The phrases lie behind each other, each closed by a separator that is smaller than every byte and
 equal to no other one, so no match crosses a border. The Burrows-Wheeler transform of repetitive
 phrases has few runs; only at run heads is the common prefix with the preceding suffix compared
-explicitly (the sampled run ends say where). Inside a run the neighbour's preceding byte is the
+explicitly. The whole suffix order is kept and answers the searches; the runs only spare comparisons. Inside a run the neighbour's preceding byte is the
 same, so the match is one longer than at the next text position: streaming over the text,
 ``length[i] = max(length[i - 1] - 1, explicit[i])`` gives the matching statistics of every position.
 """
