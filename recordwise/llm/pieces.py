@@ -6,8 +6,8 @@ No piece has a ``▁`` behind another character, so the lattice falls apart befo
 follows one, and equal units of a batch share their lattice. Forward filtering sums, per unit and
 position, the weight of all segmentations that end there; backward sampling then walks each
 occurrence from its end and draws the last piece in proportion to (sum before it) x (its weight),
-which samples whole segmentations exactly by their probability. Draws come from a hash of the row
-key and the character position, so a row's result depends on nothing else: not on its partition,
+which samples whole segmentations by their probability, up to the 24 bits of a draw. Draws come from a hash
+of the row key and the character position, so a row's result depends on nothing else: not on its partition,
 batch or neighbours.
 
 A BPE model has merge ranks instead of probabilities; a piece of rank r gets the Zipf weight
@@ -22,6 +22,7 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = 0x2581
 LITERAL = 0x10FFFF + 1  # stands for a literal ▁ while encoding; no piece has it
 BYTES_EDGE = -2
+LONG_UNIT = 2048  # characters; such a unit (text without spaces) has a pass of its own
+LONG_BLOCK = 1 << 15
 
 
 def model_path(name: str = MODEL) -> str:
@@ -156,7 +159,11 @@ def lattice(p: Pieces, chars: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray
     log_sum = np.zeros(len(edges))
     draw = np.ones((len(edges), p.longest), np.float32)
     weights = np.concatenate([p.log_weight, [0.0, -np.inf]])  # -2 gets its weight below, -1 has none
+    for u in np.flatnonzero(sizes > LONG_UNIT).tolist():
+        here = slice(int(bases[u]), int(bases[u] + sizes[u]) + 1)
+        long_unit(edges[here], draw[here], weights, spelled[starts[u] : starts[u] + sizes[u]])
     order = np.argsort(-sizes, kind="stable")
+    order = order[sizes[order] <= LONG_UNIT]
     ordered, first = sizes[order], bases[order]
     back = np.arange(1, p.longest + 1)
     char_at = starts[order]
@@ -176,6 +183,34 @@ def lattice(p: Pieces, chars: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray
     return bases, edges, draw
 
 
+def long_unit(edges: np.ndarray, draw: np.ndarray, weights: np.ndarray, spelled: np.ndarray) -> None:
+    """``draw`` of one long unit. Only the sum of each position waits for those before it, so only it is found one by one."""
+    longest = edges.shape[1]
+    places, steps = np.nonzero(edges != -1)
+    value = weights[edges[places, steps]]
+    value = np.where(edges[places, steps] == BYTES_EDGE, spelled[places - 1], value).tolist()
+    steps, ends = (steps + 1).tolist(), np.searchsorted(places, np.arange(1, len(edges) + 1)).tolist()
+    sums, at = [0.0], ends[0]
+    for place in range(1, len(edges)):
+        end = ends[place]
+        if end - at == 1:
+            sums.append(value[at] + sums[place - steps[at]])
+        else:
+            ways = [value[i] + sums[place - steps[i]] for i in range(at, end)]
+            top = max(ways)
+            sums.append(top + math.log(sum([math.exp(w - top) for w in ways])))
+        at = end
+    sums = np.concatenate([np.full(longest, -np.inf), sums])
+    for begin in range(1, len(edges), LONG_BLOCK):
+        here = np.arange(begin, min(begin + LONG_BLOCK, len(edges)))
+        edge = edges[here]
+        ways = weights[edge]
+        ways[edge[:, 0] == BYTES_EDGE, 0] = spelled[here[edge[:, 0] == BYTES_EDGE] - 1]
+        ways = np.where(edge == -1, -np.inf, ways + sums[here[:, None] + longest - np.arange(1, longest + 1)])
+        parts = np.cumsum(np.exp(ways - ways.max(1)[:, None]), 1)
+        draw[here] = parts / parts[:, -1:]
+
+
 def encode(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Sampled ids of all texts behind each other, and where each text's ids begin (n + 1)."""
     n = len(offsets) - 1
@@ -208,17 +243,35 @@ def encode(p: Pieces, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, s
     base, slot, end = bases[which], bases[which] + (ends - starts), ends.copy()
     begin_of, salt = heads[owner], row_seed[owner]
     piece_at = np.full(len(chars), -1, np.int32)
-    alive = np.arange(len(starts))
-    while len(alive):
-        place = (end[alive] - begin_of[alive]).astype(U64)
-        uniform = (mixed(salt[alive] + place * U64(BASES[0])) >> U64(11)).astype(np.float64) * 2.0**-53
-        here = slot[alive]
-        k = np.minimum((draw[here] <= uniform[:, None].astype(np.float32)).sum(1), p.longest - 1)
-        chosen = edges[here, k]
+
+    def drawn(slots: np.ndarray, places: np.ndarray, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Length less one and id of the piece drawn at each slot, ``places`` characters into its text."""
+        uniform = (mixed(salts + places.astype(U64) * U64(BASES[0])) >> U64(11)).astype(np.float64) * 2.0**-53
+        k = np.minimum((draw[slots] <= uniform[:, None].astype(np.float32)).sum(1), p.longest - 1)
+        chosen = edges[slots, k]
         wrong = chosen == -1
         if wrong.any():  # a draw just above the last running sum: take the last edge there is
-            last = p.longest - 1 - np.argmax((edges[here[wrong]] != -1)[:, ::-1], 1)
-            k[wrong], chosen[wrong] = last, edges[here[wrong], last]
+            last = p.longest - 1 - np.argmax((edges[slots[wrong]] != -1)[:, ::-1], 1)
+            k[wrong], chosen[wrong] = last, edges[slots[wrong], last]
+        return k, chosen
+
+    lengths = ends - starts
+    for o in np.flatnonzero(lengths > LONG_UNIT).tolist():  # every place of a long unit draws at once, then the walk picks its places
+        jump, drawn_there = [0], [np.zeros(1, np.int32)]
+        for j in range(1, int(lengths[o]) + 1, LONG_BLOCK):
+            inside = np.arange(j, min(j + LONG_BLOCK, int(lengths[o]) + 1))
+            k, chosen = drawn(base[o] + inside, starts[o] + inside - begin_of[o], np.full(len(inside), salt[o]))
+            jump += (k + 1).tolist()
+            drawn_there.append(chosen)
+        at, visited = int(lengths[o]), []
+        while at > 0:
+            visited.append(at)
+            at -= jump[at]
+        visited = np.array(visited)
+        piece_at[starts[o] + visited - np.array(jump)[visited]] = np.concatenate(drawn_there)[visited]
+    alive = np.flatnonzero(lengths <= LONG_UNIT)
+    while len(alive):
+        k, chosen = drawn(slot[alive], end[alive] - begin_of[alive], salt[alive])
         end[alive] -= k + 1
         slot[alive] -= k + 1
         piece_at[end[alive]] = chosen

@@ -3,6 +3,7 @@
 import io
 import random
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -201,6 +202,27 @@ def test_a_row_does_not_depend_on_its_neighbours():
     assert other.tolist() != ids.tolist()
 
 
+def test_long_units_give_the_same_samples(monkeypatch):
+    p = pieces.pieces(pieces.model_path(), 0.5)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choices("etaoinshré日\U0001f40c▁", k=n)) + " tail of it" for n in (300, 700, 20, 300)]
+    texts.append(texts[0])
+    plain, heads = pieces.encode(p, *batch(texts), np.arange(5), 1)
+    monkeypatch.setattr(pieces, "LONG_UNIT", 100)
+    monkeypatch.setattr(pieces, "LONG_BLOCK", 64)
+    again, same = pieces.encode(p, *batch(texts), np.arange(5), 1)
+    assert again.tolist() == plain.tolist() and same.tolist() == heads.tolist()
+
+
+def test_a_long_text_without_spaces_takes_seconds():
+    p = pieces.pieces(pieces.model_path(), 0.5)
+    text = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    started = time.process_time()
+    ids, heads = pieces.encode(p, *batch([text]), np.arange(1), 1)
+    assert time.process_time() - started < 20  # about 5 s on a free core; a place at a time in numpy took over 100
+    assert pieces.decode(p, ids, heads)[0].tobytes().decode() == text
+
+
 # --- archives
 
 
