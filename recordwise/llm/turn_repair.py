@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from recordwise.llm import auction
 from recordwise.llm.files import partition_number, stored
+from recordwise.operators.sizing import broadcast_if_small
 
 BLOCK_TURNS = 32
 BLOCK_BYTES = 1 << 20
@@ -86,10 +87,12 @@ def faulty(turns: DataFrame, present: str | None = None) -> DataFrame:
     words = [F.coalesce(F.col(name).cast("string"), F.lit(" ")).alias(name) for name in ("role", "text")]
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), *words, there.alias("there"))
     rows = rows.groupBy("conv_id", "turn", "role", "text", "there").agg(F.count("*").alias("n"))
+    # a text is named by its SHA-256, so texts themselves move only to be counted and to be put in order
+    rows = rows.withColumn("digest", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256)))
     order = F.struct(F.col("turn").isNotNull(), F.coalesce("turn", F.lit(0)))
-    again = rows.where("there").groupBy("conv_id", "role", "text").agg(F.min(order).alias("first"), F.count("*").alias("times")).where("times > 1")
-    again = again.select(F.col("conv_id").alias("a_conv"), F.col("role").alias("a_role"), F.col("text").alias("a_text"), "first")
-    same = F.col("conv_id").eqNullSafe(F.col("a_conv")) & (F.col("role") == F.col("a_role")) & (F.col("text") == F.col("a_text"))
+    again = rows.where("there").groupBy("conv_id", "role", "digest").agg(F.min(order).alias("first"), F.count("*").alias("times")).where("times > 1")
+    again = broadcast_if_small(again.select(F.col("conv_id").alias("a_conv"), F.col("role").alias("a_role"), F.col("digest").alias("a_digest"), "first"))
+    same = F.col("conv_id").eqNullSafe(F.col("a_conv")) & (F.col("role") == F.col("a_role")) & (F.col("digest") == F.col("a_digest"))
     fault = (
         F.when(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), "b")
         .when(F.col("first").isNotNull() & (order != F.col("first")), "d")
