@@ -101,7 +101,9 @@ def one_per_key(
     keys = [key] if isinstance(key, str) else list(key)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     order = _comparable(df)
-    if order_by is None:
+    if order_by is None and not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
+        chosen = F.min(row)  # the row is its own order: nothing is sorted and shuffled twice
+    elif order_by is None:
         chosen = F.min_by(row, F.struct(*order))
     elif keep == "first":
         chosen = F.min_by(row, F.struct(F.col(order_by).isNull(), F.col(order_by), *order))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from recordwise.operators import cleaning
 from verify import order_records
 
 
@@ -22,3 +23,10 @@ def test_a_crowded_order_is_combined_before_the_shuffle_with_the_same_rows(spark
     combined = order_records.order_details(spark, folder)
     assert "REBALANCE_PARTITIONS_BY_COL" not in plan(combined)
     assert gathered.exceptAll(combined).count() == 0 and combined.exceptAll(gathered).count() == 0
+
+
+def test_a_row_that_is_its_own_order_is_shuffled_once(spark):
+    rows = spark.createDataFrame([(1, "b", 2.0), (1, "a", 3.0), (1, None, 9.0), (2, "c", None)], "id int, title string, v double")
+    chosen = cleaning.one_per_key(rows)
+    assert "min_by" not in plan(chosen)
+    assert sorted(map(tuple, chosen.collect())) == [(1, None, 9.0), (2, "c", None)]
