@@ -178,7 +178,7 @@ def feature_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig
     if "csv" in config.formats:
         storage.write_csv(flat, _run_folder(base, "csv", run_id, FEATURES))
     if "json" in config.formats:
-        table.write.mode("overwrite").json(_run_folder(base, "json", run_id, FEATURES))
+        storage.write_json(table, _run_folder(base, "json", run_id, FEATURES))
     return {"record_count": rows}
 
 

@@ -56,13 +56,18 @@ def raw_path(base: str, run_id: str, fmt: str = "parquet") -> str:
 
 
 def write_raw(df: DataFrame, base: str, run_id: str) -> dict[str, str]:
-    """Raw records of one run as Parquet, and a JSON copy for reading by eye; other runs' records stay."""
+    """Raw records of one run as Parquet, and a JSON copy for reading by eye (``zcat``); other runs' records stay."""
     paths = {fmt: raw_path(base, run_id, fmt) for fmt in ("parquet", "json")}
     df.write.mode("overwrite").parquet(paths["parquet"])
-    df.sparkSession.read.schema(df.schema).parquet(paths["parquet"]).write.mode("overwrite").json(paths["json"])
+    write_json(df.sparkSession.read.schema(df.schema).parquet(paths["parquet"]), paths["json"])
     return paths
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines, gzipped: a table's column names stand in every row, so plain text is over ten times its Parquet."""
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
+
+
 def stage_path(base: str, stage: str) -> str:
     return posixpath.join(base, stage)
 

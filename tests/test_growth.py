@@ -3,6 +3,7 @@
 import pytest
 
 from recordwise.operators import cleaning
+from recordwise.sources import storage
 from verify import order_records
 
 
@@ -30,3 +31,12 @@ def test_a_row_that_is_its_own_order_is_shuffled_once(spark):
     chosen = cleaning.one_per_key(rows)
     assert "min_by" not in plan(chosen)
     assert sorted(map(tuple, chosen.collect())) == [(1, None, 9.0), (2, "c", None)]
+
+
+def test_json_copies_are_compressed_and_whole(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id", "concat('Order#', id) as a_rather_long_column_name")
+    paths = storage.write_raw(rows, str(tmp_path), "r1")
+    files = list((tmp_path / "raw" / "run_id=r1" / "records.json").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    back = spark.read.schema(rows.schema).json(paths["json"])
+    assert back.exceptAll(rows).count() == 0 and back.count() == 3000
