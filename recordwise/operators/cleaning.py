@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from recordwise.functions.dates import as_date
 from recordwise.functions.nested import joined, names_in_json
+from recordwise.operators.sizing import BROADCAST_BYTES, measured_bytes, settle
 
 # Fixed values of the record model.
 DROPPED = ("adult", "imdb_id", "original_title", "video", "homepage")
@@ -86,7 +89,11 @@ def _comparable(df: DataFrame) -> list[Column]:
 
 
 def one_per_key(
-    df: DataFrame, key: str | Sequence[str] = "id", order_by: str | None = None, keep: str = "first"
+    df: DataFrame,
+    key: str | Sequence[str] = "id",
+    order_by: str | None = None,
+    keep: str = "first",
+    settle_repeated: bool = False,
 ) -> DataFrame:
     """One row per key (one or several columns), the same one however the rows are laid out.
 
@@ -95,10 +102,22 @@ def one_per_key(
     largest (``keep="last"``) value stays, equal ones decided as above; rows with a NULL order
     value stay only if their key has no other. Rows are combined before the shuffle, so a
     key with very many copies reaches its final task as a few rows.
+
+    For tables in which few keys repeat, ``settle_repeated`` counts the keys first, while the frame is built: rows
+    whose key stands once then stay where they are and only the others are combined, unless the repeated keys are
+    too many to broadcast. Give it a table that was read back, because it is read three times.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     keys = [key] if isinstance(key, str) else list(key)
+    if settle_repeated:
+        named = [f"__key{i}" for i in range(len(keys))]
+        counted = df.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, named)]).agg(F.count(F.lit(1)).alias("__n"))
+        repeated = settle(counted.where("__n > 1").select(*named))
+        if measured_bytes(repeated) <= BROADCAST_BYTES:
+            same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, named)])
+            combined = one_per_key(df.join(F.broadcast(repeated), same, "left_semi"), keys, order_by, keep)
+            return df.join(F.broadcast(repeated), same, "left_anti").unionByName(combined)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     order = _comparable(df)
     if order_by is None and not any(isinstance(f.dataType, T.MapType) for f in df.schema.fields):
@@ -134,19 +153,20 @@ def repair_records(
     placeholder_columns: Iterable[str] = PLACEHOLDER_COLUMNS,
     placeholders: Sequence[str] = PLACEHOLDERS,
     min_values: int | None = None,
+    settle_repeated: bool = False,
 ) -> DataFrame:
     """Missing-value repair, deduplication and row filters in one chain.
 
     Rows without a key are removed before deduplication, which changes no result and keeps
     them out of the shuffle. The status filter must follow deduplication: which copy of a
     record is kept decides whether the record passes. ``min_values`` asks for that many values that
-    are not NULL.
+    are not NULL, ``settle_repeated`` is that of ``one_per_key``.
     """
     repaired = (
         df.transform(zero_to_null, zero_columns)
         .transform(placeholder_to_null, placeholder_columns, placeholders)
         .dropna(subset=[key])
-        .transform(one_per_key, key)
+        .transform(one_per_key, key, settle_repeated=settle_repeated)
         .transform(require_columns, (key, title))
         .transform(keep_status)
     )

@@ -160,7 +160,7 @@ def ingest(spark: SparkSession, raw: DataFrame, base: str, run_id: str) -> dict[
 
 def clean_stage(spark: SparkSession, base: str, run_id: str, config: RunConfig) -> dict[str, float]:
     raw = read_records(spark, storage.raw_path(base, run_id), schema=RECORD_SCHEMA)
-    rows = _counted(cleaning.clean(raw, config.dropped, **config.repairs), lambda df: storage.write_stage(df, base, CLEANED, run_id))
+    rows = _counted(cleaning.clean(raw, config.dropped, settle_repeated=True, **config.repairs), lambda df: storage.write_stage(df, base, CLEANED, run_id))
     return {"record_count": rows}
 
 

@@ -40,3 +40,16 @@ def test_json_copies_are_compressed_and_whole(spark, tmp_path):
     assert files and all(f.name.endswith(".json.gz") for f in files)
     back = spark.read.schema(rows.schema).json(paths["json"])
     assert back.exceptAll(rows).count() == 0 and back.count() == 3000
+
+
+@pytest.mark.parametrize("order_by, keep", [(None, "first"), ("v", "first"), ("v", "last")])
+def test_settled_repeated_keys_give_the_same_rows(spark, order_by, keep):
+    rows = [(1, "b", 2.0), (1, "a", 3.0), (1, None, 9.0), (2, "c", None), (None, "d", 1.0), (None, "e", 0.5), (3, None, None)]
+    frame = spark.createDataFrame(rows, "id int, title string, v double")
+    plain = cleaning.one_per_key(frame, "id", order_by, keep)
+    settled = cleaning.one_per_key(frame, "id", order_by, keep, settle_repeated=True)
+    assert settled.count() == 4 and settled.exceptAll(plain).count() == 0
+    one = cleaning.one_per_key(frame.where("title = 'd'"), "id", settle_repeated=True)
+    assert [tuple(r) for r in one.collect()] == [(None, "d", 1.0)]
+    two = cleaning.one_per_key(frame, ["id", "title"], settle_repeated=True)
+    assert two.exceptAll(frame).count() == 0 and two.count() == 7

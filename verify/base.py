@@ -57,7 +57,7 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     source = raw(spark, folder)
-    return spark.read.parquet(_stage(spark, folder, "cleaned", lambda: cleaning.clean(source)))
+    return spark.read.parquet(_stage(spark, folder, "cleaned", lambda: cleaning.clean(source, settle_repeated=True)))
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
