@@ -78,7 +78,7 @@ def attach_credits(
         F.get(directors, F.lit(0)).getField("name").alias("director"),
         F.size("crew").alias("crew_size"),
     )
-    return _with_defaults(details.join(summary, key, "left"))
+    return with_defaults(details.join(summary, key, "left"))
 
 
 def attach_credit_rows(
@@ -110,14 +110,16 @@ def attach_credit_rows(
     director = F.min_by("name", F.when(F.col("job") == DIRECTOR_JOB, F.struct(*position))).alias("director")
     if cast is crew:  # one table of people: its sizes and directors are one grouping
         facts = cast.groupBy(key).agg(count.alias("cast_size"), director, count.alias("crew_size"))
-        return _with_defaults(details.join(first, key, "left").join(facts, key, "left"))
+        return with_defaults(details.join(first, key, "left").join(facts, key, "left"))
     cast_sizes = cast.groupBy(key).agg(count.alias("cast_size"))
     crew_facts = crew.groupBy(key).agg(director, count.alias("crew_size"))
     joined = details.join(first, key, "left").join(cast_sizes, key, "left").join(crew_facts, key, "left")
-    return _with_defaults(joined)
+    return with_defaults(joined)
 
 
-def _with_defaults(df: DataFrame) -> DataFrame:
+def with_defaults(df: DataFrame) -> DataFrame:
+    """Credits of records without any: an empty cast and zero sizes."""
+
     def known(column: str, default: Column) -> Column:
         return F.coalesce(F.col(column), default)
 

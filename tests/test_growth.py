@@ -53,3 +53,48 @@ def test_settled_repeated_keys_give_the_same_rows(spark, order_by, keep):
     assert [tuple(r) for r in one.collect()] == [(None, "d", 1.0)]
     two = cleaning.one_per_key(frame, ["id", "title"], settle_repeated=True)
     assert two.exceptAll(frame).count() == 0 and two.count() == 7
+
+
+def scans_of(df, table):
+    return plan(df).count(f"/{table}.parquet]")
+
+
+@pytest.mark.tables
+def test_raw_records_read_and_shuffle_the_lines_once(spark, folder):
+    records = order_records.order_records(spark, folder)
+    assert scans_of(records, "lineitem") == 1
+    assert plan(records).count("Exchange hashpartitioning(id") == 2  # lines and orders
+
+
+@pytest.mark.tables
+@pytest.mark.parametrize("limit", ["LOOKUP_BYTES", "MOST_LINES"])
+def test_raw_records_are_the_same_on_every_path(spark, folder, monkeypatch, limit):
+    gathered = order_records.order_records(spark, folder)
+    monkeypatch.setattr(order_records, limit, 1)
+    other = order_records.order_records(spark, folder).select(gathered.columns)
+    assert gathered.exceptAll(other).count() == 0 and other.exceptAll(gathered).count() == 0
+
+
+def test_people_keep_their_places_without_a_name_and_without_lines(spark, tmp_path, monkeypatch):
+    for name, rows, schema in (
+        ("nation", [(0, "PERU")], "n_nationkey int, n_name string"),
+        ("supplier", [(i, None if i == 1 else f"S{i}", 0) for i in range(1, 13)], "s_suppkey long, s_name string, s_nationkey int"),
+        ("part", [(1, "B1", "T1")], "p_partkey long, p_brand string, p_type string"),
+        ("customer", [(1, "M", 0)], "c_custkey long, c_mktsegment string, c_nationkey int"),
+        ("orders", [(1, 1, "F", 5.0, "1-URGENT"), (2, 1, "F", 5.0, "1-URGENT")],
+         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+        ("lineitem", [(1, i, 1, i, 1.0, 2.5, 0.05, 0.01, "R") for i in range(1, 13)],
+         "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+         "l_discount double, l_tax double, l_returnflag string"),
+    ):
+        frame = spark.createDataFrame(rows, schema)
+        dates = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+        if name in dates:
+            frame = frame.selectExpr("*", f"timestamp'1996-01-02' as {dates[name]}")
+        frame.write.parquet(str(tmp_path / f"{name}.parquet"))
+    shown = ["id", "cast", "cast_size", "director", "crew_size", "budget"]
+    expected = [(1, [None, *[f"S{i}" for i in range(2, 11)]], 12, None, 12, 15000), (2, [], 0, None, 0, None)]
+    for most in (order_records.MOST_LINES, 1):
+        monkeypatch.setattr(order_records, "MOST_LINES", most)
+        found = order_records.order_records(spark, str(tmp_path)).select(shown).orderBy("id").collect()
+        assert [tuple(r) for r in found] == expected
